@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, simhash, token_orc
+from . import mixing, packing, simhash, token_orc
 from .common import shared_dir, table
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("copies")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -23,8 +27,8 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op6_simhash": op6_simhash, "op7_token_orc": op7_token_orc, "op8_packing": op8_packing}
+    return {"op1_mixing": op1_mixing, "op6_simhash": op6_simhash, "op7_token_orc": op7_token_orc, "op8_packing": op8_packing}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_mixing": mixing.SQL}
