@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, simhash, token_orc
+from . import mixing, packing, pu_quality, simhash, token_orc, toxicity
 from .common import shared_dir, table
 
 
@@ -12,6 +12,14 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pu_quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -27,7 +35,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op1_mixing": op1_mixing, "op6_simhash": op6_simhash, "op7_token_orc": op7_token_orc, "op8_packing": op8_packing}
+    return {"op1_mixing": op1_mixing, "op2_quality": op2_quality, "op5_toxicity": op5_toxicity, "op6_simhash": op6_simhash, "op7_token_orc": op7_token_orc, "op8_packing": op8_packing}
 
 
 def oracle_sql() -> dict[str, str]:
