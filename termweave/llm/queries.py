@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, pu_quality, simhash, token_orc, toxicity
+from . import mixing, packing, pu_quality, simhash, token_orc, toxicity, url_rules
 from .common import shared_dir, table
 
 
@@ -16,6 +16,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pu_quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(table(spark, sf_dir, "pages"), url_rules.rules_frame(spark))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -35,8 +39,8 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op1_mixing": op1_mixing, "op2_quality": op2_quality, "op5_toxicity": op5_toxicity, "op6_simhash": op6_simhash, "op7_token_orc": op7_token_orc, "op8_packing": op8_packing}
+    return {"op1_mixing": op1_mixing, "op2_quality": op2_quality, "op4_url_rules": op4_url_rules, "op5_toxicity": op5_toxicity, "op6_simhash": op6_simhash, "op7_token_orc": op7_token_orc, "op8_packing": op8_packing}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": mixing.SQL}
+    return {"op1_mixing": mixing.SQL, "op4_url_rules": url_rules.SQL}
