@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, pu_quality, simhash, token_orc, toxicity, url_rules
+from . import ann, embed_dedup, mixing, packing, pu_quality, simhash, token_orc, toxicity, url_rules
 from .common import shared_dir, table
 
 
@@ -16,6 +16,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pu_quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"), url_rules.rules_frame(spark))
 
@@ -38,8 +42,12 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict:
-    return {"op1_mixing": op1_mixing, "op2_quality": op2_quality, "op4_url_rules": op4_url_rules, "op5_toxicity": op5_toxicity, "op6_simhash": op6_simhash, "op7_token_orc": op7_token_orc, "op8_packing": op8_packing}
+    return {"op1_mixing": op1_mixing, "op2_quality": op2_quality, "op3_embedding_dedup": op3_embedding_dedup, "op4_url_rules": op4_url_rules, "op5_toxicity": op5_toxicity, "op6_simhash": op6_simhash, "op7_token_orc": op7_token_orc, "op8_packing": op8_packing, "op9_ann": op9_ann}
 
 
 def oracle_sql() -> dict[str, str]:
