@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, embed_dedup, mixing, packing, pu_quality, simhash, token_orc, toxicity, url_rules
+from . import ann, embed_dedup, licenses, mixing, packing, pu_quality, simhash, token_orc, toxicity, url_rules
 from .common import shared_dir, table
 
 
@@ -46,8 +46,12 @@ def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"), licenses.templates_frame(spark))
+
+
 def queries() -> dict:
-    return {"op1_mixing": op1_mixing, "op2_quality": op2_quality, "op3_embedding_dedup": op3_embedding_dedup, "op4_url_rules": op4_url_rules, "op5_toxicity": op5_toxicity, "op6_simhash": op6_simhash, "op7_token_orc": op7_token_orc, "op8_packing": op8_packing, "op9_ann": op9_ann}
+    return {"op1_mixing": op1_mixing, "op2_quality": op2_quality, "op3_embedding_dedup": op3_embedding_dedup, "op4_url_rules": op4_url_rules, "op5_toxicity": op5_toxicity, "op6_simhash": op6_simhash, "op7_token_orc": op7_token_orc, "op8_packing": op8_packing, "op9_ann": op9_ann, "op10_licenses": op10_licenses}
 
 
 def oracle_sql() -> dict[str, str]:
