@@ -1,9 +1,585 @@
-"""Queries by name, and their SQL."""
+"""Queries over the provided tables, named by the operators they show, and the same in DuckDB's SQL."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import text as T
+from ..operators import annotations as A
+from ..operators import facts as FA
+from ..operators import profiles as P
+from ..operators import termfilter as TF
+from ..operators import variants as VA
+from ..operators import wordindex as W
+from ..operators.runs import with_runs
+from ..sources import readers as R
+from . import views as V
+
+QUERIES: dict = {}
+SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def _types_sql() -> str:
+    return "[" + ", ".join(f"'{t}'" for t in P.SEMANTIC_TYPES) + "]"
+
+
+PROFILE = V.PROFILE_SQL.replace("{types}", _types_sql())
+STYLED = f"WITH {V.GROUPED} "
+
+
+def _terms(spark: SparkSession, sf: str) -> DataFrame:
+    return V.terms(spark, sf)
+
+
+# Scalars and records
+
+
+@query(STYLED + "SELECT aui, cui, sab, str, 18::INT AS n FROM terms")
+def s2_parse_record(spark, sf):
+    f = T.parse_record(F.col("line"))
+    return _terms(spark, sf).select(f[7].alias("aui"), f[0].alias("cui"), f[11].alias("sab"), f[14].alias("str"), F.size(f).alias("n"))
+
+
+@query(STYLED + "SELECT aui, cui, str FROM terms")
+def s3_parse_terms(spark, sf):
+    lines = _terms(spark, sf).select("line_no", F.col("line").alias("value"))
+    return R.parse_terms(lines).select("aui", "cui", "str")
+
+
+@query(STYLED + "SELECT aui, str, nmstr FROM norm")
+def p1_normalize(spark, sf):
+    return _terms(spark, sf).select("aui", "str", T.normalize(F.col("str"))["norm"].alias("nmstr"))
+
+
+@query(STYLED + "SELECT types, count(*) AS n FROM norm GROUP BY types")
+def p1_norm_types(spark, sf):
+    return _terms(spark, sf).select(TF.types_text(T.normalize(F.col("str"))["types"]).alias("types")).groupBy("types").agg(F.count("*").alias("n"))
+
+
+@query(r"SELECT p_partkey, regexp_replace('[X] [EDTA]' || p_name, '^(\[(X|V|D|M|EDTA|SO|Q)\][ \t]*)+', '') AS s FROM part")
+def p2_left_parenthetical(spark, sf):
+    return V.table(spark, sf, "part").select("p_partkey", T.strip_left_parentheticals(F.concat(F.lit("[X] [EDTA]"), "p_name")).alias("s"))
+
+
+@query("SELECT p_partkey, regexp_replace(replace(p_name || ' -' || p_brand, '-', ' '), ' {2,}', ' ', 'g') AS s FROM part")
+def p6_hyphen(spark, sf):
+    return V.table(spark, sf, "part").select("p_partkey", T.strip_hyphens(F.concat("p_name", F.lit(" -"), "p_brand")).alias("s"))
+
+
+@query(r"SELECT p_partkey, regexp_replace('boss''s'' ' || p_name || '''s cancers'' x', '([A-Za-z0-9]+)''s([^A-Za-z0-9]|$)|([A-Za-z0-9]*s)''([^A-Za-z0-9]|$)', '\1\2\3\4', 'g') AS s FROM part")
+def p7_possessive(spark, sf):
+    return V.table(spark, sf, "part").select("p_partkey", T.strip_possessives(F.concat(F.lit("boss's' "), "p_name", F.lit("'s cancers' x"))).alias("s"))
+
+
+@query(STYLED + "SELECT aui, CASE WHEN ts = 'P' AND stt = 'PF' THEN 'C.......' ELSE cui END AS c FROM terms")
+def p9_print_cui(spark, sf):
+    return _terms(spark, sf).select("aui", T.print_cui(F.col("ts"), F.col("stt"), F.col("cui")).alias("c"))
+
+
+@query(STYLED + "SELECT aui, CASE WHEN position('|p|' IN line) > 0 THEN substr(line, 1, position('|p|' IN line) - 1) || '|P|' || substr(line, position('|p|' IN line) + 3) ELSE line END AS l FROM terms")
+def p10_restore_status(spark, sf):
+    return _terms(spark, sf).select("aui", T.restore_status(F.col("line")).alias("l"))
+
+
+@query("SELECT p_partkey, array_to_string(CASE WHEN p_partkey % 2 = 0 THEN string_split(p_brand || '||' || p_name, '|') ELSE string_split('|' || p_brand || '||', '|')[2:] END, '+') AS s FROM part")
+def p25_split(spark, sf):
+    s = F.when(F.col("p_partkey") % 2 == 0, F.concat("p_brand", F.lit("||"), "p_name")).otherwise(F.concat(F.lit("|"), "p_brand", F.lit("||")))
+    return V.table(spark, sf, "part").select("p_partkey", F.array_join(T.split_keep_empty(s, "|"), "+").alias("s"))
+
+
+@query("SELECT p_partkey, coalesce(string_split(p_name, ' ')[2], '') AS s, coalesce(string_split(p_name, ' ')[8], '') AS t FROM part")
+def p26_get_token(spark, sf):
+    return V.table(spark, sf, "part").select("p_partkey", T.get_token(F.col("p_name"), " ", 1).alias("s"), T.get_token(F.col("p_name"), " ", 7).alias("t"))
+
+
+@query("SELECT p_partkey, '{' || p_brand || ' {' || p_name || '} {}}' AS s FROM part")
+def p27_brace_list(spark, sf):
+    return V.table(spark, sf, "part").select("p_partkey", T.brace_list(F.array("p_brand", "p_name", F.lit(""))).alias("s"))
+
+
+@query(r"SELECT doc_id, md5(regexp_replace(trim(text), '[ \t\n\r\f]+', ' ', 'g')) AS h FROM documents")
+def p29_clean(spark, sf):
+    return V.table(spark, sf, "documents").select("doc_id", F.md5(T.clean(F.col("text")).cast("binary")).alias("h"))
+
+
+@query("SELECT doc_id, coalesce(regexp_matches(text, '[a-z]') AND NOT regexp_matches(text, '[A-Z]'), true) AS b FROM documents")
+def p30_is_lowercase(spark, sf):
+    return V.table(spark, sf, "documents").select("doc_id", T.is_lowercase(F.col("text")).alias("b"))
+
+
+@query("""WITH t AS (SELECT p_partkey, list_filter(['qlco', CASE WHEN p_size % 2 = 0 THEN 'fndg' END, CASE WHEN p_size % 3 = 0 THEN 'dsyn' END], lambda x: x IS NOT NULL) AS l FROM part)
+SELECT p_partkey, array_to_string(CASE WHEN len(l) > 1 AND list_contains(l, 'dsyn') THEN ['dsyn'] ELSE l END, ',') AS s FROM t""")
+def p31_specific_types(spark, sf):
+    l = F.array_compact(F.array(F.lit("qlco"), F.when(F.col("p_size") % 2 == 0, "fndg"), F.when(F.col("p_size") % 3 == 0, "dsyn")))  # noqa: E741
+    return V.table(spark, sf, "part").select("p_partkey", F.array_join(T.specific_types(l), ",").alias("s"))
+
+
+@query(f"WITH {PROFILE} SELECT doc_id, sum(tf)::BIGINT AS n, count(*) AS terms FROM tf GROUP BY doc_id")
+def t3_tokens(spark, sf):
+    return P.term_frequencies(V.english(spark, sf)).groupBy("doc_id").agg(F.sum("tf").alias("n"), F.count("*").alias("terms"))
+
+
+@query(r"""SELECT p_partkey, array_to_string(regexp_extract_all(lower(p_name || '''s (' || p_brand || ') 12%'), '[a-z]+|[0-9]+|''[a-z0-9]*|[,;:?!.&@\[\]()%/"-]'), ' ') AS s FROM part""")
+def t4_apostrophe_tokens(spark, sf):
+    return V.table(spark, sf, "part").select("p_partkey", F.array_join(T.reader_tokens(F.concat("p_name", F.lit("'s ("), "p_brand", F.lit(") 12%"))), " ").alias("s"))
+
+
+# Term filter
+
+
+def _filtered(spark, sf, **how):
+    return TF.filter_terms(TF.prepare(_terms(spark, sf), **how))
+
+
+@query(STYLED + "SELECT ts, tss AS excluded, count(*) AS n FROM norm GROUP BY ALL")
+def f1_term_status(spark, sf):
+    return TF.prepare(_terms(spark, sf), assume_sorted=True).groupBy("ts", F.col("tss").alias("excluded")).agg(F.count("*").alias("n"))
+
+
+@query(STYLED + "SELECT cui, count(*) FILTER (pref) AS n, count(*) FILTER (pref) > 0 AS has FROM norm GROUP BY cui")
+def f2_preferred(spark, sf):
+    return TF.prepare(_terms(spark, sf), assume_sorted=True).groupBy("cui").agg(F.count_if("pref").alias("n"), (F.count_if("pref") > 0).alias("has"))
+
+
+@query("""WITH w AS (SELECT p_partkey, [split_part(p_name, ' ', 1)] || CASE p_partkey % 4 WHEN 0 THEN ['of', 'x'] WHEN 1 THEN ['in', 'x', 'of', 'y'] WHEN 2 THEN ['in', 'x', 'in', 'y'] ELSE [] END AS w FROM part)
+SELECT p_partkey, p_partkey % 4 <> 2 AS simple FROM w""")
+def f3_simple_syntax(spark, sf):
+    k = F.col("p_partkey") % 4
+    tail = lambda *w: F.array(*[F.lit(x) for x in w]) if w else F.array().cast("array<string>")
+    w = F.concat(F.array(F.substring_index("p_name", " ", 1)), F.when(k == 0, tail("of", "x")).when(k == 1, tail("in", "x", "of", "y")).when(k == 2, tail("in", "x", "in", "y")).otherwise(tail()))
+    return V.table(spark, sf, "part").select("p_partkey", TF.is_simple(TF.chunks(w)).alias("simple"))
+
+
+@query()
+def f4_strict_filter(spark, sf):
+    prepared = TF.prepare(_terms(spark, sf))
+    return TF.filter_terms(prepared, TF.is_simple(TF.chunks(T.words(F.col("nmstr"))))).groupBy("final_status").agg(F.count("*").alias("n"))
+
+
+@query()
+def f6_syntax_dump(spark, sf):
+    return TF.syntax_dump(TF.prepare(_terms(spark, sf), assume_sorted=True))
+
+
+@query(f"WITH {V.INTERLEAVED}, {V.RUNS_SQL} SELECT run_id, cui, count(*) AS n FROM runs GROUP BY ALL")
+def a1_runs(spark, sf):
+    return with_runs(V.terms(spark, sf, interleaved=True), "cui", "line_no").groupBy("run_id", "cui").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {V.GROUPED}, {V.FILTER_SQL} SELECT aui, status FROM filtered")
+def a3_dedup_last(spark, sf):
+    return _filtered(spark, sf).select("aui", "status")
+
+
+@query(f"""WITH {V.GROUPED}, {V.RUNS_SQL}, d AS (SELECT aui, row_number() OVER w AS rn, first_value(aui) OVER w AS winner FROM runs WHERE NOT tss WINDOW w AS (PARTITION BY run_id, nmstr, cui, sab ORDER BY lui DESC, sui DESC, aui DESC))
+SELECT aui AS loser, winner FROM d WHERE rn > 1""")
+def a3_dedup_pairs(spark, sf):
+    return TF.duplicate_pairs(TF.prepare(_terms(spark, sf)))
+
+
+@query(f"""WITH {V.GROUPED}, {V.FILTER_SQL}, x AS (SELECT types FROM filtered WHERE status = 'nnorm')
+SELECT 'icn' AS indicator, count(*) AS n, types FROM x GROUP BY types UNION ALL
+SELECT 'ibn', count(*), t FROM (SELECT unnest(string_split(types[2:-2], ',')) AS t FROM x WHERE types <> '[]') GROUP BY t""")
+def a4_norm_counts(spark, sf):
+    return TF.normalization_counts(_filtered(spark, sf))
+
+
+@query(f"WITH {V.GROUPED}, {V.FILTER_SQL} SELECT aui, restored, CASE WHEN restored THEN 'P' ELSE ts END AS out_ts FROM filtered WHERE pref")
+def a5_restore(spark, sf):
+    return _filtered(spark, sf).where("pref").select("aui", "restored", "out_ts")
+
+
+@query(f"""WITH {V.GROUPED}, {V.FILTER_SQL} SELECT count(*) FILTER (status = 'ntss' AND ts = 'p' AND NOT restored) AS p, count(*) FILTER (status = 'ntss' AND ts = 's' AND NOT restored) AS s,
+count(*) FILTER (restored) AS pref, count(*) FILTER (status = 'nsynt') AS synt FROM filtered""")
+def a6_status_counts(spark, sf):
+    return TF.status_counts(_filtered(spark, sf))
+
+
+@query(f"""WITH {V.GROUPED}, {V.RUNS_SQL}, g AS (SELECT cui, run_id, count(*) AS b, count(DISTINCT nmstr || '|' || sab) AS a FROM runs WHERE pref GROUP BY ALL)
+SELECT cui, sum(b)::BIGINT AS before, sum(a)::BIGINT AS after FROM g GROUP BY cui""")
+def a7_preferred_counts(spark, sf):
+    return TF.preferred_counts(TF.prepare(_terms(spark, sf)))
+
+
+@query(f"""WITH {V.INTERLEAVED}, {V.FILTER_SQL} SELECT CASE WHEN status = 'y' THEN 'y|' || line
+  WHEN restored THEN 'y|' || CASE WHEN position('|p|' IN line) > 0 THEN substr(line, 1, position('|p|' IN line) - 1) || '|P|' || substr(line, position('|p|' IN line) + 3) ELSE line END
+  ELSE status || '|' || line || '|' || types || '|' || nmstr END AS value FROM filtered""")
+def u1_tagged_output(spark, sf):
+    return TF.tagged_lines(TF.filter_terms(TF.prepare(V.terms(spark, sf, interleaved=True))))
+
+
+@query()
+def k3_counter_lines(spark, sf):
+    return TF.counter_lines(_filtered(spark, sf))
+
+
+# Word index
+
+IDX = f"WITH {V.GROUPED}, {V.RUNS_SQL}, {V.PAIRS_SQL}, x AS (SELECT *, CASE WHEN run_id = line_no THEN 'C.......' ELSE cui END AS ic, regexp_extract_all(nmstr, '[a-z0-9]+') AS w FROM runs)"
+
+
+@query(IDX + " SELECT len(w)::INT AS n, unnest(w) AS word, generate_subscripts(w, 1)::INT AS i, sui, ic AS cui FROM x")
+def v1_word_index(spark, sf):
+    return W.words(W.concept_flags(_terms(spark, sf)))
+
+
+@query(IDX + ", k AS (SELECT x.* FROM x ANTI JOIN pairs ON x.w[1] = pairs.first AND x.w[-1] = pairs.last) SELECT len(w)::INT AS n, unnest(w) AS word, generate_subscripts(w, 1)::INT AS i, sui, ic AS cui FROM k")
+def f7_word_pair_anti(spark, sf):
+    return W.words(W.concept_flags(_terms(spark, sf)), V.pairs(spark, sf))
+
+
+@query(IDX + " SELECT cui, str AS string FROM x WHERE run_id = line_no UNION ALL SELECT 'C.......', 'X'")
+def w2_concept_rows(spark, sf):
+    return W.concepts(W.concept_flags(_terms(spark, sf)))
+
+
+@query(IDX + " SELECT cui, str AS string FROM x WHERE ts = 'P' AND stt = 'PF' UNION ALL SELECT 'C.......', 'X'")
+def w2b_concept_rows_pf(spark, sf):
+    return W.concepts(W.concept_flags(_terms(spark, sf), first_term_is_concept=False))
+
+
+@query(IDX + " SELECT sui || '|' || nmstr || '|' || str AS value FROM x")
+def k7_string_lines(spark, sf):
+    return W.lines(W.strings(_terms(spark, sf)), "sui", "norm_string", "string")
+
+
+# Profiles
+
+
+def _tf(spark, sf):
+    return P.term_frequencies(V.english(spark, sf))
+
+
+def _profiles(spark, sf):
+    tf = _tf(spark, sf)
+    kept = P.allowed(tf, V.allow(tf), V.stop(tf))
+    return P.profiles(V.english(spark, sf), P.profile_sums(kept, V.vectors(tf)))
+
+
+@query(f"WITH {PROFILE} SELECT doc_id, sum(tf)::BIGINT AS n FROM keep GROUP BY doc_id")
+def j3_allow_stop(spark, sf):
+    tf = _tf(spark, sf)
+    return P.allowed(tf, V.allow(tf), V.stop(tf)).groupBy("doc_id").agg(F.sum("tf").alias("n"))
+
+
+@query(f"WITH {PROFILE} SELECT DISTINCT term, ((length(term) * 7 + ascii(term) * 3) % 41 - 10)::INT AS first, ((length(term) * 7 + ascii(term) * 3 + 1408) % 41 - 10)::INT AS last FROM hit")
+def j4_vector_lookup(spark, sf):
+    tf = _tf(spark, sf)
+    kept = P.allowed(tf, V.allow(tf), V.stop(tf)).select("term").distinct()
+    return kept.join(V.vectors(tf), "term").select("term", F.col("vec")[0].alias("first"), F.col("vec")[128].alias("last"))
+
+
+@query(f"WITH {PROFILE} SELECT doc_id, pos::INT AS pos, semtype, score FROM prof JOIN names USING (pos)")
+def a8_profile(spark, sf):
+    return P.by_type(_profiles(spark, sf)).select("doc_id", "pos", "semtype", "score")
+
+
+@query(f"WITH {PROFILE} SELECT doc_id, score, arg_max(semtype, pos) AS semtype FROM prof JOIN names USING (pos) GROUP BY doc_id, score")
+def a9_score_map(spark, sf):
+    return P.score_map(_profiles(spark, sf))
+
+
+@query(f"WITH {PROFILE}, b AS (SELECT doc_id, max(score) AS m FROM prof GROUP BY doc_id) SELECT b.doc_id, CASE WHEN m > 0 THEN (SELECT arg_min(semtype, pos) FROM prof JOIN names USING (pos) WHERE prof.doc_id = b.doc_id AND score = m) END AS semtype FROM b")
+def a11_best_type(spark, sf):
+    return P.best_type(_profiles(spark, sf))
+
+
+@query(f"""WITH {PROFILE}, s AS (SELECT doc_id, score, arg_max(semtype, pos) AS semtype FROM prof JOIN names USING (pos) GROUP BY doc_id, score),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC) AS rank FROM s) SELECT doc_id, rank::INT AS rank, semtype, (score * 0.0001)::DECIMAL(18, 4) AS score FROM r WHERE rank <= 10""")
+def o5_top10(spark, sf):
+    return P.top_types(_profiles(spark, sf))
+
+
+VEC_LINES = "concat_ws(' ', p_brand, cast(p_size AS string), cast(p_partkey % 10 AS string))"
+
+
+@query("SELECT replace(p_brand, ' ', '') AS term, arg_max(p_size || ',' || (p_partkey % 10), p_partkey) AS vec FROM part GROUP BY ALL")
+def s21_vector_load_last_wins(spark, sf):
+    lines = V.table(spark, sf, "part").selectExpr("p_partkey AS line_no", VEC_LINES.replace("p_brand", "replace(p_brand, ' ', '')") + " AS value")
+    return R.load_vectors(lines).select("term", F.array_join("vec", ",").alias("vec"))
+
+
+@query("SELECT length(p_name)::INT AS term_len, count(DISTINCT replace(p_name, ' ', '_')) AS terms, count(*) AS lines FROM part GROUP BY ALL")
+def a15_index_stats(spark, sf):
+    return R.index_statistics(V.table(spark, sf, "part").selectExpr("p_partkey AS line_no", "concat(replace(p_name, ' ', '_'), ' 1 2') AS value"))
+
+
+# Facts and imports
+
+
+@query(f"WITH {V.FACTS_SQL} SELECT * FROM facts WHERE key = 7 AND property = 'click'")
+def j11_fact_lookup(spark, sf):
+    return FA.get(V.facts(spark, sf), 7, "click")
+
+
+@query(f"WITH {V.FACTS_SQL} SELECT * FROM facts WHERE seq NOT IN (SELECT min(seq) FROM facts WHERE key < 10 GROUP BY key, property, value)")
+def u6_fact_erase_first(spark, sf):
+    f = V.facts(spark, sf)
+    return FA.erase_first(f, f.where("key < 10"))
+
+
+@query(f"WITH {V.FACTS_SQL} SELECT f.* FROM facts f ANTI JOIN (SELECT DISTINCT key, property FROM facts WHERE value = 3) w ON f.key = w.key AND f.property = w.property")
+def u6_fact_erase_all(spark, sf):
+    f = V.facts(spark, sf)
+    return FA.erase_all(f, f.where("value = 3"))
+
+
+@query("SELECT DISTINCT 'p' || (p_partkey % 30) AS predicate, (p_size % 5)::INT AS arity, 'mod(' || (p_partkey % 3) || ')' AS module FROM part")
+def s25_import_list(spark, sf):
+    x = V.table(spark, sf, "part").select(F.col("p_partkey").alias("path"), F.explode(F.array(
+        F.struct(F.lit(1).alias("line_no"), F.concat(F.lit(":- use_module(mod("), F.col("p_partkey") % 3, F.lit("),[")).alias("value")),
+        F.struct(F.lit(2).alias("line_no"), F.lit("\t% only a comment").alias("value")),
+        F.struct(F.lit(3).alias("line_no"), F.concat(F.lit("\tp"), F.col("p_partkey") % 30, F.lit("/"), F.col("p_size") % 5, F.lit(", % why")).alias("value")),
+        F.struct(F.lit(4).alias("line_no"), F.lit("    ]).").alias("value")), F.struct(F.lit(5).alias("line_no"), F.lit("\tq/9,").alias("value")))).alias("l")).select("path", "l.*")
+    return R.import_list(x)
+
+
+@query("SELECT 'E' || lpad(CAST(p_partkey AS VARCHAR), 7, '0') AS eui, p_name AS base, 'noun' AS cat, 2 AS variants FROM part")
+def s9_lexicon_records(spark, sf):
+    rec = F.concat(F.lit("{base="), "p_name", F.lit("\nentry=E"), F.lpad(F.col("p_partkey").cast("string"), 7, "0"), F.lit("\n\tcat=noun\n\tvariants=reg\n\tvariants=uncount\n\tacronym_of=(Z)-1-{N}"))
+    x = R.parse_lexicon(V.table(spark, sf, "part").select(rec.alias("value")))
+    return x.select("eui", "base", F.col("fields")["cat"][0].alias("cat"), F.size(F.col("fields")["variants"]).alias("variants"))
+
+
+# Variants
+
+
+def _lexicon(spark, sf):
+    p = V.table(spark, sf, "part")
+    return p.selectExpr("substring_index(p_name, ' ', 1) AS form", "'noun' AS cat").unionByName(p.where("p_size % 2 = 0").selectExpr("substring_index(p_name, ' ', -1) AS form", "'adj' AS cat")).distinct()
+
+
+def _edges(spark, sf):
+    p = V.table(spark, sf, "part").selectExpr("substring_index(p_name, ' ', 1) AS f", "substring_index(p_name, ' ', -1) AS l").distinct()
+    return p.selectExpr("f AS base", "'noun' AS base_cat", "l AS word", "'adj' AS cat", "'d' AS kind", "3 AS distance").unionByName(p.selectExpr("f AS base", "'noun' AS base_cat", "concat(f, 's') AS word", "'noun' AS cat", "'i' AS kind", "1 AS distance").distinct())
+
+
+@query("""WITH lex AS (SELECT split_part(p_name, ' ', 1) AS form, 'noun' AS cat FROM part UNION SELECT split_part(p_name, ' ', -1), 'adj' FROM part WHERE p_size % 2 = 0),
+t AS (SELECT DISTINCT split_part(p_name, ' ', -1) AS term FROM part) SELECT term, cat FROM t LEFT JOIN lex ON term = form""")
+def j8_categories(spark, sf):
+    terms = V.table(spark, sf, "part").selectExpr("substring_index(p_name, ' ', -1) AS term")
+    return VA.categories(terms, _lexicon(spark, sf))
+
+
+@query()
+def v3_variants(spark, sf):
+    terms = V.table(spark, sf, "part").selectExpr("substring_index(p_name, ' ', 1) AS term")
+    return VA.variant_rows(VA.expand(VA.categories(terms, _lexicon(spark, sf)), _edges(spark, sf)))
+
+
+# Annotations
+
+AN = f"WITH {V.ANNOTATION_SQL} "
+
+
+@query(AN + "SELECT label, text FROM ph WHERE regexp_matches(text, '[A-Za-z0-9]')")
+def f8_alnum(spark, sf):
+    return A.phrases(A.alnum_only(V.utterances(spark, sf))).select("label", "text")
+
+
+@query(AN + "SELECT label, no::INT AS no, text FROM ph WHERE lower(text) NOT IN (SELECT lower(text) FROM ph GROUP BY 1 HAVING count(*) > 1)")
+def f9_stop_phrase(spark, sf):
+    ph = A.phrases(V.utterances(spark, sf))
+    stop = ph.groupBy(F.lower("text").alias("phrase")).agg(F.count("*").alias("n")).where("n > 1").select("phrase")
+    return A.without_stop_phrases(ph, stop).select("label", "no", "text")
+
+
+@query(AN + "SELECT pc.label, pc.no::INT AS no FROM pc LEFT JOIN ca ON pc.nc = 1 AND ca.doc_id = pc.doc_id AND ca.utt_no = pc.utt_no AND ca.no = pc.no WHERE nc > 1 OR nc = 1 AND lower(pc.text) <> ca.w AND lower(pc.text) <> ca.w || ', nos'")
+def f10_trivial_match(spark, sf):
+    return A.phrases(A.drop_trivial(V.utterances(spark, sf))).select("label", "no")
+
+
+@query(AN + "SELECT label FROM pc WHERE nc = 0 GROUP BY label")
+def f11_null_only(spark, sf):
+    return A.with_null(V.utterances(spark, sf)).select("label")
+
+
+@query(AN + "SELECT label FROM pc WHERE nc > 0 GROUP BY label")
+def f12_non_null_only(spark, sf):
+    return A.with_candidates(V.utterances(spark, sf)).select("label")
+
+
+@query(AN + "SELECT pc.label, pc.no::INT AS no, (SELECT count(*) FROM ca WHERE ca.doc_id = pc.doc_id AND ca.utt_no = pc.utt_no AND ca.no = pc.no AND -neg >= 940)::INT AS n FROM pc")
+def f13_threshold_prefix(spark, sf):
+    return A.threshold_prefix(A.phrases(V.utterances(spark, sf)), 940).select("label", "no", F.size("cands").alias("n"))
+
+
+@query(AN + "SELECT label, no::INT AS no, arg_min(w, cn) AS term, pn FROM ca GROUP BY doc_id, utt_no, label, no, pn")
+def f14_first_concept(spark, sf):
+    return A.first_of_concept(A.phrases(V.utterances(spark, sf))).select("label", "no", F.explode("cands").alias("e")).select("label", "no", F.col("e.meta_term").alias("term"), F.col("e.preferred_name").alias("pn"))
+
+
+@query(AN + "SELECT st AS semtype, CASE st WHEN 'dsyn' THEN 'disease' WHEN 'fndg' THEN 'finding' ELSE '<unknown>' END AS name, count(*) AS n FROM ca GROUP BY ALL")
+def j10_type_names(spark, sf):
+    names = spark.createDataFrame([("dsyn", "disease"), ("fndg", "finding")], "abbrev string, name string")
+    return A.type_names(A.semtype_rows(V.utterances(spark, sf)), names).groupBy("semtype", "name").agg(F.count("*").alias("n"))
+
+
+@query(AN + "SELECT label, no::INT AS no, st AS semtype, w AS term, pn AS concept FROM ca")
+def v4_semtype_explode(spark, sf):
+    return A.semtype_rows(V.utterances(spark, sf)).select("label", "no", "semtype", "term", "concept")
+
+
+@query(AN + "SELECT label, no::INT AS no, st AS semtype, w AS term FROM ca JOIN (SELECT doc_id, utt_no, no, k FROM mp WHERE i = 1) f USING (doc_id, utt_no, no, k)")
+def o7_first_mapping(spark, sf):
+    return A.semtype_rows(V.utterances(spark, sf), first_only=True).select("label", "no", "semtype", "term")
+
+
+@query(AN + """, e AS (SELECT DISTINCT doc_id, utt_no, st || '|' || w || '|' || pn AS x FROM ca), j AS (SELECT u0.doc_id, u0.utt_no, e.x FROM u0 LEFT JOIN e ON e.doc_id = u0.doc_id AND e.utt_no <= u0.utt_no)
+SELECT doc_id, utt_no, count(DISTINCT x)::INT AS n, coalesce(string_agg(DISTINCT x, ';' ORDER BY x), '') AS saved FROM j GROUP BY doc_id, utt_no""")
+def a14_running_union(spark, sf):
+    return A.running_union(V.utterances(spark, sf))
+
+
+@query(AN + ", d AS (SELECT DISTINCT doc_id, st, w, pn FROM ca) SELECT doc_id, st AS semtype, w AS term, pn AS concept, st IS DISTINCT FROM lag(st) OVER (PARTITION BY doc_id ORDER BY st, w, pn) AS heading FROM d")
+def w4_headings(spark, sf):
+    return A.headings(A.semtype_rows(V.utterances(spark, sf)))
+
+
+@query(AN + "SELECT label, no::INT AS no, least(nc, 2)::INT AS printed, greatest(nc - 2, 0)::INT AS unprinted FROM pc")
+def o6_truncate(spark, sf):
+    return A.truncated(A.phrases(V.utterances(spark, sf)), 2, "cands").select("label", "no", F.size("cands").alias("printed"), "unprinted")
+
+
+@query(AN + """, fi AS (SELECT doc_id, utt_no, no, arg_min(category, pos) AS c, count(*) AS k, arg_min(w, pos) AS w FROM it GROUP BY ALL),
+x AS (SELECT ph.*, coalesce(c = 'prep' AND k > 1, false) AS pp, fi.w FROM ph LEFT JOIN fi USING (doc_id, utt_no, no)),
+y AS (SELECT *, sum(CASE WHEN pp THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id, utt_no ORDER BY no) AS g FROM x)
+SELECT doc_id, utt_no, count(*) || '|' || string_agg(w, ' ' ORDER BY no) FILTER (pp) || '|' || string_agg(lower(text), ' ' ORDER BY no) AS value FROM y WHERE g > 0 GROUP BY doc_id, utt_no, g HAVING count(*) > 1""")
+def a16_composite_phrase(spark, sf):
+    return A.composite_phrases(V.utterances(spark, sf))
+
+
+@query(AN + "SELECT label || '|' || text AS value FROM u0")
+def r1_label_text(spark, sf):
+    return A.label_text(V.utterances(spark, sf))
+
+
+@query(AN + "SELECT 'Processing ' || label || ': ' || text AS value FROM u0")
+def r2_heading(spark, sf):
+    return A.headed(V.utterances(spark, sf))
+
+
+@query(AN + """SELECT label || '|UTTERANCE|' || text AS value FROM u0 UNION ALL SELECT label || '|PHRASE|' || text FROM ph UNION ALL
+SELECT concat_ws('|', ca.label, mp.i, mp.n, -mp.neg_score, ca.cui, ca.w, ca.pn, ca.st) FROM ca JOIN mp USING (doc_id, utt_no, no, k)""")
+def r3_mapping_summary(spark, sf):
+    return A.mapping_summary(V.utterances(spark, sf))
+
+
+@query(AN + "SELECT label || '|' || string_agg(pn, ' AND ' ORDER BY cn) AS value FROM ca GROUP BY doc_id, utt_no, label, no, k")
+def r3b_concepts_joined(spark, sf):
+    return A.concepts_joined(V.utterances(spark, sf))
+
+
+@query(AN + "SELECT concat_ws('|', w, w, utt, label) AS value FROM it WHERE category = 'not_in_lex'")
+def r4_not_in_lex(spark, sf):
+    return A.not_in_lexicon(V.utterances(spark, sf))
+
+
+@query(AN + "SELECT category || ':' || w AS value FROM it")
+def r5_syntax(spark, sf):
+    return A.syntax(V.utterances(spark, sf))
+
+
+@query(AN + "SELECT string_agg(category, '|' ORDER BY pos) || ':' || text AS value FROM it GROUP BY doc_id, utt_no, no, text")
+def r6_syntactic_pattern(spark, sf):
+    return A.syntactic_pattern(V.utterances(spark, sf), with_text=True)
+
+
+@query(AN + ", t AS (SELECT doc_id, utt_no, no, string_agg(category, ',' ORDER BY pos) AS tags FROM it GROUP BY ALL) SELECT lower(pc.text) || '|' || coalesce(tags, '') AS value FROM pc LEFT JOIN t USING (doc_id, utt_no, no) WHERE nc = 0")
+def r7_potential_stop_phrase(spark, sf):
+    return A.potential_stop_phrases(V.utterances(spark, sf))
+
+
+@query(AN + "SELECT lower(text) AS value FROM ph")
+def r8_phrase(spark, sf):
+    return A.phrase_texts(V.utterances(spark, sf))
+
+
+@query(AN + "SELECT w || '|' || lex AS value FROM it WHERE w <> lex")
+def r10_match_diffs(spark, sf):
+    return A.match_differences(V.utterances(spark, sf))
+
+
+@query(AN + "SELECT label || '|' || no || '|' || nc AS value FROM pc")
+def r11_candidate_count(spark, sf):
+    return A.candidate_counts(V.utterances(spark, sf))
+
+
+@query(AN + "SELECT concat_ws('|', pn, w, w, label) AS value FROM ca")
+def r12_candidate_text(spark, sf):
+    return A.candidate_texts(V.utterances(spark, sf))
+
+
+@query(AN + "SELECT concat_ws('|', pn, w, w, label) AS value FROM ca")
+def r13_mapping_text(spark, sf):
+    return A.mapping_texts(V.utterances(spark, sf))
+
+
+@query(AN + "SELECT concat_ws('|', pn, w, w, ca.label) AS value FROM ca JOIN pc USING (doc_id, utt_no, no) WHERE nm = 1")
+def r14_unique_mapping_text(spark, sf):
+    return A.mapping_texts(V.utterances(spark, sf), unique=True)
+
+
+@query(AN + "SELECT label || '|' || no || '|' || nm AS value FROM pc")
+def r15_mapping_count(spark, sf):
+    return A.mapping_counts(V.utterances(spark, sf))
+
+
+@query(AN + "SELECT label || '|' || text AS value FROM pc WHERE nc > 0 AND nm = 0")
+def r16_odd_mapping(spark, sf):
+    return A.odd_mappings(V.utterances(spark, sf))
+
+
+@query()
+def r17_phrase_report(spark, sf):
+    return A.phrase_report(V.utterances(spark, sf))
+
+
+@query(AN + "SELECT pc.label, pc.no::INT AS no, coalesce((SELECT count(*) FROM ca WHERE ca.doc_id = pc.doc_id AND ca.utt_no = pc.utt_no AND ca.no = pc.no AND ca.k = (SELECT min(k) FROM mp WHERE mp.doc_id = pc.doc_id AND mp.utt_no = pc.utt_no AND mp.no = pc.no)), 0)::INT AS covered, len(ws)::INT AS words FROM pc")
+def a13_phrase_coverage(spark, sf):
+    return A.phrase_coverage(V.utterances(spark, sf))
+
+
+@query(AN + "SELECT label FROM u0 WHERE len(ps) = 0")
+def s17_integrity(spark, sf):
+    return A.integrity_errors(V.utterances(spark, sf))
+
+
+@query()
+def k13_xml(spark, sf):
+    return A.to_xml(V.utterances(spark, sf))
+
+
+@query()
+def k14_json(spark, sf):
+    return A.to_json(V.utterances(spark, sf))
+
+
+@query(AN + "SELECT doc_id, utt_no, (2 + 3 * len(ps))::BIGINT AS terms FROM u0")
+def k15_flat_sequence(spark, sf):
+    return A.flat_sequence(V.utterances(spark, sf)).groupBy("doc_id", "utt_no").agg(F.count("*").alias("terms"))
+
+
+@query(AN + ", n AS (SELECT doc_id, utt_no, sum(nc)::BIGINT AS cands FROM pc GROUP BY ALL) SELECT u0.label, text, len(ps)::INT AS phrases, coalesce(cands, 0) AS cands FROM u0 LEFT JOIN n USING (doc_id, utt_no)")
+def s13_segmentation(spark, sf):
+    u = A.from_sequence(A.flat_sequence(V.utterances(spark, sf)))
+    return u.select("label", "text", F.size("phrases").alias("phrases"), F.aggregate("phrases", F.lit(0).cast("long"), lambda a, p: a + F.size(p["cands"])).alias("cands"))
 
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
