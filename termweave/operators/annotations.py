@@ -78,8 +78,8 @@ def threshold_prefix(ph: DataFrame, threshold: int) -> DataFrame:
 
 def first_of_concept(ph: DataFrame) -> DataFrame:
     """The first candidate of each preferred name, in order."""
-    names = F.transform("cands", lambda e: e["preferred_name"])
-    return ph.withColumn("cands", F.filter("cands", lambda e, k: F.array_position(names, e["preferred_name"]) == k + 1))
+    first = lambda names: F.filter("cands", lambda e, k: F.array_position(names, e["preferred_name"]) == k + 1)
+    return ph.withColumn("cands", F.transform(F.array(F.transform("cands", lambda e: e["preferred_name"])), first)[0])
 
 
 def truncated(ph: DataFrame, n: int, column: str) -> DataFrame:

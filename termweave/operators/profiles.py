@@ -66,10 +66,10 @@ def top_types(prof: DataFrame, n: int = 10) -> DataFrame:
     """(doc_id, rank, semtype, score decimal(18,4)): the n best distinct scores, in units of a ten-thousandth; within a document's own array, without a shuffle."""
     names = F.array(*[F.lit(t) for t in SEMANTIC_TYPES])
     ranked = F.slice(F.reverse(F.array_sort(F.zip_with("profile", F.sequence(F.lit(0), F.lit(len(SEMANTIC_TYPES) - 1)), lambda s, p: F.struct(s.alias("score"), p.alias("pos"))))), 1, len(SEMANTIC_TYPES))
-    x = prof.select("doc_id", ranked.alias("r"))
-    # Descending by score, then position: the first of each score has its last position.
-    first = F.filter("r", lambda e, i: (i == 0) | (F.get(F.col("r"), i - 1)["score"] != e["score"]))
-    x = x.select("doc_id", F.slice(first, 1, n).alias("r")).select("doc_id", F.posexplode("r").alias("k", "e"))
+    # Descending by score, then position: the first of each score has its last position.  The one-element array sorts only once.
+    first = lambda r: F.filter(r, lambda e, i: (i == 0) | (F.get(r, i - 1)["score"] != e["score"]))
+    x = prof.select("doc_id", F.slice(F.transform(F.array(ranked), first)[0], 1, n).alias("r"))
+    x = x.select("doc_id", F.posexplode("r").alias("k", "e"))
     return x.select("doc_id", (F.col("k") + 1).alias("rank"), F.get(names, F.col("e.pos")).alias("semtype"), (F.col("e.score").cast("decimal(18,0)") * F.lit("0.0001").cast("decimal(5,4)")).cast("decimal(18,4)").alias("score"))
 
 
