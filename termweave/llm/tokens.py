@@ -9,7 +9,7 @@ from .common import worker_cache
 
 #: The tokenizer of the queries; every operator takes another path as a parameter.
 TOKENIZER, END_ID = "word_bpe_49k.json", 1
-#: Words kept at once in a worker, so that its memory is bounded; beyond it the dictionary starts anew.
+#: Words kept at once in a worker, so that its memory is bounded; beyond it a new generation starts.
 MOST_WORDS = 400_000
 
 
@@ -27,7 +27,7 @@ class WordIds(dict):
     which gives the same ids sooner; all others, and added tokens, take the library's whole path.
     """
 
-    usual = re.compile("([a-zß-öø-ÿ]+)([.,]?)")
+    letters = re.compile("[a-zß-öø-ÿ]+")
     plain = re.compile("[A-Za-z0-9À-ÖØ-öø-ÿ!-&(-;=-@\\[-`{-~]+")
     pieces = re.compile("[a-zß-öø-ÿ]+|[0-9]|[!-&(-/:-@\\[-`{-~]+")
 
@@ -35,36 +35,39 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.whole = Tokenizer.from_file(path)
-        self.model, self.parts = self.whole.model, {}
+        self.whole, self.before = Tokenizer.from_file(path), {}
+        self.tokenize = self.whole.model.tokenize
+        self.raw = [i.to_bytes(4, "little") for i in range(self.whole.get_vocab_size())]
         # Byte-level alphabets name printable bytes by themselves and the others by code points from 256 on.
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         names = {b: chr(b) for b in shown}
         names.update({b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in names)})
-        self.letters = {ord(c): "".join(names[b] for b in c.encode()) for c in map(chr, range(192, 256))}
+        self.named = {ord(c): "".join(names[b] for b in c.encode()) for c in map(chr, range(192, 256))}
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= MOST_WORDS:
+        ids = self.before.get(word)
+        if ids is None:
+            ids = self.bpe(word.decode()) if word.isalpha() and word.islower() else self.other(word.decode())
+        if len(self) >= MOST_WORDS:  # the words of the last generation stay at hand
+            self.before = dict(self)
             self.clear()
-        text = word.decode()
-        if usual := self.usual.fullmatch(text.lower() if text.isascii() or self.plain.fullmatch(text) else ""):
-            piece, sign = usual.groups()
-            ids = self.parts.get(piece) or self.part(piece)
-            if sign:
-                ids += self.parts.get(sign) or self.part(sign)
-        elif self.plain.fullmatch(text):
-            ids = b"".join([self.parts.get(p) or self.part(p) for p in self.pieces.findall(text.lower())])
-        else:
-            ids = array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
         self[word] = ids
         return ids
 
-    def part(self, piece: str) -> bytes:
-        if len(self.parts) >= MOST_WORDS:
-            self.parts.clear()
-        named = piece if piece.isascii() else piece.translate(self.letters)
-        ids = self.parts[piece] = array("I", [t.id for t in self.model.tokenize(named)]).tobytes()
-        return ids
+    def bpe(self, piece: str) -> bytes:
+        raw = self.raw
+        return b"".join([raw[t.id] for t in self.tokenize(piece if piece.isascii() else piece.translate(self.named))])
+
+    def other(self, text: str) -> bytes:
+        if self.plain.fullmatch(text):
+            found = self.pieces.findall(text.lower())
+            return self.bpe(found[0]) if len(found) == 1 else b"".join([self[p.encode()] for p in found])
+        return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
+
+
+#: Texts of these bytes alone are of Latin letters, digits, full stops and commas; pairs of signs are cut as one piece.
+SIMPLE = bytes([*b"abcdefghijklmnopqrstuvwxyz0123456789., \t\n\x0b\x0c\r", 0xC3, *range(0x80, 0xC0)])
+NOT_SIMPLE = (b"..", b",,", b".,", b",.", b"\xc3\x97", b"\xc3\xb7")
 
 
 def encoder(path: str):
@@ -75,6 +78,12 @@ def encoder(path: str):
     word_ids = known[path]
 
     def encode(text: str | None) -> bytes:
-        return b"".join(map(word_ids.__getitem__, text.encode("utf-8", "surrogatepass").split())) if text else b""
+        if not text:
+            return b""
+        raw = text.encode("utf-8", "surrogatepass")
+        low = raw.lower()
+        if not low.translate(None, SIMPLE) and not any(map(low.__contains__, NOT_SIMPLE)):
+            raw = low.replace(b".", b" . ").replace(b",", b" , ")  # the same pieces, and fewer different words
+        return b"".join(map(word_ids.__getitem__, raw.split()))
 
     return encode
