@@ -50,10 +50,21 @@ def templates_frame(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
     return spark.createDataFrame([(n, t) for n, t in templates if re.search(r"\w", t)], "license string, template string")
 
 
-def _windows(h: str, w: Column, step: Column) -> Column:
+def _windows(h: Column, w: Column, step: Column) -> Column:
     """Positions, from 1, of windows of w over the array h, the last one at its end."""
     n = F.size(h) - w + 1
-    return F.when(n >= 1, F.array_distinct(F.concat(F.sequence(F.lit(1), n, step), F.array(n))))
+    return F.when(n >= 1, F.array_distinct(F.concat(F.sequence(F.lit(1), n, step), F.array(n)))).otherwise(F.array().cast("array<int>"))
+
+
+def _agreeing(hashes: Column, width: int, wanted: Column) -> Column:
+    """array<struct<pos, bands>>: windows of the width that have a wanted signature.
+
+    They are signed within the document's row, with its hashes bound to a name so that they are not made anew for each window;
+    only those that agree with a template leave the row, so that long texts are not copied for every window.
+    """
+    w = F.lit(width)
+    sign = lambda h: F.transform(_windows(h, w, F.lit(max(1, width // 8))), lambda p: F.struct(p.alias("pos"), _bands(h, p, w).alias("bands")))
+    return F.transform(F.array(hashes), lambda h: F.filter(sign(h), lambda s: F.arrays_overlap(s["bands"], wanted)))[0]
 
 
 def scan(docs: DataFrame, templates: DataFrame, id_col: str = "doc_id", text_col: str = "text", containment: float = CONTAINMENT, shingle: int = SHINGLE) -> DataFrame:
@@ -91,9 +102,9 @@ def scan(docs: DataFrame, templates: DataFrame, id_col: str = "doc_id", text_col
     bands = spark.createDataFrame([(r.license, r.k, r.width, r["at"], b, s, r.n, r.set) for r in known for b, s in enumerate(r.bands)], "license string, k int, width int, at int, band int, sig bigint, n int, set array<string>")
     hits = None
     for k, width in sorted({(r.k, r.width) for r in known}):
-        at = _windows(f"h{k}", F.lit(width), F.lit(max(1, width // 8)))
-        x = d.select("doc_id", "w", f"h{k}", F.explode(at).alias("pos"))
-        x = x.select("doc_id", "w", "pos", F.posexplode(_bands(F.col(f"h{k}"), F.col("pos"), F.lit(width))).alias("band", "sig"))
+        wanted = F.array(*[F.lit(x) for x in sorted({s for r in known if (r.k, r.width) == (k, width) for s in r.bands})])
+        x = d.select("doc_id", "w", F.explode(_agreeing(F.col(f"h{k}"), width, wanted)).alias("s"))
+        x = x.select("doc_id", "w", F.col("s.pos").alias("pos"), F.posexplode("s.bands").alias("band", "sig"))
         b = bands.where((F.col("k") == k) & (F.col("width") == width)).withColumnRenamed("band", "tband").withColumnRenamed("sig", "tsig")
         # Bounded by the templates: four rows a chunk.
         x = x.join(F.broadcast(b), (F.col("band") == F.col("tband")) & (F.col("sig") == F.col("tsig")))
