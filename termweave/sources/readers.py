@@ -56,7 +56,7 @@ def parse_lexicon(records: DataFrame) -> DataFrame:
 
     A record without base or entry is an error that names what its first line holds.
     """
-    lines = F.split(F.regexp_replace(F.regexp_replace("value", r"\n?\}?\s*$", ""), r"^\s*\{", ""), "\n")
+    lines = F.split(F.regexp_replace(F.regexp_replace("value", r"(\n\})?\s*$", ""), r"^\s*\{", ""), "\n")
     pairs = F.transform(F.filter(lines, lambda s: F.trim(s) != ""), lambda s: F.struct(F.substring_index(F.trim(F.translate(s, "\t", " ")), "=", 1).alias("k"), F.regexp_replace(s, "^[^=]*=?", "").alias("v")))
     x = records.withColumn("p", pairs)
     keys = F.array_distinct(F.transform("p", lambda p: p["k"]))
