@@ -100,24 +100,32 @@ def scan(docs: DataFrame, templates: DataFrame, id_col: str = "doc_id", text_col
     d = d.select("doc_id", parsed.alias("p")).where(F.arrays_overlap(F.concat(*[F.col(f"p.h{k}") for k in sized]), literal))
     d = d.select("doc_id", "p.*")
     bands = spark.createDataFrame([(r.license, r.k, r.width, r["at"], b, s, r.n, r.set) for r in known for b, s in enumerate(r.bands)], "license string, k int, width int, at int, band int, sig bigint, n int, set array<string>")
-    hits = None
-    for k, width in sorted({(r.k, r.width) for r in known}):
-        wanted = F.array(*[F.lit(x) for x in sorted({s for r in known if (r.k, r.width) == (k, width) for s in r.bands})])
-        x = d.select("doc_id", "w", F.explode(_agreeing(F.col(f"h{k}"), width, wanted)).alias("s"))
-        x = x.select("doc_id", "w", F.col("s.pos").alias("pos"), F.posexplode("s.bands").alias("band", "sig"))
-        b = bands.where((F.col("k") == k) & (F.col("width") == width)).withColumnRenamed("band", "tband").withColumnRenamed("sig", "tsig")
-        # Bounded by the templates: four rows a chunk.
-        x = x.join(F.broadcast(b), (F.col("band") == F.col("tband")) & (F.col("sig") == F.col("tsig")))
-        start = F.col("pos") - F.col("at")
-        slack = F.floor(F.col("n") / 4).cast("int")
-        low = F.greatest(start - slack, F.lit(0))
-        passage = F.slice("w", low + 1, F.col("n") + k - 1 + 2 * slack)
-        inside = F.array_intersect(F.col("set"), _shingles_of(passage, k))
-        x = x.select("doc_id", "license", (F.size(inside) / F.size(F.array_distinct("set"))).alias("containment"), F.greatest(start, F.lit(0)).alias("first_word"))
-        hits = x if hits is None else hits.unionByName(x)
+    # All classes of windows come from one pass over the texts.
+    classes = sorted({(r.k, r.width) for r in known})
+    agreeing = []
+    for k, width in classes:
+        wanted = F.array(*[F.lit(x) for x in sorted({x for r in known if (r.k, r.width) == (k, width) for x in r.bands})])
+        own = F.transform(_agreeing(F.col(f"h{k}"), width, wanted), _classed(k, width))
+        agreeing.append(own)
+    x = d.select("doc_id", "w", F.explode(F.concat(*agreeing)).alias("s"))
+    x = x.select("doc_id", "w", F.col("s.k").alias("wk"), F.col("s.width").alias("wwidth"), F.col("s.pos").alias("pos"), F.posexplode("s.bands").alias("wband", "wsig"))
+    # Bounded by the templates: four rows a chunk.
+    x = x.join(F.broadcast(bands), (F.col("wk") == F.col("k")) & (F.col("wwidth") == F.col("width")) & (F.col("wband") == F.col("band")) & (F.col("wsig") == F.col("sig")))
+    start = F.col("pos") - F.col("at")
+    slack = F.floor(F.col("n") / 4).cast("int")
+    passage = F.slice("w", F.greatest(start - slack, F.lit(0)) + 1, F.col("n") + F.col("k") - 1 + 2 * slack)
+    held = F.when(F.col("k") == sized[0], _shingles_of(passage, sized[0]))
+    for k in sized[1:]:
+        held = held.when(F.col("k") == k, _shingles_of(passage, k))
+    share = F.size(F.array_intersect("set", held)) / F.size(F.array_distinct("set"))
+    hits = x.select("doc_id", "license", share.alias("containment"), F.greatest(start, F.lit(0)).alias("first_word"))
     return hits.where(F.col("containment") >= containment).groupBy("doc_id", "license").agg(F.max("containment").alias("containment"), F.min("first_word").cast("int").alias("first_word"))
 
 
+def _classed(k: int, width: int):
+    return lambda s: F.struct(F.lit(k).alias("k"), F.lit(width).alias("width"), s["pos"].alias("pos"), s["bands"].alias("bands"))
+
+
 def _shingles_of(passage: Column, k: int) -> Column:
     """As _shingles, with the passage cut once."""
     return F.transform(F.array(passage), lambda p: _shingles(p, k))[0]
