@@ -98,7 +98,7 @@ def index_statistics(lines: DataFrame) -> DataFrame:
 
 def read_paragraphs(spark: SparkSession, path: str) -> DataFrame:
     """(text): paragraphs that an empty line ends; single line ends become blanks, leading white space goes; unended text is dropped."""
-    x = spark.read.option("wholetext", True).text(path)
+    x = spark.read.text(path, wholetext=True)
     parts = F.split("value", "\n\n", -1)
     return x.select(F.explode(F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0)))).alias("p")).select(F.regexp_replace(F.translate("p", "\n", " "), r"^[ \t\n]+", "").alias("text")).where("text <> ''")
 
