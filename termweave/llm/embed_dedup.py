@@ -12,8 +12,6 @@ from .vectors import matrix, unit, usable
 
 #: Vectors that k-means is fitted on, vectors to a cell on average, cells at most, and vectors to a block.
 FIT_SAMPLE, CELL_ROWS, MOST_CELLS, BLOCK_ROWS = 20_000, 2_000, 2_048, 2_048
-#: A vector also visits cells whose centre is nearly as close as its own: by so much of a cosine, for links at 0.95.
-MARGIN = 0.15
 
 
 def spherical_kmeans(x, k: int, rounds: int = 8):
@@ -30,12 +28,12 @@ def spherical_kmeans(x, k: int, rounds: int = 8):
     return centres
 
 
-def near_duplicate_vectors(frame: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vec_col: str = "embedding", margin: float = MARGIN) -> DataFrame:
+def near_duplicate_vectors(frame: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each row of frame.
 
-    Vectors link if their cosine in double precision is at least the threshold and they share a cell: each lives in the cell of
-    its nearest centre and also visits those whose centre is nearly as near, so that cell borders lose hardly any link.  Equal
-    vectors are compared once and count as often as they occur.  A cell of any size is compared block against block: a task holds
+    Vectors link if their cosine in double precision is at least the threshold.  Each lives in the cell of its nearest centre and
+    visits every cell whose border is within half the threshold's angle: of two linked vectors with different homes one is that
+    near to the border between them, so it visits the other's home, and no link is lost whatever the centres.  Equal vectors are compared once and count as often as they occur.  A cell of any size is compared block against block: a task holds
     two blocks, and returns counts and a spanning forest of links, never all pairs.
     Vectors that are null, zero, of another length than most, or that hold null or non-finite components link with nothing; so
     does a row with a null id, which is kept.  Rows that share an id but not a vector are linked as one node.  Empty tables give none.
@@ -50,15 +48,20 @@ def near_duplicate_vectors(frame: DataFrame, threshold: float = 0.95, id_col: st
         sample = reps.orderBy("k").limit(FIT_SAMPLE).select("v").collect()
         centres = spherical_kmeans(unit(np.array([r.v for r in sample])), max(1, min(MOST_CELLS, len(sample), n // CELL_ROWS)))
         held = spark.sparkContext.broadcast(centres)
+        reach = np.sin(np.arccos(np.clip(threshold, -1.0, 1.0)) / 2) + 1e-7
 
     def assign(batches):
         import pyarrow as pa
 
+        c = held.value
+        square = (c * c).sum(1)
+        apart = np.sqrt(np.maximum(square[:, None] + square - 2 * c @ c.T, 0))
         for b in batches:
             x = unit(matrix(b.column(3)))
-            near = x @ held.value.T
+            near = x @ c.T
             home = near.argmax(1)
-            at, cell = np.nonzero(near >= near[np.arange(len(x)), home][:, None] - margin)
+            # (own - other) / apart is the sine of the angle to the border between two cells.
+            at, cell = np.nonzero(near[np.arange(len(x)), home][:, None] - near <= reach * apart[home] + 1e-9)
             visits = [c.astype(np.int32) for c in np.split(cell, np.cumsum(np.bincount(at, minlength=len(x)))[:-1])]
             take = pa.array(at)
             yield pa.RecordBatch.from_arrays(

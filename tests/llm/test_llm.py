@@ -211,6 +211,15 @@ def test_vector_links(spark, monkeypatch):
     assert embed_dedup.near_duplicate_vectors(frame(spark, x).limit(0)).count() == 0
 
 
+def test_vector_links_across_cell_borders(spark, monkeypatch):
+    monkeypatch.setattr(embed_dedup, "CELL_ROWS", 8)
+    x = np.random.default_rng(5).normal(size=(400, 3))
+    got = {r.vec_id: r.n_links for r in embed_dedup.near_duplicate_vectors(frame(spark, x)).collect()}
+    u = x.astype(np.float32).astype(np.float64)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    assert [got[i] for i in range(len(x))] == ((u @ u.T >= 0.95).sum(1) - 1).tolist()
+
+
 def test_nearest(spark):
     x = vectors()
     got = ann.nearest(frame(spark, x, ODD)).collect()
