@@ -10,8 +10,10 @@ from .components import connected_components
 from .simhash import _forest
 from .vectors import matrix, unit, usable
 
-#: Vectors that k-means is fitted on, vectors to a cell on average, cells at most, and vectors to a block.
-FIT_SAMPLE, CELL_ROWS, MOST_CELLS, BLOCK_ROWS = 20_000, 2_000, 2_048, 2_048
+#: Vectors that k-means is fitted on, vectors to a cell on average, cells at most, a cell's own vectors to a block, and its guests to a block.
+FIT_SAMPLE, CELL_ROWS, MOST_CELLS, BLOCK_ROWS, GUEST_ROWS = 20_000, 2_000, 2_048, 2_048, 8_192
+#: Cosines that a task holds at once.
+MOST_COSINES = 2_000_000
 
 
 def spherical_kmeans(x, k: int, rounds: int = 8):
@@ -71,10 +73,13 @@ def near_duplicate_vectors(frame: DataFrame, threshold: float = 0.95, id_col: st
 
     if n:
         placed = durable(reps.mapInArrow(assign, "cell int, home int, k string, rep long, times long, visits binary, x binary"))
-        sizes = {r.cell: r.n for r in placed.groupBy("cell").agg(F.count("*").alias("n")).collect()}  # a row a cell
-        blocks = spark.createDataFrame([(c, -(-m // BLOCK_ROWS)) for c, m in sizes.items()], "bcell int, blocks long")
-        own = placed.join(F.broadcast(blocks), F.col("cell") == F.col("bcell")).withColumn("block", F.pmod(F.xxhash64("k"), F.col("blocks")))
-        dealt = own.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("lo", F.least("block", "with")).withColumn("hi", F.greatest("block", "with"))
+        at_home = F.col("home") == F.col("cell")
+        sizes = placed.groupBy("cell").agg(F.count_if(at_home).alias("own"), F.count_if(~at_home).alias("guests")).collect()  # a row a cell
+        # Blocks of a cell's own vectors come first, then blocks of guests, which are compared with the former only.
+        blocks = spark.createDataFrame([(r.cell, -(-r.own // BLOCK_ROWS), -(-r.guests // GUEST_ROWS)) for r in sizes if r.own], "bcell int, homes long, guests long")
+        h = F.xxhash64("k")
+        own = placed.join(F.broadcast(blocks), F.col("cell") == F.col("bcell")).withColumn("block", F.when(at_home, F.pmod(h, F.col("homes"))).otherwise(F.col("homes") + F.pmod(h, F.greatest("guests", F.lit(1)))))
+        dealt = own.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("homes") - 1 + F.when(at_home, F.col("guests")).otherwise(0)))).withColumn("lo", F.least("block", "with")).withColumn("hi", F.greatest("block", "with"))
 
         def compare(key, t):
             import pyarrow as pa
@@ -82,25 +87,28 @@ def near_duplicate_vectors(frame: DataFrame, threshold: float = 0.95, id_col: st
             x = np.frombuffer(b"".join(t.column("x").to_pylist()), np.float64).reshape(t.num_rows, -1)
             cell, lo, hi = (k.as_py() for k in key)
             home, block, times = (t.column(c).to_numpy() for c in ("home", "block", "times"))
-            visits = [set(np.frombuffer(v, np.int32).tolist()) for v in t.column("visits").to_pylist()]
+            seen = t.column("visits").to_pylist()
+            # Sorted: a row's number, then the cells it visits.
+            visits = np.repeat(np.arange(t.num_rows) << 32, [len(v) // 4 for v in seen]) + np.frombuffer(b"".join(seen), np.int32)
             left = np.nonzero(block == lo)[0]
             right = np.nonzero(block == hi)[0]
             count, ea, eb = np.zeros(t.num_rows, np.int64), [], []
             narrow = x.astype(np.float32)
-            for i in range(0, len(left), 1024):
-                part = left[i : i + 1024]
+            step = max(1, MOST_COSINES // max(1, len(right)))
+            for i in range(0, len(left), step):
+                part = left[i : i + step]
                 s = narrow[part] @ narrow[right].T
                 a, b = np.nonzero(s >= threshold - 1e-4)
                 a, b = part[a], right[b]
-                keep = (a < b) if lo == hi else np.ones(len(a), bool)
-                keep &= (home[a] == cell) | (home[b] == cell)  # two guests meet at the home of one, if at all
-                a, b = a[keep], b[keep]
+                if lo == hi:
+                    a, b = a[a < b], b[a < b]
                 exact = np.concatenate([(x[a[j : j + 100_000]] * x[b[j : j + 100_000]]).sum(1) for j in range(0, len(a), 100_000)]) if len(a) else np.empty(0)
                 a, b = a[exact >= threshold], b[exact >= threshold]
                 # A pair that meets in both homes counts in the lower one.
-                twice = np.nonzero(home[a] != home[b])[0]
-                drop = [j for j in twice.tolist() if max(home[a[j]], home[b[j]]) == cell and min(home[a[j]], home[b[j]]) in (visits[a[j]] if home[a[j]] == cell else visits[b[j]])]
-                a, b = np.delete(a, drop), np.delete(b, drop)
+                here, other = np.where(home[a] == cell, a, b), np.where(home[a] == cell, home[b], home[a])
+                pair = (here << 32) + other
+                met = visits[np.minimum(np.searchsorted(visits, pair), len(visits) - 1)] == pair
+                a, b = a[(other >= cell) | ~met], b[(other >= cell) | ~met]
                 np.add.at(count, a, times[b])
                 np.add.at(count, b, times[a])
                 for p, q in _forest(a, b, t.num_rows) if len(a) else ():

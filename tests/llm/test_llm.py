@@ -197,6 +197,7 @@ ODD = [(9000, None, 1.0), (9001, [0.0] * 16, 1.0), (9002, [float("nan")] + [1.0]
 def test_vector_links(spark, monkeypatch):
     monkeypatch.setattr(embed_dedup, "CELL_ROWS", 100)
     monkeypatch.setattr(embed_dedup, "BLOCK_ROWS", 30)
+    monkeypatch.setattr(embed_dedup, "GUEST_ROWS", 40)
     x = vectors()
     got = {r.vec_id: r for r in embed_dedup.near_duplicate_vectors(frame(spark, x, ODD)).collect()}
     u = x / np.linalg.norm(x, axis=1, keepdims=True)
