@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from termweave.llm import mixing, packing, pu_quality, simhash, toxicity
+from termweave.llm import mixing, near_copies, packing, pu_quality, toxicity
 from termweave.llm.common import shared_dir, table
 
 
@@ -21,8 +21,8 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: that with the smallest id."""
-    return simhash.keep_one_of_each(docs)
+    """One document of each group of near copies (five-word shingles, Jaccard similarity of 0.8 or more): that with the smallest id."""
+    return near_copies.keep_one_of_each(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
