@@ -51,9 +51,9 @@ def templates_frame(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
 
 
 def _windows(h: Column, w: Column, step: Column) -> Column:
-    """Positions, from 1, of windows of w over the array h, the last one at its end."""
+    """Positions, from 1, of windows of w over the array h, the last one at its end; a shorter array is one window."""
     n = F.size(h) - w + 1
-    return F.when(n >= 1, F.array_distinct(F.concat(F.sequence(F.lit(1), n, step), F.array(n)))).otherwise(F.array().cast("array<int>"))
+    return F.when(n >= 1, F.array_distinct(F.concat(F.sequence(F.lit(1), n, step), F.array(n)))).when(F.size(h) > 0, F.array(F.lit(1))).otherwise(F.array().cast("array<int>"))
 
 
 def _agreeing(hashes: Column, width: int, wanted: Column) -> Column:
