@@ -53,3 +53,9 @@ def test_similarity_of_just_the_bound_links():
     sets = [np.arange(0, 9, dtype=np.uint64), np.arange(1, 10, dtype=np.uint64), np.arange(3, 10, dtype=np.uint64), np.empty(0, np.uint64)]
     assert sorted(tuple(sorted(e)) for e in near_copies.similar_forest(sets)) == [(0, 1)]
     assert near_copies.similar_forest([np.arange(4, dtype=np.uint64), np.arange(5, dtype=np.uint64)]) == [(0, 1)]
+
+
+def test_rows_that_share_an_id_but_not_a_text(spark):
+    rows = [(1, "a b c d e f g"), (1, "a b c d e f g"), (2, "a b c d e f g"), (2, "h i j k l m n"), (2, "o p q r s t u")]
+    got = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF)
+    assert sorted(map(tuple, got.collect())) == [rows[0], rows[3], rows[4]]
