@@ -1,3 +1,5 @@
+import numpy as np
+
 from termweave.llm import licenses
 
 
@@ -8,3 +10,16 @@ def scanned(spark, texts, templates):
 def test_texts_shorter_than_a_window(spark):
     texts = ["work is licensed under the GNU General Public License, version 3", "This work is licensed under the GNU General Public License, version", "under the GNU General Public License, version 3"]
     assert scanned(spark, texts, licenses.templates_frame(spark)) == {0, 1}
+
+
+def test_misaligned_windows_of_a_long_template(spark):
+    rng = np.random.default_rng(17)
+    texts, names = [], []
+    for k in range(150):
+        words = [f"t{k}w{i}" for i in range(68)]  # 64 shingles: windows step by 8
+        names.append((f"t{k}", " ".join(words)))
+        at = int(rng.integers(5, 55))
+        words[at : at + 8] = [f"new{k}x{i}" for i in range(8)]  # 52 of 64 shingles stay
+        texts.append(" ".join([f"before{k}x{i}" for i in range(4)] + words + [f"after{k}x{i}" for i in range(40)]))
+    schema = "license string, template string"
+    assert scanned(spark, texts[100:150], spark.createDataFrame(names[100:150], schema)) == set(range(50))  # four signatures miss one of these
