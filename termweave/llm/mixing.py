@@ -10,6 +10,8 @@ from .common import durable, text_or_empty
 #: Weights of the sources in order of code points, null last, repeating; a source gives at most so many times its size.
 WEIGHTS, MOST_EPOCHS = (5, 2, 1), 3
 SEED = "mix-1"
+#: Sources that are broadcast at most (a row of under 100 bytes each), salts beyond that, bins a round, and rows of a source sorted at the end.
+BROADCAST_SOURCES, SALTS, BINS, FEW_ROWS = 50_000, 64, 1024, 20_000
 
 
 def word_count(column: str = "text") -> Column:
@@ -48,40 +50,57 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most:
     return x.withColumn("target", F.when(F.col("final").isNull() | (F.struct("ratio", "rank") < F.struct("final.ratio", "final.rank")), F.col("stop")).otherwise(F.col("final.level") * F.col("w"))).drop("rank", "w", "stop", "ratio", "level", "final")
 
 
+def _with_source(rows: DataFrame, per_source: DataFrame, own: str, theirs: str) -> DataFrame:
+    """rows joined with one row a source: broadcast while those are few, else dealt by source and salt; no source meets in one task.
+
+    per_source must be cheap to read twice.  With many sources each of its rows is sent to SALTS places, and a source's rows are spread over them.
+    """
+    same = F.col(own).eqNullSafe(F.col(theirs))
+    if per_source.count() <= BROADCAST_SOURCES:
+        return rows.join(F.broadcast(per_source), same)
+    left, right = rows.withColumn("salt", F.pmod(F.xxhash64("id", "key"), F.lit(SALTS))), per_source.withColumn("psalt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return left.join(right, same & (F.col("salt") == F.col("psalt"))).drop("salt", "psalt")
+
+
 def _plan(rows: DataFrame, weights, most) -> DataFrame:
-    """rows: (src, id, size, weight, key).  For each source: source_size, target, epochs, and where the fraction ends: cbin, last_key, last_id.
+    """rows: (src, id, size, weight, key).  For each source: source_size, target, epochs, and where the fraction ends: lo, last_key, last_id.
 
-    The crossing of a source's budget is found in two steps, so that a source of any size is never sorted in one task: sums over
-    about sqrt(n) bins of the key, and an exact running sum within the one bin where the budget is crossed.
+    Where a source's running sum in order of keys crosses its budget is found by halving in: each round deals the keys that are
+    still in question into bins, sums those, and goes on within the bin that crosses, until it holds few rows or one key.  So a
+    source of any size, with keys of any distribution, is never sorted in one task; at the end few rows a source are.
     """
-    sizes = rows.groupBy("src").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"), F.avg("weight").alias("rate"))
+    sizes = rows.groupBy("src").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"), F.min("key").alias("lo"), F.max("key").alias("hi"))
     t = source_targets(sizes, weights, most)
     t = t.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
-    t = t.withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size")).withColumn("bins", F.ceil(F.sqrt("n")))
-    t = durable(t)
-    binned = rows.join(t.where("budget > 0").select(F.col("src").alias("tsrc"), "bins", "rate", "budget"), F.col("src").eqNullSafe(F.col("tsrc"))).withColumn("bin", _bin())
-    sums = binned.groupBy("src", "bin", "budget").agg(F.sum("size").alias("s"))
-    upto = sums.withColumn("upto", F.sum("s").over(Window.partitionBy("src").orderBy("bin")))
-    cross = upto.where("upto >= budget and upto - s < budget").select(F.col("src").alias("csrc"), F.col("bin").alias("cbin"), (F.col("upto") - F.col("s")).alias("base"))
-    inside = binned.join(cross, F.col("src").eqNullSafe(F.col("csrc")) & (F.col("bin") == F.col("cbin")))
-    # The default frame takes rows that tie in key and id together.
-    run = inside.withColumn("upto", F.col("base") + F.sum("size").over(Window.partitionBy("src").orderBy("key", "id")))
+    t = durable(t.withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size")))
+    at = t.where("budget > 0").select(F.col("src").alias("csrc"), "budget", "lo", "hi", "n", F.lit(0).cast("long").alias("base"), F.lit(0).cast("long").alias("before"))
+    while True:
+        left = at.where((F.col("n") > FEW_ROWS) & (F.col("lo") < F.col("hi")))
+        if left.isEmpty():
+            break
+        inside = _with_source(rows, left, "src", "csrc").where((F.col("key") >= F.col("lo")) & (F.col("key") <= F.col("hi")))
+        bin_ = F.least(F.floor((F.col("key") - F.col("lo")) / (F.col("hi") - F.col("lo")) * BINS), F.lit(BINS - 1))
+        sums = inside.groupBy("csrc", "budget", F.col("base").alias("b0"), F.col("before").alias("n0"), bin_.alias("bin")).agg(F.sum("size").alias("s"), F.count("*").alias("n"), F.min("key").alias("lo"), F.max("key").alias("hi"))
+        upto = Window.partitionBy("csrc").orderBy("bin")
+        sums = sums.withColumn("upto", F.col("b0") + F.sum("s").over(upto)).withColumn("rows_upto", F.col("n0") + F.sum("n").over(upto))
+        finer = sums.where("upto >= budget and upto - s < budget").select("csrc", "budget", "lo", "hi", "n", (F.col("upto") - F.col("s")).alias("base"), (F.col("rows_upto") - F.col("n")).alias("before"))
+        at = durable(finer.unionByName(at.where((F.col("n") <= FEW_ROWS) | (F.col("lo") >= F.col("hi")))))
+    inside = _with_source(rows, at, "src", "csrc").where((F.col("key") >= F.col("lo")) & (F.col("key") <= F.col("hi")))
+    # Rows that tie in key and id are taken together, and meet as one.
+    inside = inside.groupBy("csrc", "budget", "base", "before", "lo", "key", "id").agg(F.sum("size").alias("size"))
+    run = inside.withColumn("upto", F.col("base") + F.sum("size").over(Window.partitionBy("csrc").orderBy("key", "id")))
     # The document that crosses the budget is taken if that comes nearer to it than leaving it.
     near = F.min(F.struct(F.abs(F.col("upto") - F.col("budget")).alias("d"), "upto", "key", "id")).alias("at")
-    last = run.groupBy("src", "base", "budget", "cbin").agg(near)
-    some = F.col("at.d") <= F.col("budget") - F.col("base")
-    last = last.select(F.col("src").alias("lsrc"), "cbin", F.when(some, F.col("at.key")).alias("last_key"), F.when(some, F.col("at.id")).alias("last_id"))
-    return t.join(last, F.col("src").eqNullSafe(F.col("lsrc")), "left").select(F.col("src").alias("psrc"), "source_size", "target", "epochs", "bins", "rate", "cbin", "last_key", "last_id")
-
-
-def _bin() -> Column:
-    """About even over 0 to bins if keys have the source's mean rate; grows with the key."""
-    return F.floor((1.0 - F.exp(-F.col("key") * F.col("rate"))) * F.col("bins"))
+    last = run.groupBy("csrc", "base", "before", "budget", "lo").agg(near)
+    gap = F.col("budget") - F.col("base")
+    some = (F.col("at.d") < gap) | ((F.col("at.d") == gap) & (F.col("before") == 0))
+    last = last.select("csrc", "lo", F.when(some, F.col("at.key")).alias("last_key"), F.when(some, F.col("at.id")).alias("last_id"))
+    return durable(t.drop("lo").join(last, F.col("src").eqNullSafe(F.col("csrc")), "left").select(F.col("src").alias("psrc"), "source_size", "target", "epochs", "lo", "last_key", "last_id"))
 
 
 def _copies() -> Column:
-    upto_last = (F.col("bin") == F.col("cbin")) & (F.struct("key", "id") <= F.struct(F.col("last_key"), F.col("last_id"))) & F.col("last_key").isNotNull()
-    return F.col("epochs") + F.coalesce((F.col("bin") < F.col("cbin")) | upto_last, F.lit(False)).cast("long")
+    upto_last = F.struct("key", "id") <= F.struct(F.col("last_key"), F.col("last_id"))
+    return F.col("epochs") + F.coalesce((F.col("key") < F.col("lo")) | (F.col("last_key").isNotNull() & upto_last), F.lit(False)).cast("long")
 
 
 def _rows(docs: DataFrame, id_col: str, source_col: str, text_col: str, weight) -> DataFrame:
@@ -97,24 +116,29 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST_
     weight: a function from the size column to a document's weight, which may read the column text; quality_weight if None.
     A source is taken whole as often as its target allows; the rest is a weighted sample, in order of exponential keys, up to the
     document whose end is nearest to the budget.  Rows equal in source and id share a key and are taken or left together; a null
-    source is one more source, a null text has size 0, a null id counts as the least; an empty table gives none.
+    source is one more source, a null text has size 0, a null id counts as the least; an empty table gives none.  Whole texts of any
+    length are counted within their rows.  Columns of docs are read by name and never meet with those made here.
     """
     rows = durable(_rows(docs, id_col, source_col, text_col, weight))
     p = _plan(rows, weights, most)
-    x = rows.join(p, F.col("src").eqNullSafe(F.col("psrc"))).withColumn("bin", _bin()).withColumn("copies", _copies())
+    x = _with_source(rows, p, "src", "psrc").withColumn("copies", _copies())
     return x.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST_EPOCHS, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weight=None) -> DataFrame:
-    """The rows of docs as often as the mix takes them; texts are joined to one row a source, and shuffled only if those are many."""
+    """The rows of docs as often as the mix takes them, with all their columns, whatever their names.
+
+    The plan, one row a source, is broadcast while sources are few, and then no text is shuffled; beyond BROADCAST_SOURCES rows
+    move by source and salt.  Nulls, empty texts, ties, repeated rows and empty tables count as in mix.
+    """
     rows = durable(_rows(docs, id_col, source_col, text_col, weight))
     p = _plan(rows, weights, most)
-    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")  # the only column, so names cannot clash
     x = docs.select(own)
     at = lambda c: F.col(f"__row.`{c}`")
     x = x.withColumn("src", at(source_col).cast("string")).withColumn("doc_id", at(id_col).cast("long")).withColumn("id", F.coalesce("doc_id", F.lit(-(1 << 63)))).withColumn("text", at(text_col))
     x = x.withColumn("size", word_count("text")).withColumn("weight", (weight or quality_weight)(F.col("size"))).withColumn("key", sampling_key("doc_id", F.col("weight")))
-    x = x.join(p, F.col("src").eqNullSafe(F.col("psrc"))).withColumn("bin", _bin())
+    x = _with_source(x, p, "src", "psrc")
     return x.select("__row", F.explode(F.array_repeat(F.lit(0), _copies().cast("int")))).select("__row.*")
 
 
