@@ -7,13 +7,10 @@ from pyspark.sql import functions as F
 
 
 def usable(frame: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(vec_id long, v array<double>, ok boolean).  ok: an id, and a vector that is not null or zero, of finite components only, and
-    of the number of components that most such vectors have (of two as frequent, the smaller)."""
+    """(vec_id long, v array<double>, ok boolean).  ok: an id, and a vector that is not null or zero, of finite components only."""
     x = frame.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("v"))
     fine = F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != F.lit(float("inf")))) & F.exists("v", lambda c: c != 0)
-    x = x.withColumn("ok", F.coalesce(fine & F.col("vec_id").isNotNull(), F.lit(False)))
-    most = x.where("ok").groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").first()
-    return x.withColumn("ok", F.col("ok") & (F.size("v") == (most.dim if most else 0)))
+    return x.withColumn("ok", F.coalesce(fine & F.col("vec_id").isNotNull(), F.lit(False)))
 
 
 def matrix(column):
