@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import durable
-from .components import connected_components
+from .components import connected_components, star_edges
 
 #: Fingerprints from which the shards' tree is grown, and distinct fingerprints that a shard gets on average.
 TREE_SAMPLE, SHARD_ROWS = 20_000, 40_000
@@ -126,24 +126,6 @@ def _pairs_within(members, probes, radius: int, leaf: int = 256):
             yield m[a], block[b]
 
 
-def _forest(a, b, n: int):
-    """The edges of (a, b) that join different groups of 0..n-1: at most n - 1."""
-    parent = list(range(n))
-
-    def top(x):
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    out = []
-    for x, y in zip(a.tolist(), b.tolist(), strict=True):
-        if (s := top(x)) != (t := top(y)):
-            parent[max(s, t)] = min(s, t)
-            out.append((x, y))
-    return out
-
-
 def link_fingerprints(prints: DataFrame, radius: int = 2) -> DataFrame:
     """Edges (a long, b long) between nodes whose fingerprints differ in at most radius bits; prints: (node long, fp long), one row for each distinct fp.
 
@@ -173,14 +155,11 @@ def link_fingerprints(prints: DataFrame, radius: int = 2) -> DataFrame:
         fps = t.column("fp").to_numpy().view("<u8")
         nodes = t.column("node").to_numpy()
         members = np.nonzero(home)[0]
-        a, b = [], []
+        label = np.arange(len(fps))
         for m, p in _pairs_within(fps[members], fps, radius):
-            m = members[m]
-            keep = (m < p) | ~home[p] & (m != p)
-            a.append(m[keep])
-            b.append(p[keep])
-        edges = _forest(np.concatenate(a), np.concatenate(b), len(fps)) if a else []
-        return pa.table({"a": pa.array([int(nodes[x]) for x, _ in edges], pa.int64()), "b": pa.array([int(nodes[y]) for _, y in edges], pa.int64())})
+            star_edges(members[m], p, label)
+        more = np.nonzero(label != np.arange(len(fps)))[0]
+        return pa.table({"a": pa.array(nodes[more], pa.int64()), "b": pa.array(nodes[label[more]], pa.int64())})
 
     return prints.select("node", "fp").mapInArrow(route, "shard int, home boolean, node long, fp long").groupBy("shard").applyInArrow(search, "a long, b long")
 
