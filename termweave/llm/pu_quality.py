@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from .common import held_out
 #: Texts that the fit reads at most: trusted positives, and texts of any kind.
 MOST_POSITIVE, MOST_UNLABELLED = 4000, 8000
 THRESHOLD = 0.7
-SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+SIGNS = string.punctuation
 
 
 def features(text: str | None) -> list[float]:
@@ -40,14 +42,33 @@ def _matrix(rows):
     return np.array([features(t) for t in rows], np.float64).reshape(-1, 10 + len(SIGNS))
 
 
-def fit_nnpu(positive, unlabelled, prior: float, rounds: int = 600, rate: float = 0.05, decay: float = 1e-3):
-    """Weights (scale, shift, w, b) of a linear model with logistic loss.
+def nnpu_risk(w, p, u, prior: float):
+    """(gradient for a step, positive part, negative part) of the non-negative risk with logistic loss, at weights w.
 
     The risk is prior * loss of positives as positive, plus the loss of unlabelled as negative less prior * that of positives;
-    where the second part is negative, the step only takes that part back up.
+    where that second part is negative, the step only takes it back up.
     """
     import numpy as np
 
+    sp, su = 1 / (1 + np.exp(-p @ w)), 1 / (1 + np.exp(-u @ w))
+    positive = prior * np.logaddexp(0, -p @ w).mean()
+    negative = np.logaddexp(0, u @ w).mean() - prior * np.logaddexp(0, p @ w).mean()
+    as_negative = u.T @ su / len(u) - prior * (p.T @ sp) / len(p)
+    return -as_negative if negative < 0 else prior * (p.T @ (sp - 1)) / len(p) + as_negative, positive, negative
+
+
+def _against(w, p, u, _):
+    """As nnpu_risk, for telling positives from unlabelled texts, both weighing a half."""
+    import numpy as np
+
+    sp, su = 1 / (1 + np.exp(-p @ w)), 1 / (1 + np.exp(-u @ w))
+    return 0.5 * (p.T @ (sp - 1)) / len(p) + 0.5 * u.T @ su / len(u), 0.0, 0.0
+
+
+def fit_nnpu(positive, unlabelled, prior: float, rounds: int = 600, rate: float = 0.05, decay: float = 1e-3, risk=nnpu_risk):
+    """Weights (shift, scale, w, b) of a linear model that minimises the risk, by Adam."""
+    import numpy as np
+
     both = np.concatenate([positive, unlabelled])
     shift, scale = both.mean(0), both.std(0) + 1e-3
     p, u = np.clip((positive - shift) / scale, -8, 8), np.clip((unlabelled - shift) / scale, -8, 8)
@@ -55,38 +76,46 @@ def fit_nnpu(positive, unlabelled, prior: float, rounds: int = 600, rate: float
     w, m, v = np.zeros(p.shape[1]), 0.0, 0.0
     keep = np.r_[np.full(len(shift), decay), 0.0]
     for t in range(1, rounds + 1):
-        sp, su = 1 / (1 + np.exp(-p @ w)), 1 / (1 + np.exp(-u @ w))
-        negative = np.logaddexp(0, u @ w).mean() - prior * np.logaddexp(0, p @ w).mean()
-        as_negative = u.T @ su / len(u) - prior * (p.T @ sp) / len(p)
-        g = -as_negative if negative < 0 else prior * (p.T @ (sp - 1)) / len(p) + as_negative + keep * w
+        g, _, negative = risk(w, p, u, prior)
+        g = g if negative < 0 else g + keep * w
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w = w - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
     return shift, scale, w[:-1], w[-1]
 
 
-def class_prior(positive, unlabelled, labelled_share: float | None) -> float:
-    """The share of positives among unlabelled texts: that among the labelled rows where both labels occur, which are a sample of
-    them, else the share of unlabelled texts that a positives-against-unlabelled model scores like positives (Elkan and Noto)."""
+def class_prior(positive, unlabelled) -> float:
+    """The share of positives among unlabelled texts, from positives and unlabelled texts alone.
+
+    Half of each fits a model of positives against unlabelled; on the other half, the share of unlabelled over that of positives
+    above a score bounds the prior from above, and is taken at the score where it is least with a margin for both samples' sizes.
+    """
     import numpy as np
 
-    if labelled_share is not None and 0 < labelled_share < 1:
-        return float(min(0.99, max(0.01, labelled_share)))
-    shift, scale, w, b = fit_nnpu(positive, unlabelled, 0.5)
-    g = lambda x: 1 / (1 + np.exp(-np.clip((x - shift) / scale, -8, 8) @ w - b))
-    return float(min(0.99, max(0.01, g(unlabelled).mean() / max(1e-6, g(positive).mean()))))
+    shift, scale, w, b = fit_nnpu(positive[::2], unlabelled[::2], 0.5, risk=_against)
+    s = lambda x: np.sort(np.clip((x - shift) / scale, -8, 8) @ w + b)
+    p, u = s(positive[1::2] if len(positive) > 1 else positive), s(unlabelled[1::2] if len(unlabelled) > 1 else unlabelled)
+    at = np.unique(p)
+    above = lambda x: 1 - np.searchsorted(x, at) / len(x)
+    qp, qu = above(p), above(u)
+    margin = np.sqrt(np.log(40) / 2 / len(p)) + np.sqrt(np.log(40) / 2 / len(u))
+    best = int(np.argmin((qu + 1.01 * margin) / qp))
+    return float(min(0.99, max(0.01, qu[best] / qp[best])))
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", most_positive: int = MOST_POSITIVE, most_unlabelled: int = MOST_UNLABELLED):
-    """A model as plain arrays, or None where no positive text is known.  Reads bounded samples, in an order by hash of the id."""
+    """A model as plain arrays, or None where no positive text is known.
+
+    Learns from trusted positives and from texts taken as unlabelled, whatever their labels: labels that are not positive are not
+    read.  Both samples are bounded, in an order by hash of the id; of rows that share an id the text with the least hash counts.
+    """
     import numpy as np
 
     known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).alias("y")).where(~held_out() & F.col("doc_id").isNotNull() & F.col("y").isNotNull()).groupBy("doc_id").agg(F.min("y").alias("y"))
-    share = known.agg(F.avg("y").alias("s")).first().s
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t")).where(F.col("doc_id").isNotNull())
     order = F.xxhash64("doc_id", F.lit("pu"))
     ids = slim.select("doc_id").where(~held_out())
-    some = ids.join(known.where("y = 1").select("doc_id"), "doc_id", "left_semi").distinct().orderBy(order).limit(most_positive).select("doc_id", F.lit(1).alias("kind"))
-    rest = ids.distinct().orderBy(order).limit(most_unlabelled).select("doc_id", F.lit(0).alias("kind"))
+    some = ids.join(known.where("y = 1").select("doc_id"), "doc_id", "left_semi").distinct().orderBy(order, "doc_id").limit(most_positive).select("doc_id", F.lit(1).alias("kind"))
+    rest = ids.distinct().orderBy(order, "doc_id").limit(most_unlabelled).select("doc_id", F.lit(0).alias("kind"))
     # At most most_positive + most_unlabelled rows.
     chosen = some.unionByName(rest).groupBy(F.col("doc_id").alias("chosen_id")).agg(F.max("kind").alias("positive"), F.min("kind").alias("only"))
 
@@ -95,14 +124,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
         for b in batches:
             x = _matrix(t.as_py() for t in b.column("t"))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("positive"), b.column("only"), pa.array(list(x), pa.list_(pa.float64()))], names=["doc_id", "positive", "only", "x"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("positive"), b.column("only"), b.column("h"), pa.array(list(x), pa.list_(pa.float64()))], names=["doc_id", "positive", "only", "h", "x"])
 
-    got = slim.join(F.broadcast(chosen), F.col("doc_id") == F.col("chosen_id")).drop("chosen_id").mapInArrow(measure, "doc_id long, positive int, only int, x array<double>").dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
+    read = slim.join(F.broadcast(chosen), F.col("doc_id") == F.col("chosen_id")).select("doc_id", "positive", "only", F.xxhash64("t").alias("h"), "t").mapInArrow(measure, "doc_id long, positive int, only int, h long, x array<double>")
+    got = read.groupBy("doc_id", "positive", "only").agg(F.min_by("x", "h").alias("x")).orderBy("doc_id").collect()
     positive = np.array([r.x for r in got if r.positive])
     unlabelled = np.array([r.x for r in got if not r.only])
     if not len(positive) or not len(unlabelled):
         return None
-    prior = class_prior(positive, unlabelled, share)
+    prior = class_prior(positive, unlabelled)
     return (*fit_nnpu(positive, unlabelled, prior), prior)
 
 
@@ -119,8 +149,9 @@ def _scores(model, texts):
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, **fit) -> DataFrame:
     """(doc_id, held_out, score, predicted) for each row of docs; the text alone is read for a score.
 
-    Labels are learnt only where crc32 of the id as text does not leave 2 modulo 4.  Null and empty texts share one score.
-    Without any positive label all scores are 0.5.  Repeated rows score alike; an empty table gives none.
+    Labels are learnt only where crc32 of the id as text does not leave 2 modulo 4, and only positive ones.  Null and empty texts
+    share one score; whole texts of any length are read.  Without any positive label all scores are 0.5.  Repeated rows score
+    alike, a null id is scored too; an empty table gives none.  Other columns are not read, whatever their names.
     """
     model = train(docs, labels, id_col, text_col, **fit)
 
@@ -135,7 +166,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, **fit) -> DataFrame:
-    """The rows of docs whose score reaches the threshold, with all their columns; nothing is shuffled."""
+    """The rows of docs whose score reaches the threshold, with all their columns, whatever their names; nothing is shuffled.  Nulls, empty texts and repeats as in score."""
     model = train(docs, labels, id_col, text_col, **fit)
     at = docs.columns.index(text_col)
 
