@@ -18,20 +18,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _checkpoint_root(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names; only on one machine, where that is unset, one of its own."""
+    known = spark.sparkContext._jsc.sc().getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or (known.get() if known.isDefined() else None)
+    if root:
+        return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="termweave-")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder under the one that spark.checkpoint.dir names; only where that is unset (tests on one machine) a local one is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        known = spark.sparkContext._jsc.sc().getCheckpointDir()
-        root = known.get() if known.isDefined() else tempfile.mkdtemp(prefix="termweave-")
-    return f"{root.rstrip('/')}/termweave-{uuid.uuid4().hex}"
+    """A new folder under the one that spark.checkpoint.dir names."""
+    return f"{_checkpoint_root(spark)}/termweave-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that is no longer read, wherever it lies."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """The rows of df, written to the shared checkpoint folder: computed once, and read again after an executor is lost."""
+    """The rows of df, written to the shared checkpoint folder: computed once, and read again after an executor is lost.
+
+    spark.cleaner.referenceTracking.cleanCheckpoints=true makes Spark delete them once nothing refers to them.
+    """
     sc = df.sparkSession.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="termweave-"))
+        sc.setCheckpointDir(_checkpoint_root(df.sparkSession))
     return df.checkpoint(eager=True)
 
 

@@ -11,7 +11,7 @@ from .common import durable, text_or_empty
 WEIGHTS, MOST_EPOCHS = (5, 2, 1), 3
 SEED = "mix-1"
 #: Sources that are broadcast at most (a row of under 100 bytes each), salts beyond that, bins a round, and rows of a source sorted at the end.
-BROADCAST_SOURCES, SALTS, BINS, FEW_ROWS = 50_000, 64, 1024, 20_000
+BROADCAST_SOURCES, SALTS, BINS, FEW_ROWS = 50_000, 64, 1024, 2_000
 
 
 def word_count(column: str = "text") -> Column:

@@ -1,31 +1,33 @@
-"""Near copies by the Jaccard similarity of five-word shingles: MinHash bands propose groups, exact similarities decide within them."""
+"""Near copies by the Jaccard similarity of five-word shingles: SimHash trees and MinHash bands propose groups, exact similarities decide.
+
+SimHash fingerprints (simhash.py) of texts that share 0.8 of their five-word shingles differ in about 10 of 64 bits, and trees cannot
+prune at such a radius: they are asked for those within their radius, and bands of least hashes for the others.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, fresh
+from .common import durable
 from .components import connected_components
+from .simhash import fingerprint_of, keep_firsts, link_fingerprints, shingle_hashes
 
 #: Words to a shingle, and the similarity from which texts are near copies.
 WORDS, SIMILARITY = 5, 0.8
 #: Texts of similarity J share a band with probability 1 - (1 - J^ROWS)^BANDS: all but 6e-5 of pairs at 0.8, all but 3e-7 at 0.85.
 BANDS, ROWS = 32, 6
+#: Bits in which fingerprints that the trees propose differ at most.
+RADIUS = 2
+#: Texts and bytes that a task compares at most, about, and texts of a large group that all its others are compared with first.
+BLOCK_ROWS, BLOCK_BYTES, PIVOTS = 2_000, 32 << 20, 16
 
 
 def shingle_set(text: str | None, words: int = WORDS):
-    """The distinct XXH64 of a text's shingles, sorted: runs of so many words with A-Z lower-cased; fewer words are one shingle, none give none."""
+    """The distinct hashes of a text's shingles, sorted."""
     import numpy as np
-    import xxhash
 
-    parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not parts:
-        return np.empty(0, np.uint64)
-    flat, h = b" ".join(parts), xxhash.xxh64_intdigest
-    ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
-    starts = np.concatenate(([0], ends + 1)).tolist()
-    return np.unique(np.array([h(flat[s:e]) for s, e in zip(starts, ends[min(words, len(parts)) - 1 :].tolist())], np.uint64))
+    return np.unique(shingle_hashes(text, words))
 
 
 def _band_keys(shingles, multiply, add):
@@ -81,7 +83,7 @@ def similar_forest(sets, similarity: float = SIMILARITY):
 
 
 def _signed(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, cls, keys) for docs (doc_id, text_key, text): cls is a hash of the shingles' set, keys those of its bands."""
+    """(doc_id, text_key, cls, fp, keys, bytes) for docs (doc_id, text_key, text): cls is a hash of the shingles' set, fp the SimHash, keys those of its bands."""
 
     def sign(batches):
         import numpy as np
@@ -91,12 +93,17 @@ def _signed(docs: DataFrame) -> DataFrame:
         rng = np.random.default_rng(11)
         multiply, add = (rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2))
         for b in batches:
-            sets = [shingle_set(t.as_py()) for t in b.column(2)]
-            cls = np.array([xxhash.xxh64_intdigest(s.tobytes(), 5) for s in sets], np.uint64).view(np.int64)
-            keys = [np.array(_band_keys(s, multiply, add), np.uint64).view(np.int64) for s in sets]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(cls), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "text_key", "cls", "keys"])
+            cls, fp, keys = [], [], []
+            for t in b.column(2):
+                h = shingle_hashes(t.as_py(), WORDS)
+                own = np.unique(h)
+                cls.append(xxhash.xxh64_intdigest(own.tobytes(), 5))
+                fp.append(fingerprint_of(h))
+                keys.append(np.array(_band_keys(own, multiply, add), np.uint64).view(np.int64))
+            size = pa.array([len(t.as_py() or "") for t in b.column(2)], pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[pa.array(np.array(c, np.uint64).view(np.int64)) for c in (cls, fp)], pa.array(keys, pa.list_(pa.int64())), size], names=["doc_id", "text_key", "cls", "fp", "keys", "bytes"])
 
-    return docs.mapInArrow(sign, "doc_id long, text_key long, cls long, keys array<long>")
+    return docs.mapInArrow(sign, "doc_id long, text_key long, cls long, fp long, keys array<long>, bytes long")
 
 
 def _verify(t):
@@ -108,27 +115,72 @@ def _verify(t):
     return pa.table({"a": pa.array([cls[i] for i, _ in edges], pa.int64()), "b": pa.array([cls[j] for _, j in edges], pa.int64())})
 
 
+def _links(held: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Edges (a, b) enough for the components of the exact links within groups.
+
+    held: (component, cls, degree, text); sizes: (component, blocks).  A group of one block is compared in one task.  A larger one is
+    dealt into blocks, and each is compared within itself and with the group's pivots, the texts that share most band keys; of
+    what then hangs together, the largest part needs no more comparisons within itself, and all other texts are compared with
+    every block.  So no task holds more than two blocks and the pivots, no link between parts is lost, and a large group of
+    copies of one text costs a few passes over it; only texts of a group that mostly do not link cost the square of their number.
+    """
+    h = lambda k: F.pmod(F.xxhash64("cls", F.lit(k)), F.col("blocks"))
+    every = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    large = durable(sizes.where("blocks > 1"))
+    compare = lambda x: durable(x.select("component", "block", "cls", "text").groupBy("component", "block").applyInArrow(lambda t: _verify(t.select(["cls", "text"])), "a long, b long"))
+    own = held.join(sizes.withColumnRenamed("component", "sc"), F.col("component") == F.col("sc")).withColumn("block", h(3))
+    if large.isEmpty():
+        return compare(own)
+    big = held.join(large.withColumnRenamed("component", "bc"), F.col("component") == F.col("bc"))
+    pivots = big.join(_pivots(big), F.col("cls") == F.col("pivot"), "left_semi").withColumn("block", every("blocks"))
+    first = compare(own.select("component", "block", "cls", "text").unionByName(pivots.select("component", "block", "cls", "text")))
+    parts = connected_components(first).withColumnRenamed("component", "found")
+    part = durable(big.select(F.col("component").alias("g"), "cls").join(parts, F.col("cls") == F.col("node"), "left").select("g", "cls", F.coalesce("found", "cls").alias("part")))
+    most = part.groupBy("g", "part").agg(F.count("*").alias("n")).groupBy(F.col("g").alias("mg")).agg(F.max(F.struct("n", "part")).alias("most"))
+    rest = durable(part.join(most, F.col("g") == F.col("mg")).where("part <> most.part").select("g", F.col("cls").alias("rest")))
+    few = durable(rest.groupBy(F.col("g").alias("rg")).agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("r_blocks")))
+    if few.isEmpty():
+        return first
+    asked = big.join(few, F.col("component") == F.col("rg"))
+    them = asked.join(rest, F.col("cls") == F.col("rest"), "left_semi").withColumn("r", F.pmod(F.xxhash64("cls", F.lit(4)), F.col("r_blocks"))).withColumn("b", every("blocks"))
+    all_ = asked.withColumn("b", h(3)).withColumn("r", every("r_blocks"))
+    second = them.select("component", "b", "r", "cls", "text").unionByName(all_.select("component", "b", "r", "cls", "text"))
+    return first.unionByName(compare(second.withColumn("block", F.struct("b", "r"))))
+
+
+def _pivots(big: DataFrame) -> DataFrame:
+    """(pivot): PIVOTS texts of each large group, of each of as many parts the one with the greatest degree; nothing is sorted for it."""
+    best = big.groupBy("component", F.pmod(F.xxhash64("cls", F.lit(9)), F.lit(PIVOTS)).alias("slot")).agg(F.max(F.struct("degree", "cls")).alias("top"))
+    return best.select(F.col("top.cls").alias("pivot"))
+
+
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs without near copies: of each group the row with the smallest id, once; rows with a null id stay.
 
     Texts whose five-word shingles, as sets, have a Jaccard similarity of at least 0.8 are linked, and groups are what links
-    reach.  Texts that share a band's key are brought together, each once, and linked only by exact similarity.  Texts
-    without words form one group.  Rows are told apart by id and text: of rows that share an id each text counts.
+    reach.  Texts whose fingerprints the SimHash trees find near, and texts that share a band's key, are brought together, each
+    once, and linked only by exact similarity.  Texts without words (null, empty) form one group; whole texts of any length count.
+    Rows are told apart by id and text: of rows that share an id each text counts.  Columns of any names are kept; an empty table
+    gives none.
     """
     id_, key = F.col(id_col).cast("long"), F.xxhash64(F.col(text_col).cast("string"))
     texts = docs.select(id_.alias("doc_id"), key.alias("text_key"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null")
     rows = durable(_signed(texts))
-    classes = durable(rows.groupBy("cls").agg(F.min(F.struct("doc_id", "text_key")).alias("rep"), F.first("keys").alias("keys")))
+    classes = durable(rows.groupBy("cls").agg(F.min(F.struct("doc_id", "text_key")).alias("rep"), F.first("keys").alias("keys"), F.min("fp").alias("fp"), F.max("bytes").alias("bytes")))
+    # Fingerprints, each by its least class: equal ones are proposed, and those that the trees find within the radius.
+    prints = durable(classes.groupBy("fp").agg(F.min("cls").alias("node")))
+    near = link_fingerprints(prints, RADIUS).unionByName(classes.select("cls", "fp").join(prints.withColumnRenamed("fp", "f"), F.col("fp") == F.col("f")).where("cls <> node").select(F.col("cls").alias("a"), F.col("node").alias("b")))
     bands = classes.select("cls", F.explode("keys").alias("key"))
-    shared = bands.groupBy("key").agg(F.min("cls").alias("least"), F.count("*").alias("n")).where("n > 1").select(F.col("key").alias("k"), "least")
-    groups = connected_components(bands.join(shared, F.col("key") == F.col("k")).where("cls <> least").select(F.col("cls").alias("a"), F.col("least").alias("b")).distinct())
-    maybe = groups.join(classes.select("cls", "rep"), F.col("node") == F.col("cls")).select("component", "cls", F.col("rep.doc_id").alias("d"), F.col("rep.text_key").alias("k"))
-    held = texts.join(maybe, (F.col("doc_id") == F.col("d")) & (F.col("text_key") == F.col("k"))).select("component", "cls", "text")
-    links = durable(held.groupBy("component").applyInArrow(lambda t: _verify(t), "a long, b long"))
-    parts = connected_components(links)
-    kept = classes.join(parts, F.col("cls") == F.col("node"), "left").groupBy(F.coalesce("component", "cls").alias("c")).agg(F.min("rep").alias("rep"))
-    of_id, of_key = fresh(docs, "kept_id", "kept_key")
-    kept = kept.select(F.col("rep.doc_id").alias(of_id), F.col("rep.text_key").alias(of_key))
-    row_key = fresh(docs, "row_key")[0]
-    known = docs.withColumn(row_key, key).where(id_.isNotNull()).join(kept, (id_ == F.col(of_id)) & (F.col(row_key) == F.col(of_key)), "left_semi")
-    return known.dropDuplicates([id_col, row_key]).drop(row_key).unionByName(docs.where(id_.isNull()))
+    shared = bands.groupBy("key").agg(F.min("cls").alias("least"), F.count("*").alias("n")).where("n > 1").select(F.col("key").alias("k"), "least", "n")
+    met = durable(bands.join(shared, F.col("key") == F.col("k")).select("cls", "least", "n"))
+    groups = connected_components(near.unionByName(met.where("cls <> least").select(F.col("cls").alias("a"), F.col("least").alias("b")).distinct()))
+    degrees = met.groupBy(F.col("cls").alias("mcls")).agg(F.sum("n").alias("degree"))
+    maybe = groups.join(classes.select("cls", "rep", "bytes"), F.col("node") == F.col("cls")).join(degrees, F.col("cls") == F.col("mcls"), "left").select("component", "cls", F.coalesce("degree", F.lit(0)).alias("degree"), "bytes", F.col("rep.doc_id").alias("d"), F.col("rep.text_key").alias("k"))
+    maybe = durable(maybe)
+    sizes = maybe.groupBy("component").agg(F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("bytes") / BLOCK_BYTES)).alias("blocks")).select("component", F.greatest("blocks", F.lit(1)).cast("long").alias("blocks"))
+    held = texts.join(maybe, (F.col("doc_id") == F.col("d")) & (F.col("text_key") == F.col("k"))).dropDuplicates(["doc_id", "text_key"]).select("component", "cls", "degree", "text")
+    parts = connected_components(_links(durable(held), durable(sizes)))
+    named = classes.select("cls", "rep").join(parts, F.col("cls") == F.col("node"), "left").select("cls", "rep", F.coalesce("component", "cls").alias("c"))
+    firsts = named.groupBy(F.col("c").alias("fc")).agg(F.min("rep").alias("first"))
+    named = named.join(firsts, F.col("c") == F.col("fc")).select(F.col("cls").alias("ncls"), "first")
+    return keep_firsts(docs, rows.select("doc_id", "text_key", "cls").join(named, F.col("cls") == F.col("ncls")).select("doc_id", "text_key", "first"), id_col, text_col)

@@ -5,30 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import durable, fresh
 from .components import connected_components, star_edges
 
 #: Fingerprints from which the shards' tree is grown, and distinct fingerprints that a shard gets on average.
 TREE_SAMPLE, SHARD_ROWS = 20_000, 40_000
+#: Rows of sixteen bytes that a join broadcasts at most.
+BROADCAST_ROWS = 1_000_000
 
 
-def _fingerprint(text: str | None, words: int, seed: int) -> int:
+def shingle_hashes(text: str | None, words: int, seed: int = 42):
+    """XXH64 (unsigned, UTF-8) of each run of so many words of a text, A-Z lower-cased, in order; fewer words are one run, none give none."""
     import numpy as np
     import xxhash
 
     parts = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z alone change case, ASCII space alone splits
     if not parts:
-        return 0
+        return np.empty(0, "<u8")
     flat, h = b" ".join(parts), xxhash.xxh64_intdigest
-    if len(parts) <= words:
-        return h(flat, seed)
     ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
-    starts = np.concatenate(([0], ends[: -words] + 1)).tolist()
-    hashes = np.array([h(flat[s:e], seed) for s, e in zip(starts, ends[words - 1 :].tolist(), strict=True)], "<u8")
+    starts = np.concatenate(([0], ends + 1)).tolist()
+    return np.array([h(flat[s:e], seed) for s, e in zip(starts, ends[min(words, len(parts)) - 1 :].tolist())], "<u8")
+
+
+def fingerprint_of(hashes) -> int:
+    """A bit is 1 if more than half of the hashes have it; no hashes give zero."""
+    import numpy as np
+
     ones = np.zeros(64, np.int64)
     for i in range(0, len(hashes), 1 << 16):
         ones += np.unpackbits(hashes[i : i + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0]) if len(hashes) else 0
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, seed: int = 42) -> DataFrame:
@@ -43,7 +50,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         import pyarrow as pa
 
         for b in batches:
-            fp = np.array([_fingerprint(t.as_py(), words, seed) for t in b.column(1)], "<u8").view("<i8")
+            fp = np.array([fingerprint_of(shingle_hashes(t.as_py(), words, seed)) for t in b.column(1)], "<u8").view("<i8")
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], names=["doc_id", "fp"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t")).mapInArrow(score, "doc_id long, fp long")
@@ -178,8 +185,51 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(named, F.col("fp") == F.col("f"), "left").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The rows of docs without near duplicates: of each component the document with the smallest id, once; rows with a null id stay."""
-    kept = near_duplicates(docs, id_col, text_col, **how).where("doc_id = component_id").select("doc_id").distinct()
-    known = docs.where(F.col(id_col).isNotNull()).join(kept.withColumnRenamed("doc_id", "__kept"), F.col(id_col) == F.col("__kept"), "left_semi")
-    return known.dropDuplicates([id_col]).unionByName(docs.where(F.col(id_col).isNull()))
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 2) -> DataFrame:
+    """The rows of docs without near duplicates: of each component the row with the smallest id (of those the text with the least hash), once.
+
+    Rows are told apart by id and text, so of rows that share an id each text counts by itself; rows with a null id stay; an
+    empty table gives none.  Columns of any names are kept.
+    """
+    id_, key = F.col(id_col).cast("long"), F.xxhash64(F.col(text_col).cast("string"))
+    numbered = docs.select(id_.alias("doc_id"), key.alias("text_key"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null")
+    prints = durable(numbered.select("doc_id", "text_key", "text").mapInArrow(_with_key(words), "doc_id long, text_key long, fp long"))
+    # Nodes are fingerprints: a component has a name, and its first row is found among all its fingerprints.
+    classes = durable(prints.groupBy("fp").agg(F.min(F.struct("doc_id", "text_key")).alias("rep")).withColumn("node", F.col("fp")))
+    parts = connected_components(durable(link_fingerprints(classes, radius)))
+    named = classes.join(parts.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left").select("fp", "rep", F.coalesce("component", "node").alias("c"))
+    firsts = named.groupBy(F.col("c").alias("fc")).agg(F.min("rep").alias("first"))
+    named = named.join(firsts, F.col("c") == F.col("fc")).select(F.col("fp").alias("f"), "first")
+    return keep_firsts(docs, prints.join(named, F.col("fp") == F.col("f")).select("doc_id", "text_key", "first"), id_col, text_col)
+
+
+def _with_key(words: int):
+    def score(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for b in batches:
+            fp = np.array([fingerprint_of(shingle_hashes(t.as_py(), words)) for t in b.column(2)], "<u8").view("<i8")
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp)], names=["doc_id", "text_key", "fp"])
+
+    return score
+
+
+def keep_firsts(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """docs without the rows that are not the first of their group, and with repeated rows once.
+
+    rows: (doc_id, text_key, first struct<doc_id, text_key>) for each row of docs with an id.  What goes is joined to docs, not what
+    stays: while that is short it is broadcast and no text is shuffled, else both sides are dealt by id and text.
+    """
+    once = durable(rows.groupBy("doc_id", "text_key").agg(F.count("*").alias("n"), F.first("first").alias("first")).withColumn("stays", F.struct("doc_id", "text_key") == F.col("first")).where("n > 1 or not stays"))
+    gone, again, key = fresh(docs, "gone_id", "again_id", "text_key")
+    k1, k2 = fresh(docs, "gone_key", "again_key")
+    slim = lambda which, i, k: once.where(which).select(F.col("doc_id").alias(i), F.col("text_key").alias(k))
+    keyed = docs.withColumn(key, F.xxhash64(F.col(text_col).cast("string")))
+    id_ = F.col(id_col).cast("long")
+    small = once.count() <= BROADCAST_ROWS
+    hint = F.broadcast if small else lambda df: df
+    left = keyed.join(hint(slim("not stays", gone, k1)), (id_ == F.col(gone)) & (F.col(key) == F.col(k1)), "left_anti")
+    twice = hint(slim("stays", again, k2))
+    same = (id_ == F.col(again)) & (F.col(key) == F.col(k2))
+    return left.join(twice, same, "left_anti").unionByName(left.join(twice, same, "left_semi").dropDuplicates([id_col, key])).drop(key)
