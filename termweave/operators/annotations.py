@@ -1,8 +1,8 @@
 """Annotated documents as nested frames, and the reports over them.
 
-An utterance row: doc_id, utt_no, label, text, phrases; a phrase: no, text, items, cands, mappings.  An item: category, inputmatch,
-lexmatch, tokens; a candidate: neg_value, cui, meta_term, preferred_name, meta_words, sem_types, negated; a mapping: neg_score, evs.
-Reports whose source form cannot work are built as they are meant.
+An utterance row: doc_id, utt_no, label, text, phrases; a phrase: no, text, items, counts, cands, mappings, pos.  An item: category, tag,
+inputmatch, lexmatch, tokens; a candidate: the thirteen fields of EV; a mapping: neg_score, evs.  match_map pairs words p1 to p2 of
+the phrase with words m1 to m2 of the term.  Lists print as [a,b].  Reports whose source form cannot work are built as they are meant.
 """
 
 from __future__ import annotations
@@ -13,8 +13,30 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 
 KEYS = ("doc_id", "utt_no", "label")
-EV = "struct<neg_value:int,cui:string,meta_term:string,preferred_name:string,meta_words:array<string>,sem_types:array<string>,negated:int>"
-PHRASE = f"struct<no:int,text:string,items:array<struct<category:string,inputmatch:array<string>,lexmatch:array<string>,tokens:array<string>>>,cands:array<{EV}>,mappings:array<struct<neg_score:int,evs:array<{EV}>>>>"
+SPAN = "struct<start:int,length:int>"
+EV = f"struct<neg_value:int,cui:string,meta_term:string,preferred_name:string,meta_words:array<string>,sem_types:array<string>,match_map:array<struct<p1:int,p2:int,m1:int,m2:int,lex:int>>,involves_head:string,is_overmatch:string,sources:array<string>,pos:array<{SPAN}>,status:int,negated:int>"
+ITEM = "struct<category:string,tag:string,inputmatch:array<string>,lexmatch:array<string>,tokens:array<string>>"
+PHRASE = f"struct<no:int,text:string,items:array<{ITEM}>,counts:struct<total:int,excluded:int,pruned:int,remaining:int>,cands:array<{EV}>,mappings:array<struct<neg_score:int,evs:array<{EV}>>>,pos:{SPAN}>"
+
+
+def shown(items: Column) -> Column:
+    """A list as it prints: [a,b]."""
+    return F.concat(F.lit("["), F.array_join(items, ","), F.lit("]"))
+
+
+def spans(pos: Column) -> Column:
+    return shown(F.transform(pos, lambda s: F.concat_ws("/", s["start"], s["length"])))
+
+
+def phrase_words(items: Column) -> Column:
+    """All tokens of a phrase, in order."""
+    return F.flatten(F.transform(items, lambda i: i["tokens"]))
+
+
+def matched_words(words: Column, match_map: Column) -> Column:
+    """The words at the positions, from 1, that a match map names, in its order."""
+    at = F.flatten(F.transform(match_map, lambda m: F.sequence(m["p1"], m["p2"])))
+    return F.filter(F.transform(at, lambda i: F.get(words, i - 1)), lambda w: w.isNotNull())
 
 
 def phrases(u: DataFrame) -> DataFrame:
@@ -35,10 +57,6 @@ def mapped(u: DataFrame, first_only: bool = False) -> DataFrame:
     return phrases(u).select(*KEYS, "no", "text", F.size(m).alias("n"), F.posexplode(m).alias("k", "m")).select(*KEYS, "no", "text", (F.col("k") + 1).alias("i"), "n", "m.neg_score", "m.evs")
 
 
-def with_negation(evs: Column) -> Column:
-    return F.transform(evs, lambda e: e.withField("negated", F.coalesce(e["negated"], F.lit(0))))
-
-
 def _where(u: DataFrame, keep) -> DataFrame:
     return u.withColumn("phrases", F.filter("phrases", keep)).where(F.size("phrases") > 0)
 
@@ -115,14 +133,18 @@ def type_names(rows: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def composite_phrases(u: DataFrame) -> DataFrame:
-    """(doc_id, utt_no, value): a phrase and one or more prepositional phrases after it as `length|prepositions|lower-cased texts`."""
-    x = phrases(u).withColumn("pp", F.coalesce(F.get("items", F.lit(0))["category"] == "prep", F.lit(False)) & (F.size("items") > 1))
+    """(doc_id, utt_no, value): a phrase and one or more prepositional phrases after it as `length|[prepositions]|[lower-cased texts]`.
+
+    A prepositional phrase begins with a preposition, and gives the words that its item matched in the lexicon.
+    """
+    x = phrases(u).withColumn("pp", F.coalesce(F.get("items", F.lit(0))["category"] == "prep", F.lit(False)))
     w = Window.partitionBy("doc_id", "utt_no").orderBy("no")
     x = x.withColumn("island", F.sum((~F.col("pp")).cast("int")).over(w))
-    g = x.groupBy("doc_id", "utt_no", "island").agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct("no", "pp", F.lower("text").alias("t"), F.get("items", F.lit(0))["tokens"][0].alias("prep")))).alias("ps"))
-    g = g.where((F.col("n") >= 2) & (F.col("island") > 0))
-    preps = F.transform(F.filter("ps", lambda p: p["pp"]), lambda p: p["prep"])
-    return g.select("doc_id", "utt_no", F.concat_ws("|", "n", F.array_join(preps, " "), F.array_join(F.transform("ps", lambda p: p["t"]), " ")).alias("value"))
+    # A composite phrase is within one utterance.
+    g = x.groupBy("doc_id", "utt_no", "island").agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct("no", "pp", F.lower("text").alias("t"), F.get("items", F.lit(0))["lexmatch"].alias("prep")))).alias("ps"))
+    g = g.where("n >= 2")
+    preps = F.flatten(F.transform(F.filter("ps", lambda p: p["pp"]), lambda p: p["prep"]))
+    return g.select("doc_id", "utt_no", F.concat_ws("|", "n", shown(preps), shown(F.transform("ps", lambda p: p["t"]))).alias("value"))
 
 
 # Reports: each gives (value) lines with the keys in front.
@@ -140,9 +162,10 @@ def headed(u: DataFrame) -> DataFrame:
     return u.select(F.concat(F.lit("Processing "), "label", F.lit(": "), "text").alias("value"))
 
 
-def mapping_summary(u: DataFrame) -> DataFrame:
-    x = mapped(u).select("label", "i", "n", "neg_score", F.explode("evs").alias("ev"))
-    c = _lines(x, "label", "i", "n", -F.col("neg_score"), "ev.cui", "ev.meta_term", "ev.preferred_name", F.array_join("ev.sem_types", ","))
+def mapping_summary(u: DataFrame, first_only: bool = False) -> DataFrame:
+    """Lines for each utterance, phrase, and candidate of a mapping: `label|i|n|score|cui|term|concept|[types]|[positions]`."""
+    x = mapped(u, first_only).select("label", "i", "n", "neg_score", F.explode("evs").alias("ev"))
+    c = _lines(x, "label", "i", "n", -F.col("neg_score"), "ev.cui", "ev.meta_term", "ev.preferred_name", shown(F.col("ev.sem_types")), spans(F.col("ev.pos")))
     return _lines(u, "label", F.lit("UTTERANCE"), "text").unionByName(_lines(phrases(u), "label", F.lit("PHRASE"), "text")).unionByName(c)
 
 
@@ -151,11 +174,13 @@ def concepts_joined(u: DataFrame) -> DataFrame:
 
 
 def not_in_lexicon(u: DataFrame) -> DataFrame:
-    return _lines(items(u).where("category = 'not_in_lex'").join(u.select(F.col("label").alias("l"), F.col("text").alias("utt")), F.col("label") == F.col("l")), F.array_join("tokens", " "), F.array_join("inputmatch", " "), "utt", "label")
+    """`tokens|input|utterance|label|` for each item that the lexicon lacks; the utterance's text goes along with its phrases."""
+    x = u.select("label", F.col("text").alias("utt"), F.explode("phrases").alias("p")).select("label", "utt", F.explode("p.items").alias("i")).where("i.category = 'not_in_lex'")
+    return _lines(x, F.array_join("i.tokens", " "), F.array_join("i.inputmatch", " "), "utt", "label", F.lit(""))
 
 
 def syntax(u: DataFrame) -> DataFrame:
-    return items(u).select(F.concat_ws(":", "category", F.array_join("tokens", " ")).alias("value"))
+    return items(u).select(F.concat_ws(":", "category", shown(F.col("tokens"))).alias("value"))
 
 
 def syntactic_pattern(u: DataFrame, with_text: bool = False) -> DataFrame:
@@ -164,7 +189,7 @@ def syntactic_pattern(u: DataFrame, with_text: bool = False) -> DataFrame:
 
 
 def potential_stop_phrases(u: DataFrame) -> DataFrame:
-    return _lines(phrases(u).where(F.size("cands") == 0), F.lower("text"), F.array_join(F.transform("items", lambda i: i["category"]), ","))
+    return _lines(phrases(u).where(F.size("cands") == 0), F.lower("text"), shown(F.transform("items", lambda i: i["category"])))
 
 
 def phrase_texts(u: DataFrame) -> DataFrame:
@@ -172,8 +197,12 @@ def phrase_texts(u: DataFrame) -> DataFrame:
 
 
 def match_differences(u: DataFrame) -> DataFrame:
-    low = lambda c: F.lower(F.array_join(c, " "))
-    return _lines(items(u).where((F.size("lexmatch") > 0) & (low("inputmatch") != low("lexmatch"))), low("inputmatch"), low("lexmatch"))
+    """`[input]|[lexical]|item|text` of items whose input and lexical matches differ in more than case."""
+    from ..sources.annotated import item_text
+
+    low = lambda c: F.transform(c, F.lower)
+    x = phrases(u).select("text", F.explode("items").alias("i")).where((F.size("i.lexmatch") > 0) & (low("i.inputmatch") != low("i.lexmatch")))
+    return _lines(x, shown(F.col("i.inputmatch")), shown(F.col("i.lexmatch")), item_text(F.col("i")), "text")
 
 
 def candidate_counts(u: DataFrame) -> DataFrame:
@@ -181,16 +210,18 @@ def candidate_counts(u: DataFrame) -> DataFrame:
 
 
 def _candidate_text(x: DataFrame) -> DataFrame:
-    return _lines(x, "ev.preferred_name", "ev.meta_term", F.array_join("ev.meta_words", " "), "label")
+    """`concept|term|[words of the phrase that it matched]|label`."""
+    return _lines(x, "ev.preferred_name", "ev.meta_term", shown(matched_words(F.col("words"), F.col("ev.match_map"))), "label")
 
 
 def candidate_texts(u: DataFrame) -> DataFrame:
-    return _candidate_text(candidates(u))
+    return _candidate_text(phrases(u).select("label", phrase_words(F.col("items")).alias("words"), F.explode("cands").alias("ev")))
 
 
 def mapping_texts(u: DataFrame, unique: bool = False) -> DataFrame:
-    m = mapped(u)
-    return _candidate_text((m.where("n = 1") if unique else m).select("label", F.explode("evs").alias("ev")))
+    x = phrases(u).where("size(mappings) = 1") if unique else phrases(u)
+    x = x.select("label", phrase_words(F.col("items")).alias("words"), F.explode("mappings").alias("m"))
+    return _candidate_text(x.select("label", "words", F.explode("m.evs").alias("ev")))
 
 
 def mapping_counts(u: DataFrame) -> DataFrame:
@@ -201,15 +232,60 @@ def odd_mappings(u: DataFrame) -> DataFrame:
     return _lines(phrases(u).where((F.size("cands") > 0) & (F.size("mappings") == 0)), "label", "text")
 
 
-def phrase_report(u: DataFrame, show_cuis: bool = True, threshold: int | None = None, most: int | None = None) -> DataFrame:
-    """(label, no, value): the default text block of a phrase: its text, candidates and mappings, scores six wide."""
-    x = phrases(u)
+def _names_map(names: dict | None) -> Column | None:
+    """Abbreviations of semantic types to names, as a literal: there are a hundred-odd types."""
+    return F.create_map(*[F.lit(x) for kv in names.items() for x in kv]) if names else None
+
+
+def _evaluation(e: Column, show_cuis: bool, preferred_only: bool, semantic_types: bool, names: dict | None) -> Column:
+    """A candidate's line: its score six wide, then CUI:Term (Concept) [types], as far as asked for."""
+    name = e["preferred_name"] if preferred_only else F.when(e["meta_term"] == e["preferred_name"], e["preferred_name"]).otherwise(F.concat(e["meta_term"], F.lit(" ("), e["preferred_name"], F.lit(")")))
+    by = _names_map(names)
+    types = e["sem_types"] if by is None else F.transform(e["sem_types"], lambda t: F.coalesce(by[t], t))
+    return F.concat(F.lpad((-e["neg_value"]).cast("string"), 6, " "), F.lit(" "), *([e["cui"], F.lit(":")] if show_cuis else []), name, *([F.lit(" "), shown(types)] if semantic_types else []))
+
+
+def phrase_report(u: DataFrame, candidates: bool = True, mappings: bool = True, show_cuis: bool = True, preferred_only: bool = False, semantic_types: bool = True, names: dict | None = None, threshold: int | None = None, truncate: bool = False, stop: DataFrame | None = None) -> DataFrame:
+    """(label, no, value): the default text block of a phrase: its text, its candidates (up to the threshold, ten if truncated), its mappings (two if truncated).
+
+    A candidate's line holds its score, six wide, and `CUI:Term (Concept) [types]`; the term goes where it equals the concept or
+    preferred names alone are asked for; names gives types by name.  Without any mapping the block says `Meta Mapping: <none>`.
+    """
+    x = phrases(u) if stop is None else without_stop_phrases(phrases(u), stop)
     x = x if threshold is None else threshold_prefix(x, threshold)
-    x = x if most is None else truncated(x, most, "cands").drop("unprinted")
-    line = lambda e: F.concat(F.lpad((-e["neg_value"]).cast("string"), 6, " "), F.lit(" "), F.concat(e["cui"], F.lit(":")) if show_cuis else F.lit(""), e["meta_term"], F.lit(" ["), F.array_join(e["sem_types"], ","), F.lit("]"))
-    cands = F.array_join(F.transform("cands", line), "\n")
-    maps = F.array_join(F.transform("mappings", lambda m: F.concat(F.lit("Meta Mapping ("), (-m["neg_score"]).cast("string"), F.lit("):\n"), F.array_join(F.transform(m["evs"], line), "\n"))), "\n")
-    return x.select("label", "no", F.concat(F.lit('Phrase: "'), "text", F.lit('"\n'), cands, F.lit("\n"), maps).alias("value"))
+    n, m = (10, 2) if truncate else (1 << 30, 1 << 30)
+    line = lambda e: _evaluation(e, show_cuis, preferred_only, semantic_types, names)
+    rest = lambda c, most, what: F.when(F.size(c) > most, F.concat(F.lit("     ["), (F.size(c) - most).cast("string"), F.lit(f" {what} were not printed]")))
+    parts = [F.concat(F.lit('Phrase: "'), "text", F.lit('"'))]
+    if candidates:
+        head = F.concat(F.lit("Meta Candidates (Total="), "counts.total", F.lit("; Excluded="), "counts.excluded", F.lit("; Pruned="), "counts.pruned", F.lit("; Remaining="), "counts.remaining", F.lit("):"))
+        some = F.size("cands") > 0
+        parts += [F.when(some, head), F.when(some, F.array_join(F.transform(F.slice("cands", 1, n), line), "\n")), rest("cands", n, "candidates")]
+    if mappings:
+        one = lambda k: F.concat(F.lit("Meta Mapping ("), (-k["neg_score"]).cast("string"), F.lit("):\n"), F.array_join(F.transform(k["evs"], line), "\n"))
+        parts += [F.when(F.size("mappings") > 0, F.array_join(F.transform(F.slice("mappings", 1, m), one), "\n")).otherwise(F.lit("Meta Mapping: <none>")), rest("mappings", m, "mappings")]
+    return x.select("label", "no", F.concat_ws("\n", *parts).alias("value"))
+
+
+def _by_type(rows: Column, names: dict | None) -> Column:
+    """Rows (semtype, term, concept) as text: a heading wherever the type changes, then a line a concept."""
+    by = _names_map(names)
+    name = lambda t: F.lit("<unknown>") if by is None else F.coalesce(by[t], F.lit("<unknown>"))
+    head = lambda r: F.concat(F.lit("\n"), name(r["semtype"]), F.lit(" ("), r["semtype"], F.lit("):\n"))
+    row = lambda r: F.concat(F.lit("  "), r["term"], F.when(r["term"] == r["concept"], F.lit("\n")).otherwise(F.concat(F.lit(" ("), r["concept"], F.lit(")\n"))))
+    text = lambda rs: F.array_join(F.transform(rs, lambda r, i: F.concat(F.when((i == 0) | (F.get(rs, i - 1)["semtype"] != r["semtype"]), head(r)).otherwise(F.lit("")), row(r))), "")
+    return F.transform(F.array(rows), text)[0]
+
+
+def organized_types(u: DataFrame, names: dict | None = None, first_only: bool = False) -> DataFrame:
+    """(doc_id, utt_no, label, value, combined): an utterance's concepts by semantic type, in the order of its mappings, and then all
+    of its document so far, sorted and each once; <unknown> where names has no name for a type."""
+    maps = lambda p: F.slice(p["mappings"], 1, 1) if first_only else p["mappings"]
+    rows = F.flatten(F.transform(F.flatten(F.transform(F.flatten(F.transform("phrases", maps)), lambda m: m["evs"])), lambda e: F.transform(e["sem_types"], lambda t: F.struct(t.alias("semtype"), e["meta_term"].alias("term"), e["preferred_name"].alias("concept")))))
+    x = u.select("doc_id", "utt_no", "label", rows.alias("rows"))
+    w = Window.partitionBy("doc_id").orderBy("utt_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    x = x.withColumn("so_far", F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.array_distinct("rows")).over(w)))))
+    return x.select("doc_id", "utt_no", "label", _by_type(F.col("rows"), names).alias("value"), F.concat(F.lit("\n\n\nCombined concepts by semantic type:\n"), _by_type(F.col("so_far"), names)).alias("combined"))
 
 
 def phrase_coverage(u: DataFrame) -> DataFrame:
@@ -230,15 +306,32 @@ def to_json(u: DataFrame) -> DataFrame:
     return g.select("doc_id", F.to_json(F.struct("doc_id", "utterances")).alias("value"))
 
 
+XML_HEADER, XML_FOOTER = '<?xml version="1.0" encoding="UTF-8"?>\n<documents>', "</documents>"
+
+
+def _element(name: str, *inside) -> Column:
+    return F.concat(F.lit(f"<{name}>"), *inside, F.lit(f"</{name}>"))
+
+
+def _escaped(x: Column) -> Column:
+    for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        x = F.replace(x, F.lit(a), F.lit(b))
+    return x
+
+
 def to_xml(u: DataFrame) -> DataFrame:
-    """(doc_id, utt_no, value): each utterance as XML."""
-    return u.select("doc_id", "utt_no", F.to_xml(F.struct("label", "text", F.transform("phrases", lambda p: F.struct(p["no"].alias("no"), p["text"].alias("text"), F.size(p["cands"]).alias("candidates"))).alias("phrase"))).alias("value"))
+    """(doc_id, utt_no, value): each utterance as XML with its phrases, their candidates and mappings; between XML_HEADER and XML_FOOTER they are a file."""
+    plain = lambda name, x: _element(name, x.cast("string"))
+    ev = lambda e: _element("candidate", plain("score", -e["neg_value"]), plain("cui", e["cui"]), _element("term", _escaped(e["meta_term"])), _element("concept", _escaped(e["preferred_name"])), F.array_join(F.transform(e["sem_types"], lambda t: plain("type", t)), ""), plain("negated", e["negated"]))
+    mapping = lambda m: _element("mapping", plain("score", -m["neg_score"]), F.array_join(F.transform(m["evs"], ev), ""))
+    phrase = lambda p: _element("phrase", plain("no", p["no"]), _element("text", _escaped(p["text"])), _element("candidates", F.array_join(F.transform(p["cands"], ev), "")), _element("mappings", F.array_join(F.transform(p["mappings"], mapping), "")))
+    return u.select("doc_id", "utt_no", _element("utterance", plain("label", F.col("label")), _element("text", _escaped(F.col("text"))), F.array_join(F.transform("phrases", phrase), "")).alias("value"))
 
 
 def flat_sequence(u: DataFrame) -> DataFrame:
     """(doc_id, utt_no, seq, kind, value): utterances as the flat sequence utterance, (phrase, candidates, mappings)..., EOU; JSON for each part."""
     parts = F.flatten(F.transform("phrases", lambda p: F.array(
-        F.struct(F.lit("phrase").alias("kind"), F.to_json(F.struct(p["no"].alias("no"), p["text"].alias("text"), p["items"].alias("items"))).alias("value")),
+        F.struct(F.lit("phrase").alias("kind"), F.to_json(F.struct(p["no"].alias("no"), p["text"].alias("text"), p["items"].alias("items"), p["counts"].alias("counts"), p["pos"].alias("pos"))).alias("value")),
         F.struct(F.lit("candidates").alias("kind"), F.to_json(F.struct(p["cands"].alias("cands"))).alias("value")),
         F.struct(F.lit("mappings").alias("kind"), F.to_json(F.struct(p["mappings"].alias("mappings"))).alias("value")))))
     head = F.array(F.struct(F.lit("utterance").alias("kind"), F.to_json(F.struct("label", "text")).alias("value")))
@@ -252,8 +345,8 @@ def from_sequence(flat: DataFrame) -> DataFrame:
     x = flat.withColumn("k", F.sum((F.col("kind") == "phrase").cast("int")).over(w))
     pick = lambda kind: F.max(F.when(F.col("kind") == kind, F.col("value")))
     ph = x.where("kind in ('phrase', 'candidates', 'mappings')").groupBy("doc_id", "utt_no", "k").agg(pick("phrase").alias("p"), pick("candidates").alias("c"), pick("mappings").alias("m"))
-    one = F.from_json("p", "no int, text string, items array<struct<category:string,inputmatch:array<string>,lexmatch:array<string>,tokens:array<string>>>")
-    ph = ph.select("doc_id", "utt_no", "k", F.struct(one["no"].alias("no"), one["text"].alias("text"), one["items"].alias("items"), F.from_json("c", f"cands array<{EV}>")["cands"].alias("cands"), F.from_json("m", f"mappings array<struct<neg_score:int,evs:array<{EV}>>>")["mappings"].alias("mappings")).alias("p"))
+    one = F.from_json("p", f"no int, text string, items array<{ITEM}>, counts struct<total:int,excluded:int,pruned:int,remaining:int>, pos {SPAN}")
+    ph = ph.select("doc_id", "utt_no", "k", F.struct(one["no"].alias("no"), one["text"].alias("text"), one["items"].alias("items"), one["counts"].alias("counts"), F.from_json("c", f"cands array<{EV}>")["cands"].alias("cands"), F.from_json("m", f"mappings array<struct<neg_score:int,evs:array<{EV}>>>")["mappings"].alias("mappings"), one["pos"].alias("pos")).alias("p"))
     ph = ph.groupBy("doc_id", "utt_no").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "p")), lambda a, b: (a["k"] - b["k"]).cast("int")), lambda s: s["p"]).alias("phrases"))
     head = flat.where("kind = 'utterance'").select("doc_id", "utt_no", F.from_json("value", "label string, text string").alias("h"))
     return head.join(ph, ["doc_id", "utt_no"], "left").select("doc_id", "utt_no", "h.label", "h.text", F.coalesce("phrases", F.array().cast(f"array<{PHRASE}>")).alias("phrases"))

@@ -13,6 +13,7 @@ from ..operators import termfilter as TF
 from ..operators import variants as VA
 from ..operators import wordindex as W
 from ..operators.runs import with_runs
+from ..sources import annotated as A2
 from ..sources import readers as R
 from . import views as V
 
@@ -258,26 +259,29 @@ def k7_string_lines(spark, sf):
 
 
 def _tf(spark, sf):
-    return P.term_frequencies(V.english(spark, sf))
+    """Term frequencies of the English documents, kept: the allow list, the vectors and the sums all read them."""
+    return P.term_frequencies(V.english(spark, sf)).persist()
 
 
 def _profiles(spark, sf):
     tf = _tf(spark, sf)
-    kept = P.allowed(tf, V.allow(tf), V.stop(tf))
-    return P.profiles(V.english(spark, sf), P.profile_sums(kept, V.vectors(tf)))
+    terms = V.distinct_terms(tf)
+    kept = P.allowed(tf, V.allow(terms), V.stop(spark))
+    return P.profiles(V.english(spark, sf), P.profile_sums(kept, V.vectors(terms)))
 
 
 @query(f"WITH {PROFILE} SELECT doc_id, sum(tf)::BIGINT AS n FROM keep GROUP BY doc_id")
 def j3_allow_stop(spark, sf):
     tf = _tf(spark, sf)
-    return P.allowed(tf, V.allow(tf), V.stop(tf)).groupBy("doc_id").agg(F.sum("tf").alias("n"))
+    return P.allowed(tf, V.allow(V.distinct_terms(tf)), V.stop(spark)).groupBy("doc_id").agg(F.sum("tf").alias("n"))
 
 
-@query(f"WITH {PROFILE} SELECT DISTINCT term, ((length(term) * 7 + ascii(term) * 3) % 41 - 10)::INT AS first, ((length(term) * 7 + ascii(term) * 3 + 1408) % 41 - 10)::INT AS last FROM hit")
+@query(f"WITH {PROFILE} SELECT DISTINCT term, ((length(term) * 7 + ascii(term) * 3) % 41 - 10)::INT AS first, ((length(term) * 7 + ascii(term) * 3 + 1408) % 41 - 10)::INT AS last FROM keep")
 def j4_vector_lookup(spark, sf):
     tf = _tf(spark, sf)
-    kept = P.allowed(tf, V.allow(tf), V.stop(tf)).select("term").distinct()
-    return kept.join(V.vectors(tf), "term").select("term", F.col("vec")[0].alias("first"), F.col("vec")[128].alias("last"))
+    terms = V.distinct_terms(tf)
+    kept = P.allowed(tf, V.allow(terms), V.stop(spark)).select("term").distinct()
+    return kept.join(V.vectors(terms), "term").select("term", F.col("vec")[0].alias("first"), F.col("vec")[128].alias("last"))
 
 
 @query(f"WITH {PROFILE} SELECT doc_id, pos::INT AS pos, semtype, score FROM prof JOIN names USING (pos)")
@@ -323,10 +327,10 @@ def j11_fact_lookup(spark, sf):
     return FA.get(V.facts(spark, sf), 7, "click")
 
 
-@query(f"WITH {V.FACTS_SQL} SELECT * FROM facts WHERE seq NOT IN (SELECT min(seq) FROM facts WHERE key < 10 GROUP BY key, property, value)")
+@query(f"WITH {V.FACTS_SQL} SELECT * FROM facts WHERE seq NOT IN (SELECT min(seq) FROM facts WHERE property = 'click' GROUP BY key, property, value)")
 def u6_fact_erase_first(spark, sf):
     f = V.facts(spark, sf)
-    return FA.erase_first(f, f.where("key < 10"))
+    return FA.erase_first(f, f.where("property = 'click'"))
 
 
 @query(f"WITH {V.FACTS_SQL} SELECT f.* FROM facts f ANTI JOIN (SELECT DISTINCT key, property FROM facts WHERE value = 3) w ON f.key = w.key AND f.property = w.property")
@@ -452,10 +456,10 @@ def o6_truncate(spark, sf):
     return A.truncated(A.phrases(V.utterances(spark, sf)), 2, "cands").select("label", "no", F.size("cands").alias("printed"), "unprinted")
 
 
-@query(AN + """, fi AS (SELECT doc_id, utt_no, no, arg_min(category, pos) AS c, count(*) AS k, arg_min(w, pos) AS w FROM it GROUP BY ALL),
-x AS (SELECT ph.*, coalesce(c = 'prep' AND k > 1, false) AS pp, fi.w FROM ph LEFT JOIN fi USING (doc_id, utt_no, no)),
+@query(AN + """, fi AS (SELECT doc_id, utt_no, no, arg_min(category, pos) AS c, arg_min(lex, pos) AS w FROM it GROUP BY ALL),
+x AS (SELECT ph.*, coalesce(c = 'prep', false) AS pp, fi.w FROM ph LEFT JOIN fi USING (doc_id, utt_no, no)),
 y AS (SELECT *, sum(CASE WHEN pp THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id, utt_no ORDER BY no) AS g FROM x)
-SELECT doc_id, utt_no, count(*) || '|' || string_agg(w, ' ' ORDER BY no) FILTER (pp) || '|' || string_agg(lower(text), ' ' ORDER BY no) AS value FROM y WHERE g > 0 GROUP BY doc_id, utt_no, g HAVING count(*) > 1""")
+SELECT doc_id, utt_no, count(*) || '|[' || string_agg(w, ',' ORDER BY no) FILTER (pp) || ']|[' || string_agg(lower(text), ',' ORDER BY no) || ']' AS value FROM y GROUP BY doc_id, utt_no, g HAVING count(*) > 1""")
 def a16_composite_phrase(spark, sf):
     return A.composite_phrases(V.utterances(spark, sf))
 
@@ -471,7 +475,7 @@ def r2_heading(spark, sf):
 
 
 @query(AN + """SELECT label || '|UTTERANCE|' || text AS value FROM u0 UNION ALL SELECT label || '|PHRASE|' || text FROM ph UNION ALL
-SELECT concat_ws('|', ca.label, mp.i, mp.n, -mp.neg_score, ca.cui, ca.w, ca.pn, ca.st) FROM ca JOIN mp USING (doc_id, utt_no, no, k)""")
+SELECT concat_ws('|', ca.label, mp.i, mp.n, -mp.neg_score, ca.cui, ca.w, ca.pn, '[' || ca.st || ']', '[' || (position(ca.w IN lower(ca.text)) - 1) || '/' || length(ca.w) || ']') FROM ca JOIN mp USING (doc_id, utt_no, no, k)""")
 def r3_mapping_summary(spark, sf):
     return A.mapping_summary(V.utterances(spark, sf))
 
@@ -481,12 +485,12 @@ def r3b_concepts_joined(spark, sf):
     return A.concepts_joined(V.utterances(spark, sf))
 
 
-@query(AN + "SELECT concat_ws('|', w, w, utt, label) AS value FROM it WHERE category = 'not_in_lex'")
+@query(AN + "SELECT concat_ws('|', w, w, utt, label, '') AS value FROM it WHERE category = 'not_in_lex'")
 def r4_not_in_lex(spark, sf):
     return A.not_in_lexicon(V.utterances(spark, sf))
 
 
-@query(AN + "SELECT category || ':' || w AS value FROM it")
+@query(AN + "SELECT category || ':[' || w || ']' AS value FROM it")
 def r5_syntax(spark, sf):
     return A.syntax(V.utterances(spark, sf))
 
@@ -496,7 +500,7 @@ def r6_syntactic_pattern(spark, sf):
     return A.syntactic_pattern(V.utterances(spark, sf), with_text=True)
 
 
-@query(AN + ", t AS (SELECT doc_id, utt_no, no, string_agg(category, ',' ORDER BY pos) AS tags FROM it GROUP BY ALL) SELECT lower(pc.text) || '|' || coalesce(tags, '') AS value FROM pc LEFT JOIN t USING (doc_id, utt_no, no) WHERE nc = 0")
+@query(AN + ", t AS (SELECT doc_id, utt_no, no, string_agg(category, ',' ORDER BY pos) AS tags FROM it GROUP BY ALL) SELECT lower(pc.text) || '|[' || coalesce(tags, '') || ']' AS value FROM pc LEFT JOIN t USING (doc_id, utt_no, no) WHERE nc = 0")
 def r7_potential_stop_phrase(spark, sf):
     return A.potential_stop_phrases(V.utterances(spark, sf))
 
@@ -506,7 +510,7 @@ def r8_phrase(spark, sf):
     return A.phrase_texts(V.utterances(spark, sf))
 
 
-@query(AN + "SELECT w || '|' || lex AS value FROM it WHERE w <> lex")
+@query(AN + "SELECT '[' || w || ']|[' || lex || ']|' || category || '([lexmatch([' || lex || ']),inputmatch([' || w || ']),tokens([' || w || '])])|' || text AS value FROM it WHERE w <> lex")
 def r10_match_diffs(spark, sf):
     return A.match_differences(V.utterances(spark, sf))
 
@@ -516,17 +520,17 @@ def r11_candidate_count(spark, sf):
     return A.candidate_counts(V.utterances(spark, sf))
 
 
-@query(AN + "SELECT concat_ws('|', pn, w, w, label) AS value FROM ca")
+@query(AN + "SELECT concat_ws('|', pn, w, '[' || w || ']', label) AS value FROM ca")
 def r12_candidate_text(spark, sf):
     return A.candidate_texts(V.utterances(spark, sf))
 
 
-@query(AN + "SELECT concat_ws('|', pn, w, w, label) AS value FROM ca")
+@query(AN + "SELECT concat_ws('|', pn, w, '[' || w || ']', label) AS value FROM ca")
 def r13_mapping_text(spark, sf):
     return A.mapping_texts(V.utterances(spark, sf))
 
 
-@query(AN + "SELECT concat_ws('|', pn, w, w, ca.label) AS value FROM ca JOIN pc USING (doc_id, utt_no, no) WHERE nm = 1")
+@query(AN + "SELECT concat_ws('|', pn, w, '[' || w || ']', ca.label) AS value FROM ca JOIN pc USING (doc_id, utt_no, no) WHERE nm = 1")
 def r14_unique_mapping_text(spark, sf):
     return A.mapping_texts(V.utterances(spark, sf), unique=True)
 
@@ -541,9 +545,32 @@ def r16_odd_mapping(spark, sf):
     return A.odd_mappings(V.utterances(spark, sf))
 
 
-@query()
+NAMES = {"dsyn": "Disease or Syndrome", "fndg": "Finding"}
+NAME = "CASE st WHEN 'dsyn' THEN 'Disease or Syndrome' WHEN 'fndg' THEN 'Finding' ELSE {} END"
+EVAL = f"lpad(CAST(-neg AS VARCHAR), 6, ' ') || ' ' || cui || ':' || CASE WHEN w = pn THEN pn ELSE w || ' (' || pn || ')' END || ' [' || {NAME.format('st')} || ']'"
+
+
+@query(AN + f""", e AS (SELECT *, {EVAL} AS line FROM ca),
+cl AS (SELECT doc_id, utt_no, no, count(*) AS n, string_agg(line, chr(10) ORDER BY cn) FILTER (cn <= 10) AS ls FROM e GROUP BY ALL),
+m1 AS (SELECT e.doc_id, e.utt_no, e.no, mp.i, 'Meta Mapping (' || (-mp.neg_score) || '):' || chr(10) || string_agg(line, chr(10) ORDER BY cn) AS b FROM e JOIN mp USING (doc_id, utt_no, no, k) GROUP BY e.doc_id, e.utt_no, e.no, mp.i, mp.neg_score),
+ml AS (SELECT doc_id, utt_no, no, string_agg(b, chr(10) ORDER BY i) AS bs FROM m1 GROUP BY ALL)
+SELECT ph.label, ph.no::INT AS no, concat_ws(chr(10), 'Phrase: "' || ph.text || '"', 'Meta Candidates (Total=' || cl.n || '; Excluded=0; Pruned=0; Remaining=' || cl.n || '):', ls,
+  CASE WHEN cl.n > 10 THEN '     [' || (cl.n - 10) || ' candidates were not printed]' END, coalesce(bs, 'Meta Mapping: <none>')) AS value
+FROM ph LEFT JOIN cl USING (doc_id, utt_no, no) LEFT JOIN ml USING (doc_id, utt_no, no)""")
 def r17_phrase_report(spark, sf):
-    return A.phrase_report(V.utterances(spark, sf))
+    return A.phrase_report(V.utterances(spark, sf), names=NAMES, truncate=True)
+
+
+BLOCK = """string_agg(CASE WHEN st IS DISTINCT FROM before THEN chr(10) || {name} || ' (' || st || '):' || chr(10) ELSE '' END || '  ' || w || CASE WHEN w = pn THEN '' ELSE ' (' || pn || ')' END || chr(10), '' ORDER BY {order})""".replace("{name}", NAME.format("'<unknown>'"))
+
+
+@query(AN + f""", o AS (SELECT *, lag(st) OVER (PARTITION BY doc_id, utt_no ORDER BY no, k, cn) AS before FROM ca), own AS (SELECT doc_id, utt_no, {BLOCK.replace('{order}', 'no, k, cn')} AS value FROM o GROUP BY ALL),
+s0 AS (SELECT DISTINCT u0.doc_id, u0.utt_no, ca.st, ca.w, ca.pn FROM u0 JOIN ca ON ca.doc_id = u0.doc_id AND ca.utt_no <= u0.utt_no),
+s1 AS (SELECT *, lag(st) OVER (PARTITION BY doc_id, utt_no ORDER BY st, w, pn) AS before FROM s0), far AS (SELECT doc_id, utt_no, {BLOCK.replace('{order}', 'st, w, pn')} AS b FROM s1 GROUP BY ALL)
+SELECT u0.doc_id, u0.utt_no, u0.label, coalesce(own.value, '') AS value, chr(10) || chr(10) || chr(10) || 'Combined concepts by semantic type:' || chr(10) || coalesce(far.b, '') AS combined
+FROM u0 LEFT JOIN own USING (doc_id, utt_no) LEFT JOIN far USING (doc_id, utt_no)""")
+def r18_organized_types(spark, sf):
+    return A.organized_types(V.utterances(spark, sf), NAMES)
 
 
 @query(AN + "SELECT pc.label, pc.no::INT AS no, coalesce((SELECT count(*) FROM ca WHERE ca.doc_id = pc.doc_id AND ca.utt_no = pc.utt_no AND ca.no = pc.no AND ca.k = (SELECT min(k) FROM mp WHERE mp.doc_id = pc.doc_id AND mp.utt_no = pc.utt_no AND mp.no = pc.no)), 0)::INT AS covered, len(ws)::INT AS words FROM pc")
@@ -556,14 +583,28 @@ def s17_integrity(spark, sf):
     return A.integrity_errors(V.utterances(spark, sf))
 
 
-@query()
+ESC = "replace(replace(replace({}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+XML_EV = "'<candidate><score>' || (-neg) || '</score><cui>' || cui || '</cui><term>' || w || '</term><concept>' || pn || '</concept><type>' || st || '</type><negated>0</negated></candidate>'"
+
+
+@query(AN + f""", e AS (SELECT *, {XML_EV} AS x FROM ca), cx AS (SELECT doc_id, utt_no, no, string_agg(x, '' ORDER BY cn) AS c FROM e GROUP BY ALL),
+m1 AS (SELECT e.doc_id, e.utt_no, e.no, mp.i, '<mapping><score>' || (-mp.neg_score) || '</score>' || string_agg(x, '' ORDER BY cn) || '</mapping>' AS b FROM e JOIN mp USING (doc_id, utt_no, no, k) GROUP BY e.doc_id, e.utt_no, e.no, mp.i, mp.neg_score),
+mx AS (SELECT doc_id, utt_no, no, string_agg(b, '' ORDER BY i) AS m FROM m1 GROUP BY ALL),
+px AS (SELECT ph.doc_id, ph.utt_no, string_agg('<phrase><no>' || no || '</no><text>' || {ESC.format('ph.text')} || '</text><candidates>' || coalesce(c, '') || '</candidates><mappings>' || coalesce(m, '') || '</mappings></phrase>', '' ORDER BY no) AS p
+  FROM ph LEFT JOIN cx USING (doc_id, utt_no, no) LEFT JOIN mx USING (doc_id, utt_no, no) GROUP BY ph.doc_id, ph.utt_no)
+SELECT u0.doc_id, u0.utt_no, '<utterance><label>' || label || '</label><text>' || {ESC.format('u0.text')} || '</text>' || coalesce(p, '') || '</utterance>' AS value FROM u0 LEFT JOIN px USING (doc_id, utt_no)""")
 def k13_xml(spark, sf):
     return A.to_xml(V.utterances(spark, sf))
 
 
-@query()
+@query(AN + """, n AS (SELECT doc_id, utt_no, sum(nc)::BIGINT AS c FROM pc GROUP BY ALL)
+SELECT u0.doc_id, count(*) AS utterances, string_agg(label, ',' ORDER BY u0.utt_no) AS labels, md5(string_agg(text, '|' ORDER BY u0.utt_no)) AS texts, sum(len(ps))::BIGINT AS phrases, sum(coalesce(c, 0))::BIGINT AS cands FROM u0 LEFT JOIN n USING (doc_id, utt_no) GROUP BY u0.doc_id""")
 def k14_json(spark, sf):
-    return A.to_json(V.utterances(spark, sf))
+    """The JSON of each document, read back."""
+    x = A.to_json(V.utterances(spark, sf)).select("doc_id", F.from_json("value", f"doc_id bigint, utterances array<struct<utt_no:bigint,label:string,text:string,phrases:array<{A.PHRASE}>>>")["utterances"].alias("u"))
+    each = lambda f: F.aggregate(F.transform("u", f), F.lit(0).cast("bigint"), lambda a, n: a + n)
+    n = lambda u: F.aggregate(u["phrases"], F.lit(0).cast("bigint"), lambda a, p: a + F.size(p["cands"]))
+    return x.select("doc_id", F.size("u").cast("bigint").alias("utterances"), F.array_join("u.label", ",").alias("labels"), F.md5(F.array_join("u.text", "|").cast("binary")).alias("texts"), each(lambda u: F.size(u["phrases"])).alias("phrases"), each(n).alias("cands"))
 
 
 @query(AN + "SELECT doc_id, utt_no, (2 + 3 * len(ps))::BIGINT AS terms FROM u0")
@@ -577,6 +618,44 @@ def s13_segmentation(spark, sf):
     return u.select("label", "text", F.size("phrases").alias("phrases"), F.aggregate("phrases", F.lit(0).cast("long"), lambda a, p: a + F.size(p["cands"])).alias("cands"))
 
 
+# Files of terms, written and read back
+
+
+def _blocks(spark, sf):
+    lines = A2.term_lines(V.utterances(spark, sf).where(F.size("phrases") > 0))
+    return lines.select(F.lit("terms").alias("path"), (F.col("doc_id") * 1000 + F.col("utt_no")).alias("seq"), "value")
+
+
+SAID = AN + ", n AS (SELECT doc_id, utt_no, sum(nc)::BIGINT AS cands, sum(nm)::BIGINT AS maps FROM pc GROUP BY ALL), said AS (SELECT u0.*, cands, maps FROM u0 JOIN n USING (doc_id, utt_no)) "
+
+
+@query(SAID + "SELECT CAST(doc_id AS VARCHAR) AS doc_id, label, text, len(ps)::INT AS phrases, cands, maps FROM said")
+def s14_read_terms(spark, sf):
+    n = lambda c: F.aggregate("phrases", F.lit(0).cast("bigint"), lambda a, p: a + F.size(p[c]))
+    return A2.parse_blocks(_blocks(spark, sf)).select("doc_id", "label", "text", F.size("phrases").alias("phrases"), n("cands").alias("cands"), n("mappings").alias("maps"))
+
+
+@query(SAID + "SELECT label, utt_no = min(utt_no) OVER (PARTITION BY doc_id) AS starts, CASE WHEN utt_no = min(utt_no) OVER (PARTITION BY doc_id) THEN 'args(termweave,[])|[]|[]' END AS header FROM said".replace("args(termweave,[])", "[termweave,[]]"))
+def s12_header_terms(spark, sf):
+    return A2.parse_blocks(_blocks(spark, sf)).select("label", "starts", F.when(F.col("starts"), F.concat_ws("|", "header.args", "header.aas", "header.neg_list")).alias("header"))
+
+
+@query(SAID + "SELECT label, dense_rank() OVER (ORDER BY doc_id) AS doc_no, row_number() OVER (PARTITION BY doc_id ORDER BY utt_no) AS utt_no FROM said")
+def w6_ordinals(spark, sf):
+    return A2.parse_blocks(_blocks(spark, sf)).select("label", "doc_no", "utt_no")
+
+
+@query(AN + "SELECT label, no::INT AS no, cui, w AS term, 0 AS negated, '[' || (position(w IN lower(text)) - 1) || '/' || length(w) || ']' AS pos FROM ca")
+def s15_candidates(spark, sf):
+    x = A.candidates(A2.parse_blocks(_blocks(spark, sf)))
+    return x.select("label", "no", "ev.cui", F.col("ev.meta_term").alias("term"), "ev.negated", A.spans(F.col("ev.pos")).alias("pos"))
+
+
+@query(AN + "SELECT concat_ws('|', pn, w, '[' || w || ']', label) AS value FROM ca")
+def s11_report_from_terms(spark, sf):
+    return A.candidate_texts(A2.parse_blocks(_blocks(spark, sf)))
+
+
 def queries() -> dict:
     return dict(QUERIES)
 

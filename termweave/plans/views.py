@@ -74,42 +74,49 @@ filtered AS (SELECT *, coalesce(prn = 1 AND status <> 'y' AND alive, false) AS r
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(first, last): of the first and last words of part names, those of parts 1 to 20."""
-    x = table(spark, sf_dir, "part").where("p_partkey <= 20").select(T.words(F.lower("p_name")).alias("w"))
+    """(first, last): the first and last words of the names of the largest parts."""
+    x = table(spark, sf_dir, "part").where("p_size >= 45").select(T.words(F.lower("p_name")).alias("w"))
     return x.select(F.col("w")[0].alias("first"), F.element_at("w", -1).alias("last")).distinct()
 
 
-PAIRS_SQL = "pw AS (SELECT regexp_extract_all(lower(p_name), '[a-z0-9]+') AS w FROM part WHERE p_partkey <= 20), pairs AS (SELECT DISTINCT w[1] AS first, w[-1] AS last FROM pw)"
+PAIRS_SQL = "pw AS (SELECT regexp_extract_all(lower(p_name), '[a-z0-9]+') AS w FROM part WHERE p_size >= 45), pairs AS (SELECT DISTINCT w[1] AS first, w[-1] AS last FROM pw)"
 
 
 def english(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").where("lang = 'en'")
 
 
-def allow(tf: DataFrame) -> DataFrame:
-    return tf.select(F.col("term").alias("word")).where("length(term) BETWEEN 5 AND 7 AND ascii(term) % 3 = 0").distinct()
+#: A short stop list, upper-cased as terms are.
+STOP = ("AND", "FOR", "THE", "WITH", "FROM", "THIS", "THAT", "ARE", "WAS", "NOT")
 
 
-def stop(tf: DataFrame) -> DataFrame:
-    return tf.select(F.col("term").alias("word")).where("length(term) = 6 AND ascii(term) % 2 = 0").distinct()
+def distinct_terms(tf: DataFrame) -> DataFrame:
+    return tf.select("term").distinct()
 
 
-def vectors(tf: DataFrame) -> DataFrame:
-    """(term, vec): integers from the length and first letter of terms of odd length, some below zero."""
-    x = tf.select("term").where("length(term) % 2 = 1 AND length(term) BETWEEN 5 AND 7").distinct()
-    return x.withColumn("vec", F.expr("transform(sequence(0, 128), p -> cast((length(term) * 7 + ascii(term) * 3 + p * 11) % 41 - 10 AS int))"))
+def allow(terms: DataFrame) -> DataFrame:
+    """Every term of three characters or more."""
+    return terms.where("length(term) >= 3").select(F.col("term").alias("word"))
+
+
+def stop(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(w,) for w in STOP], "word string")
+
+
+def vectors(terms: DataFrame) -> DataFrame:
+    """(term, vec): integers from the length and first letter of every term, some below zero."""
+    return terms.withColumn("vec", F.expr("transform(sequence(0, 128), p -> cast((length(term) * 7 + ascii(term) * 3 + p * 11) % 41 - 10 AS int))"))
 
 
 PROFILE_SQL = r"""
 tok AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(text, '[!-/:-@\[-`{-~ \t\n\r\f]+'), lambda x: x <> '')) AS t FROM documents WHERE lang = 'en'),
 tf AS (SELECT doc_id, replace(upper(t), 'ẞ', 'SS') AS term, count(*) AS tf FROM tok GROUP BY ALL),
-keep AS (SELECT * FROM tf WHERE length(term) BETWEEN 5 AND 7 AND ascii(term) % 3 = 0 AND NOT (length(term) = 6 AND ascii(term) % 2 = 0)),
-hit AS (SELECT * FROM keep WHERE length(term) % 2 = 1),
-sums AS (SELECT doc_id, pos, (sum(tf * ((length(term) * 7 + ascii(term) * 3 + pos * 11) % 41 - 10)))::BIGINT AS s, sum(tf)::BIGINT AS n FROM hit, (SELECT unnest(range(129)) AS pos) GROUP BY doc_id, pos),
+keep AS (SELECT * FROM tf WHERE length(term) >= 3 AND term NOT IN ({stop})),
+sums AS (SELECT doc_id, pos, (sum(tf * ((length(term) * 7 + ascii(term) * 3 + pos * 11) % 41 - 10)))::BIGINT AS s, sum(tf)::BIGINT AS n FROM keep, (SELECT unnest(range(129)) AS pos) GROUP BY doc_id, pos),
 prof AS (SELECT d.doc_id, p.pos, CASE WHEN s.n IS NULL THEN 0 ELSE sign(s.s)::BIGINT * (abs(s.s) // s.n) END::BIGINT AS score
   FROM (SELECT DISTINCT doc_id FROM documents WHERE lang = 'en') d CROSS JOIN (SELECT unnest(range(129)) AS pos) p LEFT JOIN sums s ON s.doc_id = d.doc_id AND s.pos = p.pos),
 names AS (SELECT unnest(range(129)) AS pos, unnest({types}) AS semtype)
-"""
+""".replace("{stop}", ", ".join(f"'{w}'" for w in STOP))
 
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,11 +131,12 @@ def utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Annotated utterances from conversations: sentences are phrases, words items, words of a length divisible by three candidates."""
     preps = ", ".join(f"'{p}'" for p in PREPOSITIONS)
     sem = ", ".join(f"'{s}'" for s in SEM5)
-    ev = f"""named_struct('neg_value', cast(10 * length(w) - 1000 AS int), 'cui', concat('C', lpad(cast(ascii(w) * 100 + length(w) AS string), 7, '0')), 'meta_term', w,
-      'preferred_name', substring(w, 1, 3), 'meta_words', array(w), 'sem_types', array(get(array({sem}), length(w) % 5)), 'negated', 0)"""
+    ev = f"""named_struct('neg_value', cast(10 * length(s.w) - 1000 AS int), 'cui', concat('C', lpad(cast(ascii(s.w) * 100 + length(s.w) AS string), 7, '0')), 'meta_term', s.w,
+      'preferred_name', substring(s.w, 1, 3), 'meta_words', array(s.w), 'sem_types', array(get(array({sem}), length(s.w) % 5)), 'match_map', array(named_struct('p1', s.i, 'p2', s.i, 'm1', 1, 'm2', 1, 'lex', 0)),
+      'involves_head', 'no', 'is_overmatch', 'no', 'sources', array('SRC'), 'pos', array(named_struct('start', locate(s.w, lower(ptext)) - 1, 'length', length(s.w))), 'status', 0, 'negated', 0)"""
     item = f"""named_struct('category', CASE WHEN w IN ({preps}) THEN 'prep' WHEN length(w) <= 2 THEN 'det' WHEN length(w) >= 9 THEN 'not_in_lex' WHEN length(w) % 3 = 0 THEN 'noun' WHEN length(w) % 3 = 1 THEN 'verb' ELSE 'adj' END,
-      'inputmatch', array(w), 'lexmatch', array(CASE WHEN endswith(w, 's') THEN substring(w, 1, length(w) - 1) ELSE w END), 'tokens', array(w))"""
-    cands = f"transform(array_sort(transform(filter(sequence(1, size(ws)), i -> length(get(ws, i - 1)) % 3 = 0), i -> struct(length(get(ws, i - 1)) AS n, i AS i, get(ws, i - 1) AS w))), s -> transform(array(s.w), w -> {ev})[0])"
+      'tag', cast(null AS string), 'inputmatch', array(w), 'lexmatch', array(CASE WHEN endswith(w, 's') THEN substring(w, 1, length(w) - 1) ELSE w END), 'tokens', array(w))"""
+    cands = f"transform(array_sort(transform(filter(sequence(1, size(ws)), i -> length(get(ws, i - 1)) % 3 = 0), i -> struct(length(get(ws, i - 1)) AS n, i AS i, get(ws, i - 1) AS w))), s -> {ev})"
     maps = "filter(transform(array(0, 1), k -> transform(array(filter(cands, e -> length(e.meta_term) % 2 = k)), es -> named_struct('neg_score', array_min(transform(es, e -> e.neg_value)), 'evs', es))[0]), m -> size(m.evs) > 0)"
     x = table(spark, sf_dir, "conversations").where("text IS NOT NULL").selectExpr("conv_id AS doc_id", "turn AS utt_no", "concat(conv_id, '.', turn) AS label", "text")
     x = x.withColumn("ps", F.expr("filter(transform(split(text, '[.]'), s -> trim(s)), s -> s <> '')")).select("*", F.posexplode_outer("ps").alias("k", "ptext"))
@@ -136,7 +144,7 @@ def utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = x.withColumn("items", F.expr(f"transform(ws, w -> {item})")).withColumn("cands", F.expr(f"CASE WHEN size(ws) > 0 THEN {cands} ELSE cast(array() AS array<{A.EV}>) END"))
     x = x.withColumn("mappings", F.expr(maps))
     # A sentence's annotation is gathered per utterance: a turn's sentences only.
-    g = x.groupBy("doc_id", "utt_no", "label", "text").agg(F.expr("array_sort(collect_list(CASE WHEN ptext IS NOT NULL THEN struct(k, struct(cast(k AS int) AS no, ptext AS text, items, cands, mappings) AS p) END), (a, b) -> cast(a.k - b.k AS int))").alias("ps"))
+    g = x.groupBy("doc_id", "utt_no", "label", "text").agg(F.expr("array_sort(collect_list(CASE WHEN ptext IS NOT NULL THEN struct(k, struct(cast(k AS int) AS no, ptext AS text, items, named_struct('total', size(cands), 'excluded', 0, 'pruned', 0, 'remaining', size(cands)) AS counts, cands, mappings, named_struct('start', 0, 'length', length(ptext)) AS pos) AS p) END), (a, b) -> cast(a.k - b.k AS int))").alias("ps"))
     return g.select("doc_id", "utt_no", "label", "text", F.expr(f"cast(transform(ps, s -> s.p) AS array<{A.PHRASE}>)").alias("phrases"))
 
 
