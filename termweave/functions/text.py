@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Markers that may open a term, words that keep a comma where it is, and signs that stand alone as tokens.
+#: Markers that may open a term, and words that keep a comma where it is.
 LEFT_PARENTHETICALS = ("X", "V", "D", "M", "EDTA", "SO", "Q")
 LINKING_WORDS = ("of", "in", "to", "for", "with", "by", "on", "at", "from", "and", "or", "the")
 CONCEPT_PLACEHOLDER = "C......."
-PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def parse_record(line: Column, delimiter: str = "|") -> Column:
@@ -54,7 +53,10 @@ def normalize(s: Column) -> Column:
     state = F.array(F.struct(s.alias("norm"), F.array().cast("array<string>").alias("types")))
     for name, step in steps:
         state = apply(state, name, step)
-    return F.transform(state, lambda x: F.struct(F.trim(x["norm"]).alias("norm"), x["types"].alias("types")))[0]
+    done = F.transform(state, lambda x: F.struct(F.trim(x["norm"]).alias("norm"), x["types"].alias("types")))
+    # Blanks that a step leaves side by side are an error, as terms are compared by what is left.
+    bad = lambda x: F.raise_error(F.concat(F.lit("extra blank in the normalized term: "), x["norm"])).cast("string")
+    return F.transform(done, lambda x: F.struct(F.when(F.contains(x["norm"], F.lit("  ")), bad(x)).otherwise(x["norm"]).alias("norm"), x["types"].alias("types")))[0]
 
 
 def print_cui(ts: Column, stt: Column, cui: Column) -> Column:
@@ -126,6 +128,10 @@ def has_alnum(s: Column) -> Column:
     return s.rlike("[A-Za-z0-9]")
 
 
-def pick(items: Column, positions: Column) -> Column:
-    """The items at 1-based positions."""
-    return F.transform(positions, lambda i: F.get(items, i - 1))
+def join(items: Column, separator: str) -> Column:
+    return F.array_join(items, separator)
+
+
+def have_common(a: Column, b: Column) -> Column:
+    """Whether two lists share an element."""
+    return F.arrays_overlap(a, b)

@@ -9,12 +9,16 @@ from ..functions import text as T
 
 #: The semantic types in the order of a vector's positions.
 SEMANTIC_TYPES = (
-    "aapp acab acty aggp alga amph anab anim anst antb arch bacs bact bdsu bdsy bhvr biof bird blor bmod bodm bpoc bsoj carb celc celf cell cgab "
-    "chem chvf chvs clas clna clnd cnce comd diap dora dsyn edac eehu eico elii emod emst enzy evnt famg ffas fish fndg fngs food ftcn genf geoa "
-    "gngm gora grpa grup hcpp hcro hlca hops horm humn idcn imft inbe inch inpo inpr invt irda lang lbpr lbtr lipd mamm mbrt mcha medd menp mnob "
-    "mobd moft neop nnon npop nsba nusq ocac ocdi opco orch orga orgf orgm orgt ortf patf phob phpr phsf phsu plnt podg popg prog qlco qnco rcpt "
-    "rept resa resd rich rnlw sbst shro socb sosy spco strd tisu tmco topp virs vita vtbt"
-).split()
+    "aapp", "acab", "acty", "aggp", "alga", "amph", "anab", "anim", "anst", "antb", "arch", "bacs", "bact", "bdsu", "bdsy", "bhvr",
+    "biof", "bird", "blor", "bmod", "bodm", "bpoc", "bsoj", "carb", "celc", "celf", "cell", "cgab", "chem", "chvf", "chvs", "clas",
+    "clna", "clnd", "cnce", "comd", "diap", "dora", "dsyn", "edac", "eehu", "eico", "elii", "emod", "emst", "enzy", "evnt", "famg",
+    "ffas", "fish", "fndg", "fngs", "food", "ftcn", "genf", "geoa", "gngm", "gora", "grpa", "grup", "hcpp", "hcro", "hlca", "hops",
+    "horm", "humn", "idcn", "imft", "inbe", "inch", "inpo", "inpr", "invt", "irda", "lang", "lbpr", "lbtr", "lipd", "mamm", "mbrt",
+    "mcha", "medd", "menp", "mnob", "mobd", "moft", "neop", "nnon", "npop", "nsba", "nusq", "ocac", "ocdi", "opco", "orch", "orga",
+    "orgf", "orgm", "orgt", "ortf", "patf", "phob", "phpr", "phsf", "phsu", "plnt", "podg", "popg", "prog", "qlco", "qnco", "rcpt",
+    "rept", "resa", "resd", "rich", "rnlw", "sbst", "shro", "socb", "sosy", "spco", "strd", "tisu", "tmco", "topp", "virs", "vita",
+    "vtbt",
+)
 
 
 def term_frequencies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -80,5 +84,13 @@ def best_type(prof: DataFrame) -> DataFrame:
     return prof.select("doc_id", F.when(most > 0, F.get(names, (F.array_position(F.col("profile"), most) - 1).cast("int"))).alias("semtype"))
 
 
+def scores_by_type(prof: DataFrame) -> DataFrame:
+    """(doc_id, scores): a document's scores as a map from semantic type, types descending."""
+    names = F.array(*[F.lit(t) for t in sorted(SEMANTIC_TYPES, reverse=True)])
+    at = F.array(*[F.lit(SEMANTIC_TYPES.index(t)) for t in sorted(SEMANTIC_TYPES, reverse=True)])
+    return prof.select("doc_id", F.map_from_arrays(names, F.transform(at, lambda i: F.get("profile", i))).alias("scores"))
+
+
 def display_lines(top: DataFrame) -> DataFrame:
-    return top.orderBy("doc_id", "rank").select(F.concat_ws("|", "semtype", "score").alias("value"))
+    """(doc_id, rank, value): `type|score` lines, best first within a document."""
+    return top.select("doc_id", "rank", F.concat_ws("|", "semtype", "score").alias("value"))

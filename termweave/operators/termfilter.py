@@ -16,7 +16,7 @@ def prepare(terms: DataFrame, assume_sorted: bool = False) -> DataFrame:
     n = T.normalize(F.col("str"))
     x = terms.withColumn("n", n).withColumn("nmstr", F.col("n.norm")).withColumn("nm_types", F.col("n.types")).drop("n")
     x = x.withColumn("pref", F.col("ts").isin("P", "p") & (F.col("stt") == "PF")).withColumn("tss", F.col("ts").isin("p", "s"))
-    return x.withColumn("run_id", F.xxhash64("cui")) if assume_sorted else with_runs(x, "cui", "line_no")
+    return x.withColumn("run_id", F.col("cui")) if assume_sorted else with_runs(x, "cui", "line_no")
 
 
 def filter_terms(prepared: DataFrame, simple: Column | None = None) -> DataFrame:
@@ -54,12 +54,12 @@ def tagged_lines(filtered: DataFrame) -> DataFrame:
     return filtered.select(F.when(s == "y", F.concat(F.lit("y|"), F.col("out_line"))).otherwise(F.concat_ws("|", s, F.col("line"), types_text(F.col("nm_types")), F.col("nmstr"))).alias("value"))
 
 
-def ordered_tagged_lines(filtered: DataFrame, end_mark: bool = False) -> DataFrame:
-    """tagged_lines in the order of the text output: by run, exclusions by status, duplicate and syntax, then what is kept; an end mark if asked."""
+def ordered_tagged_lines(filtered: DataFrame) -> DataFrame:
+    """(ord, value): tagged_lines with what orders them in a text file: by run, exclusions by status, duplicate and syntax, then what is kept."""
     rank = F.when(F.col("final_status") == "ntss", 0).when(F.col("final_status") == "nnorm", 1).when(F.col("final_status") == "nsynt", 2).otherwise(3)
-    x = filtered.withColumn("rank", rank)
-    lines = tagged_lines(x.orderBy("run_id", "rank", "nmstr", "cui", "sab", "lui", "sui", "aui", "out_line"))
-    return lines.unionByName(lines.sparkSession.createDataFrame([("<<< EOT >>>",)], "value string")) if end_mark else lines
+    x = filtered.withColumn("ord", F.struct(F.col("run_id"), rank.alias("rank"), "nmstr", "cui", "sab", "lui", "sui", "aui", "out_line"))
+    s = F.col("final_status")
+    return x.select("ord", F.when(s == "y", F.concat(F.lit("y|"), F.col("out_line"))).otherwise(F.concat_ws("|", s, F.col("line"), types_text(F.col("nm_types")), F.col("nmstr"))).alias("value"))
 
 
 def normalization_counts(filtered: DataFrame) -> DataFrame:
@@ -77,10 +77,12 @@ def status_counts(filtered: DataFrame) -> DataFrame:
 
 
 def counter_lines(filtered: DataFrame) -> DataFrame:
-    """(value): all counters as lines, normalization lists first and descending."""
-    n = normalization_counts(filtered).orderBy(F.desc("indicator"), F.desc("types")).select(F.concat_ws("|", "indicator", "n", "types").alias("value"))
-    s = status_counts(filtered).select(F.explode(F.array(*[F.concat_ws("|", F.lit(k), F.col(c), F.lit(c)) for k, c in (("it", "p"), ("it", "s"), ("is", "pref"), ("is", "synt"))])).alias("value"))
-    return n.unionByName(s)
+    """(ord, value): all counters as lines, normalization lists first and descending; a few rows, in the order of ord."""
+    n = normalization_counts(filtered).select(F.concat_ws("|", "indicator", "n", "types").alias("value"), F.row_number().over(Window.orderBy(F.desc("indicator"), F.desc("types"))).alias("ord"))
+    kinds = (("it", "p"), ("it", "s"), ("is", "pref"), ("is", "synt"))
+    s = status_counts(filtered).select(F.posexplode(F.array(*[F.concat_ws("|", F.lit(k), F.col(c), F.lit(c)) for k, c in kinds])).alias("at", "value"))
+    # There are fewer lists of types than a thousand.
+    return n.select("ord", "value").unionByName(s.select((F.col("at") + 1001).alias("ord"), "value"))
 
 
 def preferred_counts(prepared: DataFrame) -> DataFrame:

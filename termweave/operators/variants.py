@@ -38,3 +38,8 @@ def variant_rows(expanded: DataFrame, roots: DataFrame | None = None) -> DataFra
     x = expanded.groupBy("term", "term_cat", "word").agg(F.array_sort(F.collect_set("cat")).alias("cs"), F.min(F.struct("var_level", "history")).alias("m"))
     x = x.withColumn("roots", F.lit("[]")) if roots is None else x.join(roots, "word", "left").withColumn("roots", F.coalesce("roots", F.lit("[]")))
     return x.select("term", F.coalesce("term_cat", F.lit("none")).alias("term_cats"), "word", T.simplify_categories(F.col("cs")).alias("cats"), F.col("m.var_level").alias("var_level"), F.col("m.history").alias("history"), F.get(T.words(F.lower("word")), F.lit(0)).alias("first_word"), "roots")
+
+
+def variant_lines(rows: DataFrame) -> DataFrame:
+    """(term, word, value): the eight columns of variant_rows as lines."""
+    return rows.select("term", "word", F.concat_ws("|", "term", "term_cats", "word", "cats", "var_level", "history", "first_word", "roots").alias("value"))

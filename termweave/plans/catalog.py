@@ -12,7 +12,7 @@ from ..operators import profiles as P
 from ..operators import termfilter as TF
 from ..operators import variants as VA
 from ..operators import wordindex as W
-from ..operators.runs import with_runs
+from ..operators.runs import ranked, with_runs
 from ..sources import annotated as A2
 from ..sources import readers as R
 from . import views as V
@@ -136,6 +136,12 @@ def t4_apostrophe_tokens(spark, sf):
     return V.table(spark, sf, "part").select("p_partkey", F.array_join(T.reader_tokens(F.concat("p_name", F.lit("'s ("), "p_brand", F.lit(") 12%"))), " ").alias("s"))
 
 
+@query("SELECT p_partkey, replace(translate(p_name || 'éß', 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ'), ' ', '') AS u, array_to_string(string_split(p_name, ' '), '+') AS j, list_has_any(string_split(p_name, ' '), string_split(p_brand || ' ' || p_type, ' ')) AS c FROM part")
+def p28_join_p23_upper_u5_common(spark, sf):
+    w = F.split("p_name", " ")
+    return V.table(spark, sf, "part").select("p_partkey", F.replace(T.ascii_upper(F.concat("p_name", F.lit("éß"))), F.lit(" "), F.lit("")).alias("u"), T.join(w, "+").alias("j"), T.have_common(w, F.split(F.concat_ws(" ", "p_brand", "p_type"), " ")).alias("c"))
+
+
 # Term filter
 
 
@@ -162,15 +168,32 @@ def f3_simple_syntax(spark, sf):
     return V.table(spark, sf, "part").select("p_partkey", TF.is_simple(TF.chunks(w)).alias("simple"))
 
 
-@query()
+PREPS = "[" + ", ".join(f"'{p}'" for p in TF.PREPOSITIONS) + "]"
+#: Terms with prepositional phrases after them, simple and not, and their phrases.
+LONGER = f"""longer AS (SELECT * REPLACE (nmstr || CASE ts WHEN 'P' THEN ' of x in' WHEN 'S' THEN ' in x of y' ELSE '' END AS nmstr) FROM norm),
+cut AS (SELECT *, regexp_extract_all(nmstr, '[a-z0-9]+') AS w FROM longer), cut1 AS (SELECT *, list_filter(range(2, len(w) + 1), lambda i: list_contains({PREPS}, w[i])) AS ats FROM cut),
+snorm AS (SELECT * EXCLUDE (w, ats), list_transform(range(1, len(ats) + 2), lambda j: w[(CASE WHEN j = 1 THEN 1 ELSE ats[j - 1] END):(CASE WHEN j > len(ats) THEN len(w) ELSE ats[j] - 1 END)]) AS phrases, len(w) AS nw,
+  len(w) > 0 AND (len(ats) = 0 OR len(list_filter(range(1, len(ats) + 1), lambda j: coalesce(ats[j + 1], len(w) + 1) - ats[j] = 1 OR j > 1 AND w[ats[j]] <> 'of')) = 0) AS simple FROM cut1)"""
+STRICT = V.FILTER_SQL.replace("FROM norm", "FROM snorm").replace("ELSE 'y' END AS status", "WHEN NOT simple THEN 'nsynt' ELSE 'y' END AS status")
+
+
+def _longer(spark, sf, **how):
+    x = TF.prepare(_terms(spark, sf), **how)
+    return x.withColumn("nmstr", F.concat("nmstr", F.when(F.col("ts") == "P", F.lit(" of x in")).when(F.col("ts") == "S", F.lit(" in x of y")).otherwise(F.lit(""))))
+
+
+def _strict(spark, sf):
+    return TF.filter_terms(_longer(spark, sf), TF.is_simple(TF.chunks(T.words(F.col("nmstr")))))
+
+
+@query(f"WITH {V.GROUPED}, {LONGER}, {STRICT} SELECT aui, status, CASE WHEN restored THEN 'y' ELSE status END AS final_status FROM filtered")
 def f4_strict_filter(spark, sf):
-    prepared = TF.prepare(_terms(spark, sf))
-    return TF.filter_terms(prepared, TF.is_simple(TF.chunks(T.words(F.col("nmstr"))))).groupBy("final_status").agg(F.count("*").alias("n"))
+    return _strict(spark, sf).select("aui", "status", "final_status")
 
 
-@query()
+@query(f"WITH {V.GROUPED}, {LONGER} SELECT concat_ws('|', CASE WHEN nw = 0 THEN '1|1' ELSE len(phrases) || '|' || nw END, cui, sab, code, nmstr, CAST(to_json(phrases) AS VARCHAR)) AS value FROM snorm")
 def f6_syntax_dump(spark, sf):
-    return TF.syntax_dump(TF.prepare(_terms(spark, sf), assume_sorted=True))
+    return TF.syntax_dump(_longer(spark, sf, assume_sorted=True))
 
 
 @query(f"WITH {V.INTERLEAVED}, {V.RUNS_SQL} SELECT run_id, cui, count(*) AS n FROM runs GROUP BY ALL")
@@ -220,9 +243,22 @@ def u1_tagged_output(spark, sf):
     return TF.tagged_lines(TF.filter_terms(TF.prepare(V.terms(spark, sf, interleaved=True))))
 
 
-@query()
+COUNTERS = """x AS (SELECT types FROM filtered WHERE status = 'nnorm'),
+n AS (SELECT 'icn' AS i, count(*) AS n, types AS t FROM x GROUP BY types UNION ALL SELECT 'ibn', count(*), t FROM (SELECT unnest(string_split(types[2:-2], ',')) AS t FROM x WHERE types <> '[]') GROUP BY t),
+c AS (SELECT count(*) FILTER (status = 'ntss' AND ts = 'p' AND NOT restored) AS p, count(*) FILTER (status = 'ntss' AND ts = 's' AND NOT restored) AS s, count(*) FILTER (restored) AS pref, count(*) FILTER (status = 'nsynt' AND NOT restored) AS synt FROM filtered)
+SELECT row_number() OVER (ORDER BY i DESC, t DESC)::INT AS ord, i || '|' || n || '|' || t AS value FROM n UNION ALL SELECT 1001, 'it|' || p || '|p' FROM c UNION ALL SELECT 1002, 'it|' || s || '|s' FROM c UNION ALL SELECT 1003, 'is|' || pref || '|pref' FROM c UNION ALL SELECT 1004, 'is|' || synt || '|synt' FROM c"""
+
+
+@query(f"WITH {V.GROUPED}, {LONGER}, {STRICT}, {COUNTERS}")
 def k3_counter_lines(spark, sf):
-    return TF.counter_lines(_filtered(spark, sf))
+    return TF.counter_lines(_strict(spark, sf))
+
+
+@query(f"""WITH {V.GROUPED}, {V.FILTER_SQL}, o AS (SELECT *, CASE WHEN status = 'y' OR restored THEN 3 WHEN status = 'ntss' THEN 0 WHEN status = 'nnorm' THEN 1 ELSE 2 END AS rank,
+  CASE WHEN restored AND position('|p|' IN line) > 0 THEN substr(line, 1, position('|p|' IN line) - 1) || '|P|' || substr(line, position('|p|' IN line) + 3) ELSE line END AS l FROM filtered)
+SELECT row_number() OVER (ORDER BY run_id, rank, nmstr, cui, sab, lui, sui, aui, l) AS line_no, CASE WHEN rank = 3 THEN 'y|' || l ELSE status || '|' || line || '|' || types || '|' || nmstr END AS value FROM o""")
+def k1_ordered_lines(spark, sf):
+    return ranked(TF.ordered_tagged_lines(_filtered(spark, sf)), "ord").select("line_no", "value")
 
 
 # Word index
@@ -305,6 +341,18 @@ def o5_top10(spark, sf):
     return P.top_types(_profiles(spark, sf))
 
 
+@query(f"""WITH {PROFILE}, s AS (SELECT doc_id, score, arg_max(semtype, pos) AS semtype FROM prof JOIN names USING (pos) GROUP BY doc_id, score),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC) AS rank FROM s) SELECT doc_id, rank::INT AS rank, semtype || '|' || CAST((score * 0.0001)::DECIMAL(18, 4) AS VARCHAR) AS value FROM r WHERE rank <= 10""")
+def k20_display_lines(spark, sf):
+    return P.display_lines(P.top_types(_profiles(spark, sf)))
+
+
+@query(f"WITH {PROFILE} SELECT doc_id, string_agg(semtype || '=' || score, ',' ORDER BY semtype DESC) AS scores FROM prof JOIN names USING (pos) GROUP BY doc_id")
+def a10_scores_by_type(spark, sf):
+    x = P.scores_by_type(_profiles(spark, sf))
+    return x.select("doc_id", F.array_join(F.transform(F.map_entries("scores"), lambda e: F.concat_ws("=", e["key"], e["value"])), ",").alias("scores"))
+
+
 VEC_LINES = "concat_ws(' ', p_brand, cast(p_size AS string), cast(p_partkey % 10 AS string))"
 
 
@@ -376,12 +424,38 @@ def j8_categories(spark, sf):
     return VA.categories(terms, _lexicon(spark, sf))
 
 
-@query()
-def v3_variants(spark, sf):
+VARIANTS = """WITH lex AS (SELECT split_part(p_name, ' ', 1) AS form, 'noun' AS cat FROM part UNION SELECT split_part(p_name, ' ', -1), 'adj' FROM part WHERE p_size % 2 = 0),
+e AS (SELECT DISTINCT split_part(p_name, ' ', 1) AS base, 'noun' AS bcat, split_part(p_name, ' ', -1) AS w, 'adj' AS c, 'd' AS kind, 3 AS dist FROM part UNION SELECT split_part(p_name, ' ', 1), 'noun', split_part(p_name, ' ', 1) || 's', 'noun', 'i', 1 FROM part),
+l0 AS (SELECT DISTINCT split_part(p_name, ' ', 1) AS term, lex.cat AS tcat, split_part(p_name, ' ', 1) AS word, lex.cat AS cat, 0 AS lvl, '' AS hist FROM part LEFT JOIN lex ON split_part(p_name, ' ', 1) = form),
+l1 AS (SELECT term, tcat, w AS word, c AS cat, lvl + dist AS lvl, hist || kind AS hist FROM l0 JOIN e ON word = base AND (cat IS NULL OR cat = bcat)),
+l2 AS (SELECT term, tcat, w AS word, c AS cat, lvl + dist AS lvl, hist || kind AS hist FROM l1 JOIN e ON word = base AND (cat IS NULL OR cat = bcat)),
+rows AS (SELECT * FROM l0 UNION ALL SELECT * FROM l1 UNION ALL SELECT * FROM l2),
+g AS (SELECT term, tcat, word, list_sort(list_distinct(list(cat) FILTER (cat IS NOT NULL))) AS cs, min({'l': lvl, 'h': hist}) AS m FROM rows GROUP BY term, tcat, word),
+v AS (SELECT term, coalesce(tcat, 'none') AS term_cats, word, CASE WHEN coalesce(len(cs), 0) = 0 THEN 'none' WHEN len(cs) = 1 THEN cs[1] ELSE '[' || array_to_string(cs, ',') || ']' END AS cats, m.l AS var_level, m.h AS history,
+  regexp_extract_all(lower(word), '[a-z0-9]+')[1] AS first_word, '[]' AS roots FROM g) """
+
+
+def _variants(spark, sf):
     terms = V.table(spark, sf, "part").selectExpr("substring_index(p_name, ' ', 1) AS term")
     return VA.variant_rows(VA.expand(VA.categories(terms, _lexicon(spark, sf)), _edges(spark, sf)))
 
 
+@query(VARIANTS + "SELECT term, term_cats, word, cats, var_level::INT AS var_level, history, first_word, roots FROM v")
+def v3_variants(spark, sf):
+    return _variants(spark, sf)
+
+
+@query(VARIANTS + "SELECT concat_ws('|', term, term_cats, word, cats, var_level, history, first_word, roots) AS value FROM v")
+def k11_variant_lines(spark, sf):
+    return VA.variant_lines(_variants(spark, sf)).select("value")
+
+
+@query("SELECT 'E' || lpad(CAST(p_partkey AS VARCHAR), 7, '0') || '|{\"base\":\"' || p_name || '\",\"fields\":{\"base\":[\"' || p_name || '\"],\"entry\":[\"E' || lpad(CAST(p_partkey AS VARCHAR), 7, '0') || '\"],\"cat\":[\"noun\"]}}' AS value FROM part")
+def k12_lexicon_lines(spark, sf):
+    rec = F.concat(F.lit("{base="), "p_name", F.lit("\nentry=E"), F.lpad(F.col("p_partkey").cast("string"), 7, "0"), F.lit("\n\tcat=noun"))
+    return R.lexicon_lines(R.parse_lexicon(V.table(spark, sf, "part").select(rec.alias("value")))).select("value")
+
+
 # Annotations
 
 AN = f"WITH {V.ANNOTATION_SQL} "

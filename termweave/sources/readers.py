@@ -1,10 +1,8 @@
-"""Readers of the text formats: term tables, word pairs, word sets, lexicon records, vectors, annotation terms, paragraphs, import lists."""
+"""Readers of the text formats: term tables, word pairs, word sets, lexicon records, vectors, paragraphs, documents, configuration, import lists."""
 
 from __future__ import annotations
 
-import re
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -68,8 +66,34 @@ def parse_lexicon(records: DataFrame) -> DataFrame:
 
 
 def lexicon_lines(parsed: DataFrame) -> DataFrame:
-    """(value): `EUI|record` with the record as JSON."""
-    return parsed.select(F.concat_ws("|", "eui", F.to_json(F.struct("base", "fields"))).alias("value"))
+    """(eui, value): `EUI|record` with the record as JSON."""
+    return parsed.select("eui", F.concat_ws("|", "eui", F.to_json(F.struct("base", "fields"))).alias("value"))
+
+
+def read_term_list(spark: SparkSession, path: str) -> DataFrame:
+    """(line_no, term): one term a line; empty lines are skipped."""
+    return numbered_lines(spark, path).where(F.length("value") > 0).select("line_no", F.col("value").alias("term"))
+
+
+def read_stop_phrases(spark: SparkSession, path: str) -> DataFrame:
+    """(phrase): one phrase a line, each once."""
+    return spark.read.text(path).select(F.col("value").alias("phrase")).distinct()
+
+
+def read_document(spark: SparkSession, path: str) -> DataFrame:
+    """(path, text): each file as one document, its lines joined with a blank after each."""
+    x = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.regexp_replace("value", r"\r?\n$", "").alias("v"))
+    return x.select("path", F.concat(F.regexp_replace("v", r"\r?\n", " "), F.lit(" ")).alias("text"))
+
+
+#: Keys of the configuration and what they are where it leaves them out.
+CONFIGURATION = {"DISAMB_SERVER_STI_INDEXPATH": "wstv-dc", "DISAMB_SERVER_STI_RESTRICTWORDSFILE": "restrictwords.txt", "DISAMB_SERVER_STI_STOPWORDSFILE": "stopwords.txt"}
+
+
+def read_configuration(spark: SparkSession, path: str) -> dict[str, str]:
+    """`key=value` or `key: value` lines of a configuration file over the defaults; lines that open with # or ! are comments."""
+    lines = spark.read.text(path).where(~F.trim("value").rlike("^[#!]")).select(F.regexp_extract("value", r"^\s*([^=:\s]+)\s*[=:\s]\s*(.*?)\s*$", 1).alias("k"), F.regexp_extract("value", r"^\s*([^=:\s]+)\s*[=:\s]\s*(.*?)\s*$", 2).alias("v"))
+    return CONFIGURATION | {r.k: r.v for r in lines.where("k <> ''").collect()}  # a few lines
 
 
 def load_vectors(lines: DataFrame, order: str = "line_no") -> DataFrame:
@@ -104,72 +128,15 @@ def read_paragraphs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def import_list(lines: DataFrame, path: str = "path", order: str = "line_no") -> DataFrame:
-    """(predicate, arity, module), distinct and sorted: what import directives of source lines name.
+    """(predicate, arity, module), each once: what the import directives of source files name, save those of libraries.
 
-    A directive opens on a line with a module and an opening list, and holds one name/arity a line until a closing parenthesis.
+    A directive names a compound module and a list of name/arity; comments run to the end of a line.  A source file is gathered
+    into one string, as sources are short.
     """
-    v = F.col("value")
-    opens = v.rlike(r":-.*use_module\(.*\(") & ~v.contains("library(")
-    w = Window.partitionBy(path).orderBy(order)
-    x = lines.withColumn("open", opens).withColumn("block", F.sum(F.col("open").cast("int")).over(w))
-    x = x.withColumn("module", F.last(F.when(F.col("open"), F.regexp_replace(F.regexp_extract("value", r"use_module\((.*),", 1), r"\s+", "")), ignorenulls=True).over(w))
-    inside = Window.partitionBy(path, "block").orderBy(order)
-    x = x.withColumn("closed", F.sum((~F.col("open") & v.contains(")")).cast("int")).over(inside))
-    item = F.regexp_extract(F.regexp_replace("value", r"\s*%.*", ""), r"^\s+(\w+/\d+),?", 1)
-    x = x.where("block > 0 and not open and closed = 0").withColumn("item", item).where("item <> ''")
-    return x.select(F.substring_index("item", "/", 1).alias("predicate"), F.substring_index("item", "/", -1).cast("int").alias("arity"), "module").distinct()
-
-
-def parse_terms_text(text: str) -> list:
-    """Terms of annotation files: functors as (name, [arguments]), lists as Python lists, atoms and strings as str, numbers as int or float."""
-    tokens = re.findall(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.|\"\")*\"|-?\d+\.\d+|-?\d+|[A-Za-z_]\w*|[\[\]()|,]|[^\s\w\[\]()|,'\"]+", text)
-    at = 0
-
-    def unquote(t: str) -> str:
-        return re.sub(r"\\(.)", r"\1", t[1:-1].replace(t[0] * 2, t[0]))
-
-    def primary():
-        nonlocal at
-        t = tokens[at]
-        at += 1
-        if t == "[":
-            return sequence("]")
-        if t == "(":
-            return sequence(")")[0]
-        if re.fullmatch(r"-?\d+", t):
-            return int(t)
-        if re.fullmatch(r"-?\d+\.\d+", t):
-            return float(t)
-        name = unquote(t) if t[0] in "'\"" else t
-        if at < len(tokens) and tokens[at] == "(":
-            at += 1
-            return (name, sequence(")"))
-        return name
-
-    def value():
-        nonlocal at
-        x = primary()
-        while at < len(tokens) and tokens[at] in ("/", ":", "-"):
-            op = tokens[at]
-            at += 1
-            x = (op, [x, primary()])
-        return x
-
-    def sequence(close: str) -> list:
-        nonlocal at
-        out = []
-        while tokens[at] != close:
-            if tokens[at] == ",":
-                at += 1
-                continue
-            out.append(value())
-        at += 1
-        return out
-
-    out = []
-    while at < len(tokens):
-        if tokens[at] == ".":
-            at += 1
-            continue
-        out.append(value())
-    return out
+    plain = F.regexp_replace("value", "%.*", "")
+    source = lines.groupBy(path).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("n"), plain.alias("v")))), lambda l: l["v"]), "\n").alias("source"))
+    directive = r":-\s*use_module\(\s*(\w+\([^()]*\))\s*,\s*\[([^\]]*)\]"
+    each = source.select(F.explode(F.regexp_extract_all("source", F.lit(directive), F.lit(0))).alias("d"))
+    each = each.select(F.regexp_replace(F.regexp_extract("d", directive, 1), r"\s+", "").alias("module"), F.explode(F.regexp_extract_all(F.regexp_extract("d", directive, 2), F.lit(r"(\w+/\d+)"))).alias("item"))
+    each = each.where(~F.startswith("module", F.lit("library(")))
+    return each.select(F.substring_index("item", "/", 1).alias("predicate"), F.substring_index("item", "/", -1).cast("int").alias("arity"), "module").distinct()
