@@ -133,7 +133,7 @@ def type_names(rows: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def composite_phrases(u: DataFrame) -> DataFrame:
-    """(doc_id, utt_no, value): a phrase and one or more prepositional phrases after it as `length|[prepositions]|[lower-cased texts]`.
+    """(doc_id, utt_no, island, value): a phrase and one or more prepositional phrases after it as `length|[prepositions]|[lower-cased texts]`; islands count on.
 
     A prepositional phrase begins with a preposition, and gives the words that its item matched in the lexicon.
     """
@@ -144,7 +144,7 @@ def composite_phrases(u: DataFrame) -> DataFrame:
     g = x.groupBy("doc_id", "utt_no", "island").agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct("no", "pp", F.lower("text").alias("t"), F.get("items", F.lit(0))["lexmatch"].alias("prep")))).alias("ps"))
     g = g.where("n >= 2")
     preps = F.flatten(F.transform(F.filter("ps", lambda p: p["pp"]), lambda p: p["prep"]))
-    return g.select("doc_id", "utt_no", F.concat_ws("|", "n", shown(preps), shown(F.transform("ps", lambda p: p["t"]))).alias("value"))
+    return g.select("doc_id", "utt_no", "island", F.concat_ws("|", "n", shown(preps), shown(F.transform("ps", lambda p: p["t"]))).alias("value"))
 
 
 # Reports: each gives (value) lines with the keys in front.
@@ -163,10 +163,15 @@ def headed(u: DataFrame) -> DataFrame:
 
 
 def mapping_summary(u: DataFrame, first_only: bool = False) -> DataFrame:
-    """Lines for each utterance, phrase, and candidate of a mapping: `label|i|n|score|cui|term|concept|[types]|[positions]`."""
-    x = mapped(u, first_only).select("label", "i", "n", "neg_score", F.explode("evs").alias("ev"))
-    c = _lines(x, "label", "i", "n", -F.col("neg_score"), "ev.cui", "ev.meta_term", "ev.preferred_name", shown(F.col("ev.sem_types")), spans(F.col("ev.pos")))
-    return _lines(u, "label", F.lit("UTTERANCE"), "text").unionByName(_lines(phrases(u), "label", F.lit("PHRASE"), "text")).unionByName(c)
+    """Lines for each utterance, phrase, and candidate of a mapping, in that order: `label|i|n|score|cui|term|concept|[types]|[positions]`."""
+    bar = lambda *c: F.concat_ws("|", "label", *c)
+
+    def of_phrase(p: Column) -> Column:
+        maps = F.slice(p["mappings"], 1, 1) if first_only else p["mappings"]
+        one = lambda m, k: F.transform(m["evs"], lambda e: bar(k + 1, F.size(p["mappings"]), -m["neg_score"], e["cui"], e["meta_term"], e["preferred_name"], shown(e["sem_types"]), spans(e["pos"])))
+        return F.concat(F.array(bar(F.lit("PHRASE"), p["text"])), F.flatten(F.transform(maps, one)))
+
+    return u.select(F.explode(F.concat(F.array(bar(F.lit("UTTERANCE"), "text")), F.flatten(F.transform("phrases", of_phrase)))).alias("value"))
 
 
 def concepts_joined(u: DataFrame) -> DataFrame:

@@ -113,9 +113,9 @@ def is_simple(phrases: Column) -> Column:
     return F.when(F.size(phrases) == 1, True).when(F.size(phrases) >= 2, pp(F.get(phrases, F.lit(1))) & later).otherwise(False)
 
 
-def syntax_dump(prepared: DataFrame) -> DataFrame:
-    """(value): phrases | items | concept | source | code | normalized string | words of each phrase; 1|1 where there are no items."""
+def syntax_dump(prepared: DataFrame, *keep: str) -> DataFrame:
+    """(value), and the columns to keep: phrases | items | concept | source | code | normalized string | words of each phrase; 1|1 where there are no items."""
     x = prepared.withColumn("ph", chunks(T.words(F.col("nmstr"))))
     n = F.aggregate("ph", F.lit(0), lambda a, p: a + F.size(p))
     shape = F.when(n == 0, "1|1").otherwise(F.concat_ws("|", F.size("ph"), n))
-    return x.select(F.concat_ws("|", shape, "cui", "sab", "code", "nmstr", F.to_json("ph")).alias("value"))
+    return x.select(*keep, F.concat_ws("|", shape, "cui", "sab", "code", "nmstr", F.to_json("ph")).alias("value"))

@@ -19,8 +19,9 @@ def concept_flags(terms: DataFrame, first_term_is_concept: bool = True, assume_r
     return x.withColumn("index_cui", F.when(F.col("is_concept"), F.lit(T.CONCEPT_PLACEHOLDER)).otherwise(F.col("cui")))
 
 
-def strings(terms: DataFrame) -> DataFrame:
-    return terms.select("sui", T.normalize(F.col("str"))["norm"].alias("norm_string"), F.col("str").alias("string"))
+def strings(terms: DataFrame, *keep: str) -> DataFrame:
+    """(sui, norm_string, string), and the columns to keep."""
+    return terms.select(*keep, "sui", T.normalize(F.col("str"))["norm"].alias("norm_string"), F.col("str").alias("string"))
 
 
 def concepts(flagged: DataFrame, dummy: bool = True) -> DataFrame:
@@ -29,12 +30,12 @@ def concepts(flagged: DataFrame, dummy: bool = True) -> DataFrame:
     return x.unionByName(x.sparkSession.createDataFrame([(T.CONCEPT_PLACEHOLDER, "X")], "cui string, string string")) if dummy else x
 
 
-def words(flagged: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
-    """(i, n, word, sui, cui): each word of the normalized strings, save strings whose first and last words are a listed pair."""
-    x = flagged.select("sui", F.col("index_cui").alias("cui"), T.words(T.normalize(F.col("str"))["norm"]).alias("w")).where(F.size("w") > 0)
+def words(flagged: DataFrame, pairs: DataFrame | None = None, *keep: str) -> DataFrame:
+    """(i, n, word, sui, cui), and the columns to keep: each word of the normalized strings, save strings whose first and last words are a listed pair."""
+    x = flagged.select(*keep, "sui", F.col("index_cui").alias("cui"), T.words(T.normalize(F.col("str"))["norm"]).alias("w")).where(F.size("w") > 0)
     if pairs is not None:
         x = x.withColumn("first", F.col("w")[0]).withColumn("last", F.element_at("w", -1)).join(pairs.select("first", "last").distinct(), ["first", "last"], "left_anti")
-    return x.select(F.size("w").alias("n"), F.posexplode("w").alias("p", "word"), "sui", "cui").select((F.col("p") + 1).alias("i"), "n", "word", "sui", "cui")
+    return x.select(*keep, F.size("w").alias("n"), F.posexplode("w").alias("p", "word"), "sui", "cui").select(*keep, (F.col("p") + 1).alias("i"), "n", "word", "sui", "cui")
 
 
 def lines(df: DataFrame, *columns: str) -> DataFrame:

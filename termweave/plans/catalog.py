@@ -535,7 +535,7 @@ x AS (SELECT ph.*, coalesce(c = 'prep', false) AS pp, fi.w FROM ph LEFT JOIN fi
 y AS (SELECT *, sum(CASE WHEN pp THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id, utt_no ORDER BY no) AS g FROM x)
 SELECT doc_id, utt_no, count(*) || '|[' || string_agg(w, ',' ORDER BY no) FILTER (pp) || ']|[' || string_agg(lower(text), ',' ORDER BY no) || ']' AS value FROM y GROUP BY doc_id, utt_no, g HAVING count(*) > 1""")
 def a16_composite_phrase(spark, sf):
-    return A.composite_phrases(V.utterances(spark, sf))
+    return A.composite_phrases(V.utterances(spark, sf)).drop("island")
 
 
 @query(AN + "SELECT label || '|' || text AS value FROM u0")

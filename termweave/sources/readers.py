@@ -49,8 +49,8 @@ def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("lineSep", "\n}\n").text(path).where(F.length(F.trim("value")) > 0)
 
 
-def parse_lexicon(records: DataFrame) -> DataFrame:
-    """(eui, base, fields map<string, array<string>>) of records without their closing brace.
+def parse_lexicon(records: DataFrame, *keep: str) -> DataFrame:
+    """(eui, base, fields map<string, array<string>>), and the columns to keep, of records without their closing brace.
 
     A record without base or entry is an error that names what its first line holds.
     """
@@ -62,12 +62,12 @@ def parse_lexicon(records: DataFrame) -> DataFrame:
     x = x.withColumn("fields", fields)
     bad = F.raise_error(F.concat(F.lit("no lexical record: "), F.regexp_extract("value", r"^\{?base=([^\n]*)", 1)))
     eui = F.when(F.map_contains_key("fields", "entry") & F.map_contains_key("fields", "base"), F.col("fields")["entry"][0]).otherwise(bad)
-    return x.select(eui.alias("eui"), F.col("fields")["base"][0].alias("base"), "fields")
+    return x.select(*keep, eui.alias("eui"), F.col("fields")["base"][0].alias("base"), "fields")
 
 
-def lexicon_lines(parsed: DataFrame) -> DataFrame:
-    """(eui, value): `EUI|record` with the record as JSON."""
-    return parsed.select("eui", F.concat_ws("|", "eui", F.to_json(F.struct("base", "fields"))).alias("value"))
+def lexicon_lines(parsed: DataFrame, *keep: str) -> DataFrame:
+    """(eui, value), and the columns to keep: `EUI|record` with the record as JSON."""
+    return parsed.select(*keep, "eui", F.concat_ws("|", "eui", F.to_json(F.struct("base", "fields"))).alias("value"))
 
 
 def read_term_list(spark: SparkSession, path: str) -> DataFrame:

@@ -1,5 +1,7 @@
+import pytest
 from pyspark.sql import functions as F
 
+from termweave.functions import text as T
 from termweave.operators import facts as FA
 from termweave.operators import termfilter as TF
 from termweave.operators.runs import with_runs
@@ -34,8 +36,6 @@ def test_filter(spark, tmp_path):
 
 
 def test_wrong_field_count(spark, tmp_path):
-    import pytest
-
     terms = lines(spark, tmp_path, "a|b|c\n")
     assert R.parse_terms(terms, strict=False).count() == 0
     with pytest.raises(Exception, match="not 18 fields"):
@@ -58,11 +58,14 @@ def test_facts(spark):
 
 
 def test_lexicon(spark, tmp_path):
-    (tmp_path / "lex").write_text("{base=MAHMA-NONOate\nentry=E0505119\n\tcat=noun\n\tvariants=uncount\n\tacronym_of=(Z)-1-{N-methyl-N-[6(N-methylammoniohexyl)amino]}\n}\n{base=x\nentry=E0000001\n}\n")
+    (tmp_path / "lex").write_text("{base=curly\nentry=E7000001\n\tcat=adj\n\tvariants=inv\n\tnote=a {brace} within} a field\n}\n{base=x\nentry=E7000002\n}\n")
     got = {r.eui: r for r in R.parse_lexicon(R.read_lexicon(spark, str(tmp_path / "lex"))).collect()}
-    assert got["E0505119"].base == "MAHMA-NONOate"
-    assert got["E0505119"].fields["acronym_of"] == ["(Z)-1-{N-methyl-N-[6(N-methylammoniohexyl)amino]}"]
-    assert set(got) == {"E0505119", "E0000001"}
+    assert got["E7000001"].base == "curly"
+    assert got["E7000001"].fields["note"] == ["a {brace} within} a field"]
+    assert set(got) == {"E7000001", "E7000002"}
+    (tmp_path / "bad").write_text("{base=nothing\n}\n")
+    with pytest.raises(Exception, match="no lexical record: nothing"):
+        R.parse_lexicon(R.read_lexicon(spark, str(tmp_path / "bad"))).collect()
 
 
 def test_vectors(spark, tmp_path):
@@ -81,7 +84,30 @@ def test_readers(spark, tmp_path):
     assert {r.word for r in R.word_set(spark.read.text(str(tmp_path / "w"))).collect()} == {"alpha", "beta", "delta"}
     (tmp_path / "pairs").write_text("human|protein\n2|acid\n")
     assert R.read_pairs(spark, str(tmp_path / "pairs")).count() == 2
-    assert R.parse_terms_text("utterance('a.1',\"it''s\",[ev(-5,'C1',[x,y])],3/4). 'EOU'.") == [("utterance", ["a.1", "it''s", [("ev", [-5, "C1", ["x", "y"]])], ("/", [3, 4])]), "EOU"]
+    (tmp_path / "bad").write_text("human|protein|x\n")
+    with pytest.raises(Exception, match="not a pair"):
+        R.read_pairs(spark, str(tmp_path / "bad")).collect()
+    (tmp_path / "stop").write_text("a phrase\nanother\na phrase\n")
+    assert {r.phrase for r in R.read_stop_phrases(spark, str(tmp_path / "stop")).collect()} == {"a phrase", "another"}
+    (tmp_path / "list").write_text("one\n\ntwo words\n")
+    assert [r.term for r in R.read_term_list(spark, str(tmp_path / "list")).orderBy("line_no").collect()] == ["one", "two words"]
+    (tmp_path / "doc").write_text("first line\nsecond\n\nlast\n")
+    assert R.read_document(spark, str(tmp_path / "doc")).first().text == "first line second  last "
+    (tmp_path / "cfg").write_text("# comment\nDISAMB_SERVER_STI_INDEXPATH = /x/y\nother: z\n")
+    keys = R.read_configuration(spark, str(tmp_path / "cfg"))
+    assert keys["DISAMB_SERVER_STI_INDEXPATH"] == "/x/y" and keys["DISAMB_SERVER_STI_STOPWORDSFILE"] == "stopwords.txt" and keys["other"] == "z"
+
+
+def test_no_extra_blank_is_left(spark):
+    terms = ["a  b", "x 's y", "boss' - dogs' x", "[X]  a", "a -  - b, NOS"]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in terms], "s string").select(T.normalize(F.col("s"))["norm"]).collect()]
+    assert got[0] == "a b" and not any("  " in g for g in got)
+
+
+def test_imports(spark):
+    text = ":- use_module(skr(one(x)),[\n    a/1,  % first\n    b_c/2\n    ]).\n:- use_module(lib(two), [a/1, d/0]).\n:- use_module(library(lists),[e/1]).\nf/3,\n:- use_module(lib(two),[]).\n"
+    df = spark.createDataFrame([("p", i, v) for i, v in enumerate(text.split("\n"))], "path string, line_no int, value string")
+    assert sorted(map(tuple, R.import_list(df).collect())) == [("a", 1, "lib(two)"), ("d", 0, "lib(two)")]
 
 
 def test_chunks(spark):
