@@ -136,8 +136,9 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, **how) -> DataFrame:
     """The pieces of docs, each with sequence_id long and offset long.
 
     Texts are encoded once, and the pieces kept in the checkpoint folder.  Only the counts of lengths, at most as many as the
-    capacity, reach the driver, and the plan that comes back is bounded by them too.  Repeated rows are packed each; an empty
-    table gives none.
+    capacity, reach the driver, and the plan that comes back is bounded by them too.  Repeated rows are packed each, ids that are
+    null too; which of equally long pieces goes where follows a hash, so ties change no length.  A text longer than a sequence is cut,
+    whole; a null or empty one is its end id.  An empty table gives none.  Other columns are not read, whatever their names.
     """
     spark = docs.sparkSession
     parts = durable(pieces(docs, capacity, **how))

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from .tokens import END_ID, encoder, tokenizer_path
 
-#: How the files are laid out; ORC itself encodes runs of integers and indexes rows.
+#: Bytes of text to a file, about; and how the files are laid out: ORC itself encodes runs of integers and indexes rows.
+RANGE_BYTES = 256 << 20
 LAYOUT = {"orc.stripe.size": str(16 << 20), "orc.row.index.stride": "2000", "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "compression": "zstd"}
 
 
@@ -16,7 +17,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
 
     Each file holds one range of ids, sorted; part numbers the ranges, null ids first, rows that repeat an id by text.
     start_in_part counts the ids before a document within its part, so that files can be written side by side.  A null or empty
-    text is the end id alone.
+    text is the end id alone, a text of any length is one row, repeated rows are written each, and an empty table gives files
+    without rows.  Other columns are not read, whatever their names.
     """
     tokenizer = tokenizer or tokenizer_path()
 
@@ -39,8 +41,10 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
                 before += int(offsets[-1])
 
     spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t"))
+    # Ranges of about RANGE_BYTES of text, and no fewer than shuffles have partitions.
+    size = slim.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // RANGE_BYTES))
     # Encoding follows the exchange: the pass that samples the ranges reads rows but encodes nothing.
     ordered = slim.repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), F.xxhash64("t")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("t"))
     tokens = ordered.mapInArrow(encode, "doc_id long, ids array<int>, n_tokens long, part int, start_in_part long")

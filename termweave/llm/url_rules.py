@@ -10,6 +10,8 @@ from .common import durable
 #: Rules of the query: (verdict, host and path); and the verdict where no rule fits.
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
 OTHERWISE = "allow"
+#: Rows of urls, of some hundred bytes, that a join broadcasts at most.
+BROADCAST_URLS = 100_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -80,7 +82,12 @@ def judge(pages: DataFrame, rules: DataFrame, otherwise: str = OTHERWISE, id_col
     found = found.select(F.col("key").alias("k"), F.get("stack", F.size("stack") - 1).alias("longest"))
     ruled = points.join(found, F.col("key") == F.col("k")).join(r.select("rule", "verdict", "hlen", F.concat("rkey", mark, "rpath").alias("rk")), F.col("longest") == F.col("rk"))
     best = ruled.groupBy(F.col("host").alias("bhost"), F.col("path").alias("bpath")).agg(F.max(F.struct(F.length("rule").alias("n"), "hlen", "rule", "verdict")).alias("best"))
-    out = p.join(best, (F.col("host") == F.col("bhost")) & (F.col("path") == F.col("bpath")), "left")
+    # Pages without a host have no rule: they are not joined, so that however many there are they never meet in one task.
+    some = p.where("host <> ''")
+    best = durable(best)
+    # Few pages have a rule's host and path each; where they are many, adaptive execution splits a common url's rows.
+    best = F.broadcast(best) if best.count() <= BROADCAST_URLS else best
+    out = some.join(best, (F.col("host") == F.col("bhost")) & (F.col("path") == F.col("bpath")), "left").unionByName(p.where("host = ''"), allowMissingColumns=True)
     return out.select("page_id", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(otherwise)).alias("verdict"))
 
 
