@@ -55,9 +55,14 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def worker_cache() -> dict:
-    """A dictionary that lives as long as the Python worker, whatever task runs in it."""
-    return sys.modules.setdefault("_termweave_worker_cache", types.ModuleType("_termweave_worker_cache")).__dict__
+def worker_cache(owner: str) -> dict:
+    """A dictionary that lives as long as the Python worker, whatever task runs in it, and until another owner asks for its own."""
+    held = sys.modules.setdefault("_termweave_worker_cache", types.ModuleType("_termweave_worker_cache")).__dict__
+    if owner not in held:
+        for other in [k for k in held if not k.startswith("__")]:
+            del held[other]
+        held[owner] = {}
+    return held[owner]
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

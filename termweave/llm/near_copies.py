@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import durable, worker_cache
 from .components import connected_components
-from .simhash import fingerprint_of, keep_firsts, link_fingerprints, shingle_hashes
+from .simhash import BROADCAST_ROWS, fingerprint_of, keep_firsts, link_fingerprints, shingle_hashes
 
 #: Words to a shingle, and the similarity from which texts are near copies.
 WORDS, SIMILARITY = 5, 0.8
@@ -90,6 +90,8 @@ def _signed(docs: DataFrame) -> DataFrame:
         import pyarrow as pa
         import xxhash
 
+        worker_cache("near copies")  # frees what operators before remembered
+
         rng = np.random.default_rng(11)
         multiply, add = (rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2))
         for b in batches:
@@ -178,6 +180,8 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     maybe = groups.join(classes.select("cls", "rep", "bytes"), F.col("node") == F.col("cls")).join(degrees, F.col("cls") == F.col("mcls"), "left").select("component", "cls", F.coalesce("degree", F.lit(0)).alias("degree"), "bytes", F.col("rep.doc_id").alias("d"), F.col("rep.text_key").alias("k"))
     maybe = durable(maybe)
     sizes = maybe.groupBy("component").agg(F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("bytes") / BLOCK_BYTES)).alias("blocks")).select("component", F.greatest("blocks", F.lit(1)).cast("long").alias("blocks"))
+    # Texts of groups alone are moved; while those are few, the list of them is broadcast and all other texts stay where they are.
+    maybe = F.broadcast(maybe) if maybe.count() <= BROADCAST_ROWS else maybe
     held = texts.join(maybe, (F.col("doc_id") == F.col("d")) & (F.col("text_key") == F.col("k"))).dropDuplicates(["doc_id", "text_key"]).select("component", "cls", "degree", "text")
     parts = connected_components(_links(durable(held), durable(sizes)))
     named = classes.select("cls", "rep").join(parts, F.col("cls") == F.col("node"), "left").select("cls", "rep", F.coalesce("component", "cls").alias("c"))

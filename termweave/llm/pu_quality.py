@@ -91,6 +91,7 @@ def class_prior(positive, unlabelled) -> float:
     """
     import numpy as np
 
+    positive, unlabelled = (x[np.random.default_rng(3).permutation(len(x))] for x in (positive, unlabelled))
     shift, scale, w, b = fit_nnpu(positive[::2], unlabelled[::2], 0.5, risk=_against)
     s = lambda x: np.sort(np.clip((x - shift) / scale, -8, 8) @ w + b)
     p, u = s(positive[1::2] if len(positive) > 1 else positive), s(unlabelled[1::2] if len(unlabelled) > 1 else unlabelled)

@@ -10,7 +10,7 @@ from .common import worker_cache
 #: The tokenizer of the queries; every operator takes another path as a parameter.
 TOKENIZER, END_ID = "word_bpe_49k.json", 1
 #: Words kept at once in a worker, so that its memory is bounded; beyond it a new generation starts.
-MOST_WORDS = 400_000
+MOST_WORDS = 200_000
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -72,7 +72,7 @@ NOT_SIMPLE = (b"..", b",,", b".,", b",.", b"\xc3\x97", b"\xc3\xb7")
 
 def encoder(path: str):
     """A function from a text (or None) to its ids as bytes; white space must not make tokens in the tokenizer at path."""
-    known = worker_cache().setdefault("word_ids", {})
+    known = worker_cache("tokens")
     if path not in known:
         known[path] = WordIds(path)
     word_ids = known[path]

@@ -15,6 +15,8 @@ MOST_LABELLED, MOST_FEATURES, FOLDS = 3000, 1500, 4
 #: `labels` has one toxicity label: the first two split it by the words seen in training, and add no label of their own.
 CATEGORIES = ("overt", "severe", "toxic")
 THRESHOLD = 0.5
+#: Words that a worker remembers at most.
+MOST_WORDS = 100_000
 WORDS = re.compile(r"[^\W\d_]+")
 
 
@@ -133,7 +135,7 @@ class _Known(dict):
         self.at = {f: i for i, f in enumerate(names)}
 
     def __missing__(self, word):
-        if len(self) > 200_000:
+        if len(self) >= MOST_WORDS:
             self.clear()
         hit = self[word] = tuple(self.at[f] for f in word_features(word) if f in self.at)
         return hit
@@ -146,10 +148,11 @@ def _probabilities(model, texts):
     if model is None:
         return np.zeros((len(texts), len(CATEGORIES)))
     names, chain = model
-    cache, key = worker_cache(), hash(tuple(names))
-    if cache.get("toxic_key") != key:
-        cache["toxic_key"], cache["toxic_words"] = key, _Known(names)
-    known = cache["toxic_words"]
+    cache, key = worker_cache("toxicity"), hash(tuple(names))
+    if key not in cache:
+        cache.clear()
+        cache[key] = _Known(names)
+    known = cache[key]
     found = [set().union(*map(known.__getitem__, set(WORDS.findall((t or "").lower())))) for t in texts]
     row = np.repeat(np.arange(len(texts)), [len(f) for f in found])
     flat = np.fromiter((i for f in found for i in f), np.int64, len(row))
