@@ -12,7 +12,9 @@ from .components import connected_components, star_edges
 from .vectors import matrix, unit, usable
 
 #: Vectors that k-means is fitted on, vectors to a cell on average, cells at most, a cell's own vectors to a block, and its guests to a block.
-FIT_SAMPLE, CELL_ROWS, MOST_CELLS, BLOCK_ROWS, GUEST_ROWS = 20_000, 4_096, 2_048, 4_096, 8_192
+FIT_SAMPLE, CELL_ROWS, MOST_CELLS, BLOCK_ROWS, GUEST_ROWS = 20_000, 4_096, 2_048, 8_192, 16_384
+#: Bytes of a block's vectors in double precision at most, for long vectors.
+BLOCK_BYTES = 64 << 20
 #: Cosines that a task holds at once, and directions that are compared first.
 MOST_COSINES, NARROW = 2_000_000, 16
 
@@ -142,7 +144,8 @@ def _links(reps: DataFrame, threshold: float, item: str) -> DataFrame:
     placed = durable(reps.select("k1", "k2", "rep", "times", "v").mapInArrow(assign, "cell int, home int, k1 long, k2 long, rep long, times long, visits binary, x binary"))
     at_home = F.col("home") == F.col("cell")
     # One row a cell, at most MOST_CELLS.  Blocks of its own vectors come first, then blocks of guests, which are compared with the former only.
-    blocks = placed.groupBy(F.col("cell").alias("bcell")).agg(F.ceil(F.count_if(at_home) / BLOCK_ROWS).alias("homes"), F.ceil(F.count_if(~at_home) / GUEST_ROWS).alias("guests")).where("homes > 0")
+    rows = lambda most: max(1, min(most, BLOCK_BYTES // (8 * centres.value.shape[1])))
+    blocks = placed.groupBy(F.col("cell").alias("bcell")).agg(F.ceil(F.count_if(at_home) / rows(BLOCK_ROWS)).alias("homes"), F.ceil(F.count_if(~at_home) / rows(GUEST_ROWS)).alias("guests")).where("homes > 0")
     h = F.xxhash64("k1", "k2")
     own = placed.join(F.broadcast(blocks), F.col("cell") == F.col("bcell")).withColumn("block", F.when(at_home, F.pmod(h, F.col("homes"))).otherwise(F.col("homes") + F.pmod(h, F.greatest("guests", F.lit(1)))))
     dealt = own.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("homes") - 1 + F.when(at_home, F.col("guests")).otherwise(0)))).withColumn("lo", F.least("block", "with")).withColumn("hi", F.greatest("block", "with"))
