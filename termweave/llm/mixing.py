@@ -21,7 +21,7 @@ def word_count(column: str = "text") -> Column:
 def quality_weight(size: Column, column: str = "text") -> Column:
     """A document's weight, 0.1 to 1: 1 at six characters a word with its blank, less the further its words are from that."""
     per_word = F.length(text_or_empty(column)) / F.greatest(size, F.lit(1))
-    return F.greatest(F.lit(0.1), F.least(F.lit(1.0), 1.0 - F.abs(per_word - 6.0) / 12.0))
+    return F.greatest(F.lit(0.1), F.least(F.lit(1.0), 1.0 - F.abs(per_word - 6.0) / 1.5))
 
 
 def sampling_key(doc_id: str, weight: Column) -> Column:
@@ -149,7 +149,7 @@ WITH d AS (
 ), k AS (
   SELECT *, coalesce(doc_id, -9223372036854775808) AS id,
     -ln((('0x' || substr(md5('mix-1' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 12))::BIGINT::DOUBLE + 1.0) / 281474976710657.0)
-      / greatest(0.1::DOUBLE, least(1.0::DOUBLE, 1.0::DOUBLE - abs(chars::DOUBLE / greatest(size, 1) - 6.0::DOUBLE) / 12.0::DOUBLE)) AS key
+      / greatest(0.1::DOUBLE, least(1.0::DOUBLE, 1.0::DOUBLE - abs(chars::DOUBLE / greatest(size, 1) - 6.0::DOUBLE) / 1.5::DOUBLE)) AS key
   FROM d
 ), s AS (
   SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS rank FROM d GROUP BY source

@@ -30,7 +30,7 @@ def plain(docs):
         for d, t, q in docs:
             if q == s:
                 u = (int(md5(f"mix-1{d}".encode()).hexdigest()[:12], 16) + 1.0) / 281474976710657.0
-                weight = max(0.1, min(1.0, 1 - abs(len(t) / max(1, size[d]) - 6) / 12))
+                weight = max(0.1, min(1.0, 1 - abs(len(t) / max(1, size[d]) - 6) / 1.5))
                 rows.append((-math.log(u) / weight, d))
         upto, best, taken, n = 0, (budget, 0), 0, 0
         for k, (_, d) in enumerate(sorted(rows), 1):
