@@ -65,6 +65,13 @@ def worker_cache(owner: str) -> dict:
     return held[owner]
 
 
+def slices(batches, rows: int = 1000):
+    """Arrow batches in parts of so many rows, so that what Python makes of a part is small however long its texts are on average."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """Whether crc32 of the id as text leaves 2 modulo 4; false for a null id."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))

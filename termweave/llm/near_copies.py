@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, worker_cache
+from .common import durable, slices, worker_cache
 from .components import connected_components
 from .simhash import BROADCAST_ROWS, fingerprint_of, keep_firsts, link_fingerprints, shingle_hashes
 
@@ -94,7 +94,7 @@ def _signed(docs: DataFrame) -> DataFrame:
 
         rng = np.random.default_rng(11)
         multiply, add = (rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2))
-        for b in batches:
+        for b in slices(batches):
             cls, fp, keys = [], [], []
             for t in b.column(2):
                 h = shingle_hashes(t.as_py(), WORDS)

@@ -8,7 +8,7 @@ from collections import defaultdict
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import durable, slices
 from .tokens import END_ID, encoder, tokenizer_path
 
 #: Tokens in a sequence; pieces of one length that are numbered in one task.
@@ -24,19 +24,24 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = No
         import zlib
         from array import array
 
+        import numpy as np
         import pyarrow as pa
 
         ids_of, end = encoder(tokenizer), array("I", [end_id]).tobytes()
-        for b in batches:
-            out = [[], [], [], [], [], []]
+        for b in slices(batches):
+            docs, parts, at = [], [], []
             for doc, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 raw = ids_of(t.as_py()) + end
-                for k, i in enumerate(range(0, len(raw), 4 * capacity)):
-                    part = raw[i : i + 4 * capacity]
-                    for column, x in zip(out, (doc, k, i // 4, len(part) // 4, zlib.crc32(part), memoryview(part).cast("I").tolist() if with_ids else None), strict=True):
-                        column.append(x)
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)][: 6 if with_ids else 5], names=["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 6 if with_ids else 5])
+                cuts = range(0, len(raw), 4 * capacity)
+                docs += [doc] * len(cuts)
+                at += [i // 4 for i in cuts]
+                parts += [raw[i : i + 4 * capacity] for i in cuts]
+            length = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+            start = np.array(at, np.int64)
+            out = [pa.array(docs, pa.int64()), pa.array((start // capacity).astype(np.int32)), pa.array(start), pa.array(length), pa.array([zlib.crc32(p) for p in parts], pa.int64())]
+            if with_ids:
+                out.append(pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(length))), pa.int32()), pa.array(np.frombuffer(b"".join(parts), "<i4"))))
+            yield pa.RecordBatch.from_arrays(out, names=["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: len(out)])
 
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t"))
     return slim.mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids)

@@ -7,7 +7,7 @@ import string
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out
+from .common import held_out, slices
 
 #: Texts that the fit reads at most: trusted positives, and texts of any kind.
 MOST_POSITIVE, MOST_UNLABELLED = 4000, 8000
@@ -123,7 +123,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def measure(batches):
         import pyarrow as pa
 
-        for b in batches:
+        for b in slices(batches):
             x = _matrix(t.as_py() for t in b.column("t"))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("positive"), b.column("only"), b.column("h"), pa.array(list(x), pa.list_(pa.float64()))], names=["doc_id", "positive", "only", "h", "x"])
 
@@ -159,7 +159,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def judge(batches):
         import pyarrow as pa
 
-        for b in batches:
+        for b in slices(batches):
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(_scores(model, (t.as_py() for t in b.column(2))))], names=["doc_id", "held_out", "score"])
 
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).cast("string").alias("t"))
@@ -174,7 +174,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     def keep(batches):
         import pyarrow as pa
 
-        for b in batches:
+        for b in slices(batches):
             yield b.filter(pa.array(_scores(model, (t.as_py() for t in b.column(at))) >= threshold))
 
     return docs.mapInArrow(keep, docs.schema)

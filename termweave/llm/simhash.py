@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, fresh
+from .common import durable, fresh, slices
 from .components import connected_components, star_edges
 
 #: Fingerprints from which the shards' tree is grown, and distinct fingerprints that a shard gets on average.
@@ -49,7 +49,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         import numpy as np
         import pyarrow as pa
 
-        for b in batches:
+        for b in slices(batches):
             fp = np.array([fingerprint_of(shingle_hashes(t.as_py(), words, seed)) for t in b.column(1)], "<u8").view("<i8")
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], names=["doc_id", "fp"])
 
@@ -208,7 +208,7 @@ def _with_key(words: int):
         import numpy as np
         import pyarrow as pa
 
-        for b in batches:
+        for b in slices(batches):
             fp = np.array([fingerprint_of(shingle_hashes(t.as_py(), words)) for t in b.column(2)], "<u8").view("<i8")
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp)], names=["doc_id", "text_key", "fp"])
 

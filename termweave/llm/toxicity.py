@@ -7,7 +7,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, held_out, worker_cache
+from .common import durable, held_out, slices, worker_cache
 
 #: Labelled texts that the fit reads at most, of each label; features that a model keeps; folds of the out-of-fold predictions.
 MOST_LABELLED, MOST_FEATURES, FOLDS = 3000, 1500, 4
@@ -93,7 +93,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def measure(batches):
         import pyarrow as pa
 
-        for b in batches:
+        for b in slices(batches):
             found = [sorted({f for w in set(WORDS.findall((t.as_py() or "").lower())) for f in word_features(w)}) for t in b.column("t")]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), b.column("fold"), pa.array(found, pa.list_(pa.string()))], names=["doc_id", "y", "fold", "feats"])
 
@@ -175,7 +175,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def judge(batches):
         import pyarrow as pa
 
-        for b in batches:
+        for b in slices(batches):
             p = _probabilities(model, [t.as_py() for t in b.column(2)])
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[pa.array(c) for c in p.T]], names=["doc_id", "held_out", *CATEGORIES])
 
@@ -191,7 +191,7 @@ def keep_clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     def keep(batches):
         import pyarrow as pa
 
-        for b in batches:
+        for b in slices(batches):
             yield b.filter(pa.array(_probabilities(model, [t.as_py() for t in b.column(at)])[:, -1] < threshold))
 
     return docs.mapInArrow(keep, docs.schema)
