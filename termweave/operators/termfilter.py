@@ -20,7 +20,7 @@ def prepare(terms: DataFrame, assume_sorted: bool = False) -> DataFrame:
 
 
 def filter_terms(prepared: DataFrame, simple: Column | None = None) -> DataFrame:
-    """prepared with status (y, ntss, nnorm or nsynt), final_status, out_line, out_ts and restored.
+    """prepared with status (y, ntss, nnorm or nsynt), final_status, out_line, out_ts, restored and restored_from.
 
     Within a run: equal lines count once, save those excluded by status; of rows equal in (nmstr, cui, sab) the greatest (lui, sui,
     aui, line) stays; with `simple`, strings for which it is false go too.  Where a row of the run survives, each preferred row that
@@ -41,6 +41,8 @@ def filter_terms(prepared: DataFrame, simple: Column | None = None) -> DataFrame
     restored = F.coalesce((F.col("pref_rn") == 1) & (F.col("status") != "y") & F.col("survivor"), F.lit(False))
     x = x.withColumn("restored", restored).withColumn("final_status", F.when(F.col("restored"), "y").otherwise(F.col("status")))
     x = x.withColumn("out_line", F.when(F.col("restored"), T.restore_status(F.col("line"))).otherwise(F.col("line"))).withColumn("out_ts", F.when(F.col("restored"), F.lit("P")).otherwise(F.col("ts")))
+    # What a row that came back had been excluded for.
+    x = x.withColumn("restored_from", F.when(F.col("restored"), F.col("status")))
     return x.drop("dup_rn", "norm_rn", "eligible")
 
 

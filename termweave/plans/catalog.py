@@ -219,9 +219,9 @@ def a4_norm_counts(spark, sf):
     return TF.normalization_counts(_filtered(spark, sf))
 
 
-@query(f"WITH {V.GROUPED}, {V.FILTER_SQL} SELECT aui, restored, CASE WHEN restored THEN 'P' ELSE ts END AS out_ts FROM filtered WHERE pref")
+@query(f"WITH {V.GROUPED}, {V.FILTER_SQL} SELECT aui, restored, CASE WHEN restored THEN status END AS restored_from, CASE WHEN restored THEN 'P' ELSE ts END AS out_ts FROM filtered WHERE pref")
 def a5_restore(spark, sf):
-    return _filtered(spark, sf).where("pref").select("aui", "restored", "out_ts")
+    return _filtered(spark, sf).where("pref").select("aui", "restored", "restored_from", "out_ts")
 
 
 @query(f"""WITH {V.GROUPED}, {V.FILTER_SQL} SELECT count(*) FILTER (status = 'ntss' AND ts = 'p' AND NOT restored) AS p, count(*) FILTER (status = 'ntss' AND ts = 's' AND NOT restored) AS s,
@@ -404,6 +404,42 @@ def s9_lexicon_records(spark, sf):
     return x.select("eui", "base", F.col("fields")["cat"][0].alias("cat"), F.size(F.col("fields")["variants"]).alias("variants"))
 
 
+def _lines(spark, sf, value: str):
+    return V.table(spark, sf, "part").selectExpr("p_partkey AS line_no", f"{value} AS value")
+
+
+@query("SELECT split_part(p_name, ' ', 1) AS first, split_part(p_name, ' ', -1) AS last FROM part")
+def s7_word_pairs(spark, sf):
+    return R.parse_pairs(_lines(spark, sf, "concat(substring_index(p_name, ' ', 1), '|', substring_index(p_name, ' ', -1))"))
+
+
+@query("SELECT p_partkey AS line_no, p_name AS term FROM part WHERE p_size > 5")
+def s8_term_list(spark, sf):
+    return R.term_list(_lines(spark, sf, "CASE WHEN p_size > 5 THEN p_name ELSE '' END"))
+
+
+@query("SELECT DISTINCT p_type AS phrase FROM part")
+def s18_stop_phrases(spark, sf):
+    return R.stop_phrases(_lines(spark, sf, "p_type"))
+
+
+@query(r"""WITH p AS (SELECT doc_id, string_split(replace(text, '. ', '.' || chr(10) || chr(10) || ' '), chr(10) || chr(10)) AS ps FROM documents), q AS (SELECT doc_id, unnest(ps[:-2]) AS p FROM p),
+t AS (SELECT doc_id, regexp_replace(replace(p, chr(10), ' '), '^[ \t\n]+', '') AS text FROM q) SELECT doc_id, md5(text) AS h FROM t WHERE text <> ''""")
+def s19_paragraphs(spark, sf):
+    texts = V.table(spark, sf, "documents").select("doc_id", F.replace("text", F.lit(". "), F.lit(".\n\n ")).alias("value"))
+    return R.paragraphs(texts, "doc_id").select("doc_id", F.md5(F.col("text").cast("binary")).alias("h"))
+
+
+@query("SELECT DISTINCT unnest(string_split(p_name, ' ')) AS word FROM part")
+def s20_word_set(spark, sf):
+    return R.word_set(_lines(spark, sf, """concat(p_name, ' 12 "quoted words" 7 \\'so too\\' // ', p_type)"""))
+
+
+@query(r"SELECT doc_id, md5(regexp_replace(regexp_replace(text, '\r?\n$', ''), '\r?\n', ' ', 'g') || ' ') AS h FROM documents")
+def s24_whole_document(spark, sf):
+    return V.table(spark, sf, "documents").select("doc_id", F.md5(R.joined_lines(F.col("text")).cast("binary")).alias("h"))
+
+
 # Variants
 
 
@@ -714,6 +750,12 @@ def s12_header_terms(spark, sf):
     return A2.parse_blocks(_blocks(spark, sf)).select("label", "starts", F.when(F.col("starts"), F.concat_ws("|", "header.args", "header.aas", "header.neg_list")).alias("header"))
 
 
+@query(SAID + "SELECT DISTINCT 'PMID ' || dense_rank() OVER (ORDER BY doc_id) || ': ' || doc_id AS value FROM said")
+def s16_documents(spark, sf):
+    x = A2.parse_blocks(_blocks(spark, sf)).select("doc_no", "doc_id").distinct()
+    return x.select(F.concat(F.lit("PMID "), "doc_no", F.lit(": "), "doc_id").alias("value"))
+
+
 @query(SAID + "SELECT label, dense_rank() OVER (ORDER BY doc_id) AS doc_no, row_number() OVER (PARTITION BY doc_id ORDER BY utt_no) AS utt_no FROM said")
 def w6_ordinals(spark, sf):
     return A2.parse_blocks(_blocks(spark, sf)).select("label", "doc_no", "utt_no")

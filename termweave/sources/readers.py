@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -31,13 +31,17 @@ def read_terms(spark: SparkSession, path: str, strict: bool = True) -> DataFrame
     return parse_terms(numbered_lines(spark, path), strict)
 
 
-def read_pairs(spark: SparkSession, path: str) -> DataFrame:
+def parse_pairs(lines: DataFrame) -> DataFrame:
     """(first, last) word pairs; a line without exactly two fields is an error."""
-    x = spark.read.text(path).withColumn("f", F.split("value", "[|]", -1))
+    x = lines.withColumn("f", F.split("value", "[|]", -1))
     f = F.when(F.size("f") == 2, F.col("f")).otherwise(F.raise_error(F.concat(F.lit("not a pair: "), F.col("value"))).cast("array<string>"))
     return x.select(f.alias("f")).select(F.col("f")[0].alias("first"), F.col("f")[1].alias("last"))
 
 
+def read_pairs(spark: SparkSession, path: str) -> DataFrame:
+    return parse_pairs(spark.read.text(path))
+
+
 def word_set(lines: DataFrame) -> DataFrame:
     """(word): distinct words of a word list; numbers, quoted text and slash comments are not words."""
     plain = F.regexp_replace(F.regexp_replace("value", "/.*$", ""), "\"[^\"]*\"?|'[^']*'?", " ")
@@ -70,20 +74,32 @@ def lexicon_lines(parsed: DataFrame, *keep: str) -> DataFrame:
     return parsed.select(*keep, "eui", F.concat_ws("|", "eui", F.to_json(F.struct("base", "fields"))).alias("value"))
 
 
-def read_term_list(spark: SparkSession, path: str) -> DataFrame:
+def term_list(lines: DataFrame) -> DataFrame:
     """(line_no, term): one term a line; empty lines are skipped."""
-    return numbered_lines(spark, path).where(F.length("value") > 0).select("line_no", F.col("value").alias("term"))
+    return lines.where(F.length("value") > 0).select("line_no", F.col("value").alias("term"))
 
 
-def read_stop_phrases(spark: SparkSession, path: str) -> DataFrame:
+def read_term_list(spark: SparkSession, path: str) -> DataFrame:
+    return term_list(numbered_lines(spark, path))
+
+
+def stop_phrases(lines: DataFrame) -> DataFrame:
     """(phrase): one phrase a line, each once."""
-    return spark.read.text(path).select(F.col("value").alias("phrase")).distinct()
+    return lines.select(F.col("value").alias("phrase")).distinct()
+
+
+def read_stop_phrases(spark: SparkSession, path: str) -> DataFrame:
+    return stop_phrases(spark.read.text(path))
+
+
+def joined_lines(text: Column) -> Column:
+    """The lines of a whole text, with a blank after each."""
+    return F.concat(F.regexp_replace(F.regexp_replace(text, r"\r?\n$", ""), r"\r?\n", " "), F.lit(" "))
 
 
 def read_document(spark: SparkSession, path: str) -> DataFrame:
     """(path, text): each file as one document, its lines joined with a blank after each."""
-    x = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.regexp_replace("value", r"\r?\n$", "").alias("v"))
-    return x.select("path", F.concat(F.regexp_replace("v", r"\r?\n", " "), F.lit(" ")).alias("text"))
+    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), joined_lines(F.col("value")).alias("text"))
 
 
 #: Keys of the configuration and what they are where it leaves them out.
@@ -120,11 +136,15 @@ def index_statistics(lines: DataFrame) -> DataFrame:
     return x.groupBy("term").agg(F.count("*").alias("n")).groupBy(F.length("term").alias("term_len")).agg(F.count("*").alias("terms"), F.sum("n").alias("lines"))
 
 
-def read_paragraphs(spark: SparkSession, path: str) -> DataFrame:
-    """(text): paragraphs that an empty line ends; single line ends become blanks, leading white space goes; unended text is dropped."""
-    x = spark.read.text(path, wholetext=True)
+def paragraphs(texts: DataFrame, *keep: str) -> DataFrame:
+    """(text), and the columns to keep: paragraphs that an empty line ends; single line ends become blanks, leading white space goes; unended text is dropped."""
     parts = F.split("value", "\n\n", -1)
-    return x.select(F.explode(F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0)))).alias("p")).select(F.regexp_replace(F.translate("p", "\n", " "), r"^[ \t\n]+", "").alias("text")).where("text <> ''")
+    x = texts.select(*keep, F.explode(F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0)))).alias("p"))
+    return x.select(*keep, F.regexp_replace(F.translate("p", "\n", " "), r"^[ \t\n]+", "").alias("text")).where("text <> ''")
+
+
+def read_paragraphs(spark: SparkSession, path: str) -> DataFrame:
+    return paragraphs(spark.read.text(path, wholetext=True))
 
 
 def import_list(lines: DataFrame, path: str = "path", order: str = "line_no") -> DataFrame:
