@@ -34,8 +34,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents with their token ids and places in training sequences; a text without words is its end id alone, repeated rows are packed each."""
-    return packing.pack(docs, with_ids=True)
+    """Pieces of documents and their places in training sequences (packing.pack takes with_ids=True to carry the ids); a text without words is its end id alone, repeated rows are packed each."""
+    return packing.pack(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
