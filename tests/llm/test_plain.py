@@ -144,7 +144,9 @@ def test_stages_against_plain_versions(spark, table):
     want = plain([(r.doc_id, r.text, r.source) for r in known.collect()])
     got = Counter(r.doc_id for r in mixed.collect())
     assert {r.doc_id: got[r.doc_id] * len(r.text.split()) for r in known.collect()} == want and mixed.columns == docs.columns
-    packed = corpus_pipeline.pack_sequences(spark, mixed, table).collect()
+    placed = corpus_pipeline.pack_sequences(spark, mixed, table)
+    packed = packing.pack(mixed, with_ids=True).collect()
+    assert Counter(tuple(r) for r in placed.select("doc_id", "length", "ids_crc32").collect()) == Counter((r.doc_id, r["length"], r.ids_crc32) for r in packed)
     lib = library()
     ids = {r.doc_id: [*lib.encode(r.text, add_special_tokens=False).ids, 1] for r in known.collect()}
     assert Counter(r.doc_id for r in packed) == got and all(r.ids == ids[r.doc_id] and r["length"] == len(r.ids) for r in packed)
@@ -152,7 +154,7 @@ def test_stages_against_plain_versions(spark, table):
 
 def test_run_and_empty_tables(spark, table, tmp_path):
     out = corpus_pipeline.run(spark, table)
-    assert out.count() and "ids" in out.columns
+    assert out.count() and "sequence_id" in out.columns
     docs, labels = spark.read.parquet(f"{table}/documents.parquet"), spark.read.parquet(f"{table}/labels.parquet")
     for k, (d, lab) in enumerate(((docs.limit(0), labels), (docs, labels.limit(0)))):
         d.write.parquet(f"{tmp_path}/{k}/documents.parquet")
