@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, embed_dedup, licenses, mixing, packing, pu_quality, simhash, token_orc, toxicity, url_rules
-from .common import shared_dir, table
+from . import alignment, ann, ball_kmeans, embed_dedup, licenses, mixing, packing, pu_quality, simhash, token_counts, token_orc, toxicity, url_rules
+from .common import durable, remove, shared_dir, table
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +35,9 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark)}/tokens"
     token_orc.write_tokens(table(spark, sf_dir, "documents"), path)
-    return token_orc.digest(spark, path)
+    out = durable(token_orc.digest(spark, path))
+    remove(spark, path)
+    return out
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,9 +52,21 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"), licenses.templates_frame(spark))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
+def op12_ball_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_kmeans.assign(table(spark, sf_dir, "embeddings"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {"op1_mixing": op1_mixing, "op2_quality": op2_quality, "op3_embedding_dedup": op3_embedding_dedup, "op4_url_rules": op4_url_rules, "op5_toxicity": op5_toxicity, "op6_simhash": op6_simhash, "op7_token_orc": op7_token_orc, "op8_packing": op8_packing, "op9_ann": op9_ann, "op10_licenses": op10_licenses}
+    return {"op1_mixing": op1_mixing, "op2_quality": op2_quality, "op3_embedding_dedup": op3_embedding_dedup, "op4_url_rules": op4_url_rules, "op5_toxicity": op5_toxicity, "op6_simhash": op6_simhash, "op7_token_orc": op7_token_orc, "op8_packing": op8_packing, "op9_ann": op9_ann, "op10_licenses": op10_licenses, "op11_token_counts": op11_token_counts, "op12_ball_kmeans": op12_ball_kmeans, "op13_alignment": op13_alignment}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": mixing.SQL, "op4_url_rules": url_rules.SQL}
+    return {"op1_mixing": mixing.SQL, "op4_url_rules": url_rules.SQL, "op12_ball_kmeans": ball_kmeans.SQL}
