@@ -121,3 +121,12 @@ def syntax_dump(prepared: DataFrame, *keep: str) -> DataFrame:
     n = F.aggregate("ph", F.lit(0), lambda a, p: a + F.size(p))
     shape = F.when(n == 0, "1|1").otherwise(F.concat_ws("|", F.size("ph"), n))
     return x.select(*keep, F.concat_ws("|", shape, "cui", "sab", "code", "nmstr", F.to_json("ph")).alias("value"))
+
+
+def tagged_syntax_dump(tagged: DataFrame, *keep: str) -> DataFrame:
+    """(value), and the columns to keep: as syntax_dump, of frames with `ph`, phrases of tagged words, which print as [tag:word,...]."""
+    from .tagger import shown_phrases
+
+    n = F.aggregate("ph", F.lit(0), lambda a, p: a + F.size(p))
+    shape = F.when(n == 0, "1|1").otherwise(F.concat_ws("|", F.size("ph"), n))
+    return tagged.select(*keep, F.concat_ws("|", shape, "cui", "sab", "code", "nmstr", shown_phrases(F.col("ph"))).alias("value"))

@@ -773,8 +773,11 @@ def s11_report_from_terms(spark, sf):
 
 
 def queries() -> dict:
+    from . import language  # noqa: F401  registers its own
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(SQL)
