@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from itertools import chain
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,9 @@ from .tokens import tokenizer_path
 #: The tokenizers of the query: a byte-level .json file (A) and a sentencepiece model (B).
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Bytes of text taken at once; cells that a worker keeps; different pairs to a block of documents.
-PART_BYTES, MOST_CELLS, BLOCK_PAIRS = 4 << 20, 120_000, 300_000
+PART_BYTES, MOST_CELLS, BLOCK_PAIRS = 2 << 20, 150_000, 300_000
+#: Longer cells are encoded one by one.
+LONG_CELL = 4096
 #: Pairs of ids whose counts are sent to every task, 17 bytes each; beyond it each block of documents gets its own pairs' counts.
 LOOKUP_PAIRS = 4_000_000
 
@@ -70,23 +73,28 @@ class Cells(dict):
     """Cells, runs of text between places where both tokenizers always cut, to what they add to a document.
 
     A value is (tokens of A, tokens of B, groups, links as keys a * size of B's vocabulary + b in int64, the groups as text);
-    the last is None where joined tokens are not the cell's bytes.
+    the last, with `;` after each group, is None where joined tokens are not the cell's bytes.
     """
 
     def __init__(self, a_path: str, b_path: str):
+        import numpy as np
         import sentencepiece
 
         super().__init__()
         if not byte_pairs.is_byte_level(a_path):
             raise ValueError(f"{a_path}: not a byte-level vocabulary")
-        self.whole = byte_pairs.load(a_path, specials_as_text=True)
-        self.pieces = byte_pairs.PieceIds(self.whole)
-        self.a_bytes = {i: s.encode() for s, i in self.whole.get_vocab(with_added_tokens=True).items()}
-        for s, i in self.whole.get_vocab(with_added_tokens=False).items():
-            self.a_bytes[i] = byte_pairs.token_bytes(s)
+        self.whole, self.ranked = byte_pairs.load(a_path, specials_as_text=True), byte_pairs.ranked_encoder(a_path)
+        vocab = self.whole.get_vocab(with_added_tokens=True)
+        own = self.whole.get_vocab(with_added_tokens=False)
+        raw = {i: byte_pairs.token_bytes(t) if t in own else t.encode() for t, i in vocab.items()}
+        self.a_bytes = [raw.get(i, b"") for i in range(max(raw) + 1)]
         b = self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         names = [b.id_to_piece(i) for i in range(b.get_piece_size())]
         self.b_bytes = [bytes([int(s[3:5], 16)]) if b.is_byte(i) else s.replace("▁", " ").encode() for i, s in enumerate(names)]
+        self.a_len, self.b_len = (np.array(list(map(len, x)), np.int64) for x in (self.a_bytes, self.b_bytes))
+        # Ids as they print, with what follows them within a group and at the end of their side of it.
+        table = lambda n, end: np.array([f"{i}," for i in range(n)] + [f"{i}{end}" for i in range(n)], object)
+        self.a_text, self.b_text = table(len(self.a_bytes), "|"), table(len(names), ";")
         self.b_size = len(names)
         # White space that no piece holds but first, or all in front, is where B cuts whatever stands around it; A always cuts there.
         plain = [s for i, s in enumerate(names) if not b.is_byte(i) and not b.is_control(i)]
@@ -105,10 +113,13 @@ class Cells(dict):
         return self.careful(text) if self.other_space(text) else self.simple(text)
 
     def a_ids(self, cell: str) -> list[int]:
-        if byte_pairs.ODD.search(cell):
-            return self.whole.encode(cell, add_special_tokens=False).ids
-        of = self.pieces
-        return [i for p in byte_pairs.PRETOKEN.findall(cell) for i in of[p]]
+        return self.whole.encode(cell, add_special_tokens=False).ids
+
+    def plain(self, cells: list[str]) -> list[bool]:
+        """Which cells may be encoded by A as one text with others of their kind: what follows such a cell is white space, and it ends without."""
+        odd = byte_pairs.ODD.search if self.ranked and self.separable else (lambda _: True)
+        any_odd = odd("".join(cells))
+        return [len(c) <= LONG_CELL and not c[-1].isspace() and not (any_odd and odd(c)) for c in cells]
 
     def b_ids(self, cells: list[str]) -> list[list[int]]:
         """B's ids of cells within a text: B adds the space that cells of a space and more begin with; others stand behind a line end of their own."""
@@ -116,34 +127,54 @@ class Cells(dict):
         got = self.b.encode([c[1:] if s else "\n" + c for c, s in zip(cells, lead, strict=True)], num_threads=1)
         return [ids if s else ids[2:] for ids, s in zip(got, lead, strict=True)]
 
-    def learn(self, cells: list[str]) -> None:
+    def learn(self, cells: list[str], keep: dict | None = None) -> None:
+        """Adds cells; where there are too many, all go but `keep`."""
         import numpy as np
 
         if len(self) + len(cells) > MOST_CELLS:
             self.clear()
-        fit, a_all, b_all = [], [], []
-        for c, b in zip(cells, self.b_ids(cells), strict=True):
-            a, raw = self.a_ids(c), c.encode()
-            if b"".join([self.a_bytes[i] for i in a]) == raw == b"".join([self.b_bytes[i] for i in b]):
-                fit.append((c, len(raw)))
-                a_all.append(a)
-                b_all.append(b)
-            else:
-                self[c] = 0, 0, 0, b"", None
-        if not fit:
-            return
-        flat = lambda x: np.fromiter((i for y in x for i in y), np.int64)
-        sizes = lambda ids, of: np.fromiter((len(of[i]) for i in ids.tolist()), np.int64, len(ids))
-        a, b, cell_len = flat(a_all), flat(b_all), np.array([n for _, n in fit], np.int64)
-        (la, lb, lc), (ga, gb, gc) = aligned(sizes(a, self.a_bytes), sizes(b, self.b_bytes), cell_len)
+            if keep and len(keep) + len(cells) <= MOST_CELLS:
+                self.update(keep)
+        fits = self.plain(cells)
+        first = [c for c, f in zip(cells, fits, strict=True) if f]
+        others = [c for c, f in zip(cells, fits, strict=True) if not f]
+        cells = first + others
+        raws = [c.encode() for c in cells]
+        lists = self.b_ids(cells)
+        count = lambda x: np.fromiter(map(len, x), np.int64, len(x))
+        flat = lambda x, n: np.fromiter(chain.from_iterable(x), np.int64, n)
+        cell_len, nb = count(raws), count(lists)
+        b = flat(lists, int(nb.sum()))
+        b_len = self.b_len[b]
+        at = np.concatenate(([0], np.cumsum(b_len)))
+        b_at = np.concatenate(([0], np.cumsum(nb)))
+        right = np.array_equal(np.diff(at[b_at]), cell_len) and b"".join(map(self.b_bytes.__getitem__, b.tolist())) == b"".join(raws)
+        if not right:
+            bad = {c for c, ids, raw in zip(cells, lists, raws, strict=True) if b"".join([self.b_bytes[i] for i in ids]) != raw}
+            self.update(dict.fromkeys(bad, (0, 0, 0, b"", None)))
+            return self.learn([c for c in cells if c not in bad]) if len(bad) < len(cells) else None
+        a = np.array(self.ranked("".join(first)) if first else [], np.int64)
+        rest = [self.a_ids(c) for c in others]
+        na_rest = count(rest)
+        a = np.concatenate((a, flat(rest, int(na_rest.sum()))))
+        a_len = self.a_len[a]
+        ends = np.cumsum(cell_len)
+        a_at = np.concatenate(([0], np.searchsorted(np.cumsum(a_len), ends) + 1))
+        (la, lb, lc), (ga, gb, gc) = aligned(a_len, b_len, cell_len)
         keys = (a[la] * self.b_size + b[lb]).tobytes()
-        sa, sb = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        ga, gb = [*ga.tolist(), len(sa)], [*gb.tolist(), len(sb)]
-        groups = [f"{','.join(sa[i:j])}|{','.join(sb[k:m])}" for i, j, k, m in zip(ga[:-1], ga[1:], gb[:-1], gb[1:], strict=True)]
-        numbers = np.arange(len(fit) + 1)
-        at, to = (8 * np.searchsorted(lc, numbers)).tolist(), np.searchsorted(gc, numbers).tolist()
-        for k, (c, _) in enumerate(fit):
-            self[c] = len(a_all[k]), len(b_all[k]), to[k + 1] - to[k], keys[at[k] : at[k + 1]], ";".join(groups[to[k] : to[k + 1]])
+        # The printed ids of a group's A tokens, then of its B tokens, group by group.
+        shown = np.empty(len(a) + len(b), object)
+        ga, gb = np.append(ga, len(a)), np.append(gb, len(b))
+        per_a, per_b = np.diff(ga), np.diff(gb)
+        last = lambda x, n: np.bincount(x[1:] - 1, minlength=n).astype(np.int64)  # noqa: E731  1 at the last token of each group
+        shown[np.arange(len(a)) + np.repeat(gb[:-1], per_a)] = self.a_text[a + last(ga, len(a)) * len(self.a_bytes)]
+        shown[np.arange(len(b)) + np.repeat(ga[1:], per_b)] = self.b_text[b + last(gb, len(b)) * self.b_size]
+        shown = shown.tolist()
+        numbers = np.arange(len(cells) + 1)
+        link_at, groups = (8 * np.searchsorted(lc, numbers)).tolist(), np.diff(np.searchsorted(gc, numbers)).tolist()
+        a_n, b_n, text_at = np.diff(a_at).tolist(), nb.tolist(), (a_at + b_at).tolist()
+        for k, c in enumerate(cells):
+            self[c] = a_n[k], b_n[k], groups[k], keys[link_at[k] : link_at[k + 1]], "".join(shown[text_at[k] : text_at[k + 1]])
 
 
 def _parts(batch, column: int):
@@ -169,9 +200,10 @@ def _documents(known: Cells, texts: list):
         number.update(dict.fromkeys(c))
     missing = [c for c in number if c not in known]
     held = {c: known[c] for c in number if c in known}  # learning may forget them
+    old = dict(held)
     for i in range(0, len(missing), MOST_CELLS // 4):
         some = missing[i : i + MOST_CELLS // 4]
-        known.learn(some)
+        known.learn(some, old)
         held.update((c, known[c]) for c in some)
     number = dict(zip(number, range(len(number)), strict=True))
     records = [held[c] for c in number]
@@ -185,7 +217,7 @@ def _documents(known: Cells, texts: list):
         if not said or None in said:
             rows.append((0, 0, 0, 0, ""))
             continue
-        rows.append((int(na[at].sum()), int(nb[at].sum()), int(ng[at].sum()), int(nl[at].sum()), hashlib.sha256(";".join(said).encode()).hexdigest()))
+        rows.append((int(na[at].sum()), int(nb[at].sum()), int(ng[at].sum()), int(nl[at].sum()), hashlib.sha256("".join(said)[:-1].encode()).hexdigest()))
         used.append(at)
         owner.append(np.full(len(at), k))
     none = np.empty(0, np.int64)

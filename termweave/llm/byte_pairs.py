@@ -29,10 +29,12 @@ def named(text: str) -> str:
     return text.encode().decode("latin-1").translate(dict(enumerate(NAMES)))
 
 
+CODES = {c: i for i, c in enumerate(NAMES)}
+
+
 def token_bytes(name: str) -> bytes:
     """The bytes that a vocabulary entry stands for."""
-    of = {c: i for i, c in enumerate(NAMES)}
-    return bytes(of[c] for c in name)
+    return bytes(CODES[c] for c in name)
 
 
 def is_byte_level(path: str) -> bool:
@@ -89,3 +91,19 @@ class PieceIds(dict):
                 self.clear()
             self[piece] = ids
         return ids
+
+
+def ranked_encoder(path: str):
+    """The same merges by tiktoken, which takes a vocabulary as ranks: equal where ids follow the order of merges; None where they do not.
+
+    For texts without characters in ODD: tiktoken splits by the same pattern with its own character classes.
+    """
+    import tiktoken
+
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    vocab, merges = model["vocab"], [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    ids = [vocab[a + b] for a, b in merges]
+    if ids != sorted(set(ids)) or len(vocab) != 256 + len(ids) or min(ids, default=256) != 256:
+        return None
+    return tiktoken.Encoding("own", pat_str=r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""", mergeable_ranks={token_bytes(k): i for k, i in vocab.items()}, special_tokens={}).encode_ordinary
