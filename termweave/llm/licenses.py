@@ -131,17 +131,20 @@ def _bit_set(signatures) -> Column:
     return F.lit([b - (1 << 64) if b >> 63 else b for b in bits]).cast("array<bigint>")
 
 
-def _agreeing(hashes: Column, width: int, wanted: Column) -> Column:
-    """array<struct<pos, bands>>: windows of the width that may have a wanted signature, by the bit set.
+def _agreeing(hashes: Column, k: int, width: int, wanted: Column, back: int, ahead: int) -> Column:
+    """array<struct<k, width, pos, bands, first, words>>: windows of the width that may have a wanted signature, by the bit set.
 
-    They are signed within the document's row, with its hashes bound to a name so that they are not made anew for each window;
-    only those that may agree with a template leave the row, so that long texts are not copied for every window.
+    They are signed within the document's row, with its hashes bound to a name so that they are not made anew for each window.  Only
+    those that may agree with a template leave the row, each with the words from `back` before it to `ahead` after its start, numbered
+    from first: a few times a template's length, so what leaves a row grows as its text does, however many windows agree.
     """
     w = F.lit(width)
     sign = lambda h: F.transform(_windows(h, w, F.lit(max(1, width // 8))), lambda p: F.struct(p.alias("pos"), _bands(h, p, w).alias("bands")))
     at = lambda s: F.pmod(s, F.lit(SET_BITS))
     has = lambda s: F.getbit(F.get(wanted, F.floor(at(s) / 64).cast("int")), (at(s) % 64).cast("int")) == 1
-    return F.transform(F.array(hashes), lambda h: F.filter(sign(h), lambda s: F.exists(s["bands"], has)))[0]
+    first = lambda s: F.greatest(s["pos"] - back, F.lit(0))
+    cut = lambda s: F.struct(F.lit(k).alias("k"), F.lit(width).alias("width"), s["pos"].alias("pos"), s["bands"].alias("bands"), first(s).alias("first"), F.slice("w", first(s) + 1, s["pos"] - first(s) + ahead).alias("words"))
+    return F.transform(F.array(hashes), lambda h: F.transform(F.filter(sign(h), lambda s: F.exists(s["bands"], has)), cut))[0]
 
 
 def scan(docs: DataFrame, templates: DataFrame, id_col: str = "doc_id", text_col: str = "text", containment: float = CONTAINMENT, shingle: int = SHINGLE) -> DataFrame:
@@ -179,15 +182,16 @@ def scan(docs: DataFrame, templates: DataFrame, id_col: str = "doc_id", text_col
     classes = sorted({(r.k, r.width) for r in known})
     agreeing = []
     for k, width in classes:
-        wanted = _bit_set({x for r in known if (r.k, r.width) == (k, width) for x in r.bands})
-        agreeing.append(F.transform(_agreeing(F.col(f"h{k}"), width, wanted), _classed(k, width)))
-    x = d.select("doc_id", "w", *[_hashes(F.col("w"), k).alias(f"h{k}") for k in sized]).select("doc_id", "w", F.explode(F.concat(*agreeing)).alias("s"))
-    x = x.select("doc_id", "w", F.col("s.k").alias("wk"), F.col("s.width").alias("wwidth"), F.col("s.pos").alias("pos"), F.posexplode("s.bands").alias("wband", "wsig"))
+        own = [r for r in known if (r.k, r.width) == (k, width)]
+        back, ahead = max(r["at"] + r.n // 4 for r in own), max(r.n + k - 1 + 2 * (r.n // 4) for r in own)
+        agreeing.append(_agreeing(F.col(f"h{k}"), k, width, _bit_set({x for r in own for x in r.bands}), back, ahead))
+    x = d.select("doc_id", "w", *[_hashes(F.col("w"), k).alias(f"h{k}") for k in sized]).select("doc_id", F.explode(F.concat(*agreeing)).alias("s"))
+    x = x.select("doc_id", F.col("s.words").alias("w"), F.col("s.first").alias("first"), F.col("s.k").alias("wk"), F.col("s.width").alias("wwidth"), F.col("s.pos").alias("pos"), F.posexplode("s.bands").alias("wband", "wsig"))
     # Bounded by the templates: at most six rows a chunk.
     x = x.join(F.broadcast(bands), (F.col("wk") == F.col("k")) & (F.col("wwidth") == F.col("width")) & (F.col("wband") == F.col("band")) & (F.col("wsig") == F.col("sig")))
     start = F.col("pos") - F.col("at")
     slack = F.floor(F.col("n") / 4).cast("int")
-    passage = F.slice("w", F.greatest(start - slack, F.lit(0)) + 1, F.col("n") + F.col("k") - 1 + 2 * slack)
+    passage = F.slice("w", F.greatest(start - slack, F.lit(0)) - F.col("first") + 1, F.col("n") + F.col("k") - 1 + 2 * slack)
     held = F.when(F.col("k") == sized[0], _shingles_of(passage, sized[0]))
     for k in sized[1:]:
         held = held.when(F.col("k") == k, _shingles_of(passage, k))
@@ -196,10 +200,6 @@ def scan(docs: DataFrame, templates: DataFrame, id_col: str = "doc_id", text_col
     return hits.where(F.col("containment") >= containment).groupBy("doc_id", "license").agg(F.max("containment").alias("containment"), F.min("first_word").cast("int").alias("first_word"))
 
 
-def _classed(k: int, width: int):
-    return lambda s: F.struct(F.lit(k).alias("k"), F.lit(width).alias("width"), s["pos"].alias("pos"), s["bands"].alias("bands"))
-
-
 def _shingles_of(passage: Column, k: int) -> Column:
     """As _shingles, with the passage cut once."""
     return F.transform(F.array(passage), lambda p: _shingles(p, k))[0]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from array import array
 
@@ -70,12 +71,42 @@ SIMPLE = bytes([*b"abcdefghijklmnopqrstuvwxyz0123456789., \t\n\x0b\x0c\r", 0xC3,
 NOT_SIMPLE = (b"..", b",,", b".,", b",.", b"\xc3\x97", b"\xc3\xb7")
 
 
+#: What a file must say of normalizing, splitting and merging for the shortcuts here to hold.
+LOWER_WORDS = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ]},
+}
+
+
+def is_lower_words(path: str) -> bool:
+    """Whether the file at path is of the kind that WordIds cuts by itself: lower case, white space dropped, words split by that pattern."""
+    with open(path, encoding="utf-8") as f:
+        d = json.load(f)
+    plain = not any(d["model"].get(k) for k in ("dropout", "continuing_subword_prefix", "fuse_unk", "byte_fallback", "ignore_merges"))
+    return plain and d["model"].get("type") == "BPE" and all(d.get(k) == v for k, v in LOWER_WORDS.items())
+
+
+def _whole(path: str):
+    """The library's own path for whole texts, for files of any kind: ids as bytes, without truncation, padding or special tokens."""
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(path)
+    whole.no_truncation()
+    whole.no_padding()
+    return lambda text: array("I", whole.encode(text, add_special_tokens=False).ids).tobytes() if text else b""
+
+
 def encoder(path: str):
-    """A function from a text (or None) to its ids as bytes; white space must not make tokens in the tokenizer at path."""
+    """A function from a text (or None) to its ids as bytes, those of the tokenizers library for the file at path."""
     known = worker_cache("tokens")
     if path not in known:
-        known[path] = WordIds(path)
+        known[path] = WordIds(path) if is_lower_words(path) else _whole(path)
     word_ids = known[path]
+    if not isinstance(word_ids, WordIds):
+        return word_ids
 
     def encode(text: str | None) -> bytes:
         if not text:

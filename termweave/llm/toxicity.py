@@ -58,8 +58,10 @@ def fit_chain(x, y, fold, columns: list, marks: list):
     """([(weights, bias)], held): a model for each category over the features columns[-1], then the probabilities of the categories before it.
 
     x: texts by features; columns[k] and marks[k] are the features and marking words chosen without the texts of fold k, the last of
-    each those chosen from all.  held holds each text's out-of-fold probabilities: a text's own label and words have no part in the
-    features, marks or models behind them, so later models see earlier categories as uncertain as they will be on new texts.
+    each those chosen from all.  held holds each text's out-of-fold probabilities, so that later models see earlier categories as
+    uncertain as they will be on new texts: a text's own label and words have no part in the features, marks or model that give its
+    probability.  From the second category on that model also learns from other texts' probabilities of earlier categories, and
+    those come from models that were trained on this text among others; folds are not nested.
     """
     import numpy as np
 

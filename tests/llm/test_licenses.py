@@ -73,3 +73,14 @@ def test_as_many_licenses_as_there_are(spark):
     docs = spark.createDataFrame([(i, f"a b c {t} d e f") for i, (_, t) in enumerate(many)], "doc_id long, text string")
     got = licenses.scan(docs, spark.createDataFrame(many, "license string, template string")).collect()
     assert sorted((r.doc_id, r.license, r.containment) for r in got) == sorted((i, n, 1.0) for i, (n, _) in enumerate(many))
+
+
+def test_long_texts_of_repeated_lines(spark):
+    full = dict(licenses.TEMPLATES)["isc-text"]
+    line = "All rights reserved."
+    texts = [f"{line} " * 20_000, f"{line}\n" * 3_000 + full + f" {line}" * 3_000, (full + "\n") * 60, "z " * 50_000 + line, "rights all reserved " * 5_000]
+    got = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), licenses.templates_frame(spark)).collect()
+    by = {(r.doc_id, r.license): (r.containment, r.first_word) for r in got}
+    short = next(n for n, t in licenses.TEMPLATES if licenses.re.sub(r"[^a-z]+", " ", t.lower()).strip() == "all rights reserved")
+    assert by[0, short] == (1.0, 0) and by[1, short] == (1.0, 0) and by[3, short] == (1.0, 50_000) and (4, short) not in by
+    assert by[1, "isc-text"][0] == 1.0 and by[2, "isc-text"] == (1.0, 0) and (0, "isc-text") not in by

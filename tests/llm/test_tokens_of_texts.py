@@ -11,8 +11,8 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from termweave.llm import alignment, byte_pairs, queries, token_counts
-from termweave.llm.tokens import tokenizer_path
+from termweave.llm import alignment, byte_pairs, packing, queries, token_counts, token_orc
+from termweave.llm.tokens import encoder, is_lower_words, tokenizer_path
 
 SF = "/root/testdata/sf0.001"
 ODD = [
@@ -178,3 +178,23 @@ def test_cells_are_cut_where_both_cut():
             assert [i for c in known.b_ids(cells) for i in c] == known.b.encode(t)
         assert [i for c in cells for i in known.a_ids(c)] == known.whole.encode(" " + t, add_special_tokens=False).ids
     assert re.fullmatch(r"( \w+)+", "".join(known.cut("a b c")))
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_ids_of_any_file(texts, name):
+    path = tokenizer_path(name)
+    whole, ids = Tokenizer.from_file(path), encoder(path)
+    assert is_lower_words(path) == (name == "word_bpe_49k.json")
+    for _, t in texts:
+        assert np.frombuffer(ids(t), "<u4").tolist() == whole.encode(t or "", add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_files_and_pieces_of_any_tokenizer(spark, docs, tmp_path, name):
+    path = tokenizer_path(name)
+    whole = Tokenizer.from_file(path)
+    token_orc.write_tokens(docs, str(tmp_path / "ids"), path)
+    got = Counter((r.doc_id, tuple(r.ids)) for r in token_orc.read_tokens(spark, str(tmp_path / "ids")).collect())
+    assert got == Counter((i, (*whole.encode(t or "", add_special_tokens=False).ids, 1)) for i, t in DOCS)
+    pieces = packing.pack(docs, tokenizer=path).groupBy("doc_id").sum("length").collect()
+    assert {r.doc_id: r[1] for r in pieces} == {i: sum(len(k) * n for (j, k), n in got.items() if j == i) for i in {i for i, _ in DOCS}}
