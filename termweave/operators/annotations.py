@@ -147,11 +147,15 @@ def composite_phrases(u: DataFrame) -> DataFrame:
     return g.select("doc_id", "utt_no", "island", F.concat_ws("|", "n", shown(preps), shown(F.transform("ps", lambda p: p["t"]))).alias("value"))
 
 
-# Reports: each gives (value) lines with the keys in front.
+# Reports: each gives (doc_id, utt_no, value), the lines of an utterance in order.
+
+
+def _report(x: DataFrame, value: Column) -> DataFrame:
+    return x.select("doc_id", "utt_no", value.alias("value"))
 
 
 def _lines(x: DataFrame, *parts) -> DataFrame:
-    return x.select(F.concat_ws("|", *parts).alias("value"))
+    return _report(x, F.concat_ws("|", *parts))
 
 
 def label_text(u: DataFrame) -> DataFrame:
@@ -159,7 +163,7 @@ def label_text(u: DataFrame) -> DataFrame:
 
 
 def headed(u: DataFrame) -> DataFrame:
-    return u.select(F.concat(F.lit("Processing "), "label", F.lit(": "), "text").alias("value"))
+    return _report(u, F.concat(F.lit("Processing "), "label", F.lit(": "), "text"))
 
 
 def mapping_summary(u: DataFrame, first_only: bool = False) -> DataFrame:
@@ -171,7 +175,7 @@ def mapping_summary(u: DataFrame, first_only: bool = False) -> DataFrame:
         one = lambda m, k: F.transform(m["evs"], lambda e: bar(k + 1, F.size(p["mappings"]), -m["neg_score"], e["cui"], e["meta_term"], e["preferred_name"], shown(e["sem_types"]), spans(e["pos"])))
         return F.concat(F.array(bar(F.lit("PHRASE"), p["text"])), F.flatten(F.transform(maps, one)))
 
-    return u.select(F.explode(F.concat(F.array(bar(F.lit("UTTERANCE"), "text")), F.flatten(F.transform("phrases", of_phrase)))).alias("value"))
+    return _report(u, F.explode(F.concat(F.array(bar(F.lit("UTTERANCE"), "text")), F.flatten(F.transform("phrases", of_phrase)))))
 
 
 def concepts_joined(u: DataFrame) -> DataFrame:
@@ -180,17 +184,17 @@ def concepts_joined(u: DataFrame) -> DataFrame:
 
 def not_in_lexicon(u: DataFrame) -> DataFrame:
     """`tokens|input|utterance|label|` for each item that the lexicon lacks; the utterance's text goes along with its phrases."""
-    x = u.select("label", F.col("text").alias("utt"), F.explode("phrases").alias("p")).select("label", "utt", F.explode("p.items").alias("i")).where("i.category = 'not_in_lex'")
+    x = u.select(*KEYS, F.col("text").alias("utt"), F.explode("phrases").alias("p")).select(*KEYS, "utt", F.explode("p.items").alias("i")).where("i.category = 'not_in_lex'")
     return _lines(x, F.array_join("i.tokens", " "), F.array_join("i.inputmatch", " "), "utt", "label", F.lit(""))
 
 
 def syntax(u: DataFrame) -> DataFrame:
-    return items(u).select(F.concat_ws(":", "category", shown(F.col("tokens"))).alias("value"))
+    return _report(items(u), F.concat_ws(":", "category", shown(F.col("tokens"))))
 
 
 def syntactic_pattern(u: DataFrame, with_text: bool = False) -> DataFrame:
     x = phrases(u).where(F.size("items") > 0).withColumn("pattern", F.array_join(F.transform("items", lambda i: i["category"]), "|"))
-    return x.select(F.concat("pattern", F.lit(":"), "text").alias("value") if with_text else F.col("pattern").alias("value"))
+    return _report(x, F.concat("pattern", F.lit(":"), "text") if with_text else F.col("pattern"))
 
 
 def potential_stop_phrases(u: DataFrame) -> DataFrame:
@@ -198,7 +202,7 @@ def potential_stop_phrases(u: DataFrame) -> DataFrame:
 
 
 def phrase_texts(u: DataFrame) -> DataFrame:
-    return phrases(u).select(F.lower("text").alias("value"))
+    return _report(phrases(u), F.lower("text"))
 
 
 def match_differences(u: DataFrame) -> DataFrame:
@@ -206,12 +210,13 @@ def match_differences(u: DataFrame) -> DataFrame:
     from ..sources.annotated import item_text
 
     low = lambda c: F.transform(c, F.lower)
-    x = phrases(u).select("text", F.explode("items").alias("i")).where((F.size("i.lexmatch") > 0) & (low("i.inputmatch") != low("i.lexmatch")))
+    x = phrases(u).select(*KEYS, "text", F.explode("items").alias("i")).where((F.size("i.lexmatch") > 0) & (low("i.inputmatch") != low("i.lexmatch")))
     return _lines(x, shown(F.col("i.inputmatch")), shown(F.col("i.lexmatch")), item_text(F.col("i")), "text")
 
 
 def candidate_counts(u: DataFrame) -> DataFrame:
-    return _lines(phrases(u), "label", "no", F.size("cands"))
+    """The number of each phrase's candidates, on a line of its own."""
+    return _lines(phrases(u), F.size("cands"))
 
 
 def _candidate_text(x: DataFrame) -> DataFrame:
@@ -220,21 +225,46 @@ def _candidate_text(x: DataFrame) -> DataFrame:
 
 
 def candidate_texts(u: DataFrame) -> DataFrame:
-    return _candidate_text(phrases(u).select("label", phrase_words(F.col("items")).alias("words"), F.explode("cands").alias("ev")))
+    return _candidate_text(phrases(u).select(*KEYS, phrase_words(F.col("items")).alias("words"), F.explode("cands").alias("ev")))
 
 
 def mapping_texts(u: DataFrame, unique: bool = False) -> DataFrame:
     x = phrases(u).where("size(mappings) = 1") if unique else phrases(u)
-    x = x.select("label", phrase_words(F.col("items")).alias("words"), F.explode("mappings").alias("m"))
-    return _candidate_text(x.select("label", "words", F.explode("m.evs").alias("ev")))
+    x = x.select(*KEYS, phrase_words(F.col("items")).alias("words"), F.explode("mappings").alias("m"))
+    return _candidate_text(x.select(*KEYS, "words", F.explode("m.evs").alias("ev")))
 
 
 def mapping_counts(u: DataFrame) -> DataFrame:
-    return _lines(phrases(u), "label", "no", F.size("mappings"))
+    """The number of each phrase's mappings, on a line of its own."""
+    return _lines(phrases(u), F.size("mappings"))
 
 
 def odd_mappings(u: DataFrame) -> DataFrame:
-    return _lines(phrases(u).where((F.size("cands") > 0) & (F.size("mappings") == 0)), "label", "text")
+    """For each phrase with candidates and no mapping five lines: an empty one, `No mappings for`, label, text, and its candidates as terms."""
+    from ..sources.annotated import evs_text
+
+    x = phrases(u).where((F.size("cands") > 0) & (F.size("mappings") == 0))
+    return _report(x, F.concat_ws("\n", F.lit(""), F.lit("No mappings for"), "label", "text", evs_text(F.col("cands"))))
+
+
+def inversions(e: Column) -> Column:
+    """How many pairs of spans of a candidate's match map stand in another order in the phrase than in the term."""
+    by_term = lambda m: F.array_sort(F.transform(m, lambda s: F.struct(s["m1"].alias("m"), s["p1"].alias("p"))))
+    after = lambda s, x, i: F.size(F.filter(F.slice(s, i + 2, F.size(s)), lambda y: y["p"] < x["p"]))
+    return F.transform(F.array(by_term(e["match_map"])), lambda s: F.aggregate(F.transform(s, lambda x, i: after(s, x, i)), F.lit(0), lambda a, n: a + n))[0]
+
+
+def non_monotonic(u: DataFrame) -> DataFrame:
+    """(label, no, value): phrases whose best mapping scores less than their best candidate: an empty line, a heading, `label text`, then both lists."""
+    x = phrases(u).where(F.get("mappings", F.lit(0))["neg_score"] > F.get("cands", F.lit(0))["neg_value"])
+    line = lambda e: _evaluation(e, False, False, True, None)
+    maps = F.array_join(F.transform("mappings", lambda k: F.concat(F.lit("Meta Mapping ("), (-k["neg_score"]).cast("string"), F.lit("):\n"), F.array_join(F.transform(k["evs"], line), "\n"))), "\n")
+    return x.select("doc_id", "utt_no", "label", "no", F.concat_ws("\n", F.lit(""), F.lit("Non-monotonic mapping for"), F.concat_ws(" ", "label", "text"), F.lit("Candidates:"), F.array_join(F.transform("cands", line), "\n"), maps).alias("value"))
+
+
+def mapping_inversions(u: DataFrame) -> DataFrame:
+    """(label, no, i, inversions): of each mapping, pairs of spans out of order within its candidates."""
+    return mapped(u).select("label", "no", "i", F.aggregate(F.transform("evs", inversions), F.lit(0), lambda a, n: a + n).alias("inversions"))
 
 
 def _names_map(names: dict | None) -> Column | None:
@@ -250,18 +280,25 @@ def _evaluation(e: Column, show_cuis: bool, preferred_only: bool, semantic_types
     return F.concat(F.lpad((-e["neg_value"]).cast("string"), 6, " "), F.lit(" "), *([e["cui"], F.lit(":")] if show_cuis else []), name, *([F.lit(" "), shown(types)] if semantic_types else []))
 
 
-def phrase_report(u: DataFrame, candidates: bool = True, mappings: bool = True, show_cuis: bool = True, preferred_only: bool = False, semantic_types: bool = True, names: dict | None = None, threshold: int | None = None, truncate: bool = False, stop: DataFrame | None = None) -> DataFrame:
-    """(label, no, value): the default text block of a phrase: its text, its candidates (up to the threshold, ten if truncated), its mappings (two if truncated).
+def phrase_report(
+    u: DataFrame, candidates: bool = True, mappings: bool = True, show_cuis: bool = True, preferred_only: bool = False, semantic_types: bool = True, names: dict | None = None, threshold: int | None = None, truncate: bool = False, stop: DataFrame | None = None, simple_syntax: bool = True, syntax: bool = False,
+) -> DataFrame:
+    """(doc_id, utt_no, label, no, value): the default text block of a phrase, as far as its parts are asked for.
 
-    A candidate's line holds its score, six wide, and `CUI:Term (Concept) [types]`; the term goes where it equals the concept or
-    preferred names alone are asked for; names gives types by name.  Without any mapping the block says `Meta Mapping: <none>`.
+    simple_syntax: an empty line and its text; syntax: an empty line, `msu` and its items as terms; candidates, up to the threshold,
+    ten if truncated; mappings, two if truncated.  A candidate's line holds its score, six wide, and `CUI:Term (Concept) [types]`; the
+    term goes where it equals the concept or preferred names alone are asked for; names gives types by name.  Without any mapping the
+    block says `Meta Mapping: <none>`.  Phrases for which nothing prints have no row.
     """
+    from ..sources.annotated import items_text
+
     x = phrases(u) if stop is None else without_stop_phrases(phrases(u), stop)
     x = x if threshold is None else threshold_prefix(x, threshold)
     n, m = (10, 2) if truncate else (1 << 30, 1 << 30)
     line = lambda e: _evaluation(e, show_cuis, preferred_only, semantic_types, names)
     rest = lambda c, most, what: F.when(F.size(c) > most, F.concat(F.lit("     ["), (F.size(c) - most).cast("string"), F.lit(f" {what} were not printed]")))
-    parts = [F.concat(F.lit('Phrase: "'), "text", F.lit('"'))]
+    parts = [F.concat(F.lit('\nPhrase: "'), "text", F.lit('"'))] if simple_syntax else []
+    parts += [F.concat(F.lit("\nmsu\n"), items_text(F.col("items")))] if syntax else []
     if candidates:
         head = F.concat(F.lit("Meta Candidates (Total="), "counts.total", F.lit("; Excluded="), "counts.excluded", F.lit("; Pruned="), "counts.pruned", F.lit("; Remaining="), "counts.remaining", F.lit("):"))
         some = F.size("cands") > 0
@@ -269,7 +306,7 @@ def phrase_report(u: DataFrame, candidates: bool = True, mappings: bool = True,
     if mappings:
         one = lambda k: F.concat(F.lit("Meta Mapping ("), (-k["neg_score"]).cast("string"), F.lit("):\n"), F.array_join(F.transform(k["evs"], line), "\n"))
         parts += [F.when(F.size("mappings") > 0, F.array_join(F.transform(F.slice("mappings", 1, m), one), "\n")).otherwise(F.lit("Meta Mapping: <none>")), rest("mappings", m, "mappings")]
-    return x.select("label", "no", F.concat_ws("\n", *parts).alias("value"))
+    return x.select(*KEYS, "no", F.concat_ws("\n", *parts).alias("value")).where("value <> ''")
 
 
 def _by_type(rows: Column, names: dict | None) -> Column:
@@ -282,22 +319,55 @@ def _by_type(rows: Column, names: dict | None) -> Column:
     return F.transform(F.array(rows), text)[0]
 
 
-def organized_types(u: DataFrame, names: dict | None = None, first_only: bool = False) -> DataFrame:
+def organized_types(u: DataFrame, names: dict | None = None, first_only: bool = False, over: str = "doc_id") -> DataFrame:
     """(doc_id, utt_no, label, value, combined): an utterance's concepts by semantic type, in the order of its mappings, and then all
-    of its document so far, sorted and each once; <unknown> where names has no name for a type."""
+    of its document so far, sorted and each once; <unknown> where names has no name for a type.
+
+    over="all" gathers over all documents in order: the first place of each concept is found first, so an utterance's list is made
+    of those with an earlier place.  As every utterance prints all that came before it, the output itself then grows with its square.
+    """
     maps = lambda p: F.slice(p["mappings"], 1, 1) if first_only else p["mappings"]
     rows = F.flatten(F.transform(F.flatten(F.transform(F.flatten(F.transform("phrases", maps)), lambda m: m["evs"])), lambda e: F.transform(e["sem_types"], lambda t: F.struct(t.alias("semtype"), e["meta_term"].alias("term"), e["preferred_name"].alias("concept")))))
     x = u.select("doc_id", "utt_no", "label", rows.alias("rows"))
-    w = Window.partitionBy("doc_id").orderBy("utt_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    x = x.withColumn("so_far", F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.array_distinct("rows")).over(w)))))
-    return x.select("doc_id", "utt_no", "label", _by_type(F.col("rows"), names).alias("value"), F.concat(F.lit("\n\n\nCombined concepts by semantic type:\n"), _by_type(F.col("so_far"), names)).alias("combined"))
+    if over == "all":
+        so_far = _union_so_far(x)
+    else:
+        w = Window.partitionBy("doc_id").orderBy("utt_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        so_far = x.withColumn("so_far", F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.array_distinct("rows")).over(w)))))
+    return so_far.select("doc_id", "utt_no", "label", _by_type(F.col("rows"), names).alias("value"), F.concat(F.lit("\n\n\nCombined concepts by semantic type:\n"), _by_type(F.col("so_far"), names)).alias("combined"))
+
+
+def _union_so_far(x: DataFrame) -> DataFrame:
+    """x (doc_id, utt_no, rows) with so_far: all different rows of utterances up to each, over all documents in order.
+
+    Utterances are numbered over ranges; each row's first number is found by a sum; lists of new rows then run on over blocks of
+    utterances, and a block starts with all that blocks before it found.
+    """
+    from .runs import BLOCK, ranked
+
+    n = ranked(x.withColumn("__o", F.struct("doc_id", "utt_no")), "__o", "__n").drop("__o")
+    kind = "array<struct<semtype:string,term:string,concept:string>>"
+    first = n.select("__n", F.explode("rows").alias("r")).groupBy("r").agg(F.min("__n").alias("f"))
+    new = first.groupBy("f").agg(F.collect_list("r").alias("new"))
+    y = n.join(new, F.col("__n") == F.col("f"), "left").withColumn("__b", F.floor(F.col("__n") / BLOCK))
+    w = Window.partitionBy("__b").orderBy("__n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = first.groupBy(F.floor(F.col("f") / BLOCK).alias("b")).agg(F.collect_list("r").alias("all"))
+    blocks = y.select(F.col("__b").alias("b")).distinct().join(found, "b", "left").select(F.col("b").alias("__q"), F.flatten(F.collect_list("all").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1))).alias("__before"))
+    own = F.flatten(F.collect_list("new").over(w))
+    y = y.withColumn("own", own).join(blocks, F.col("__b") == F.col("__q"))
+    return y.withColumn("so_far", F.array_sort(F.concat(F.coalesce("__before", F.array().cast(kind)), "own"))).drop("__n", "__b", "f", "new", "__q", "__before", "own")
 
 
 def phrase_coverage(u: DataFrame) -> DataFrame:
-    """(label, no, covered, words): words of a phrase that its first mapping's candidates cover."""
+    """(label, no, covered, words): positions of a phrase that the match maps of its first mapping's candidates name, and its words.
+
+    Positions count once for each candidate that has them; more of them than words raise an error.
+    """
     m = F.get("mappings", F.lit(0))["evs"]
-    covered = F.coalesce(F.aggregate(m, F.lit(0), lambda a, e: a + F.size(e["meta_words"])), F.lit(0))
-    return phrases(u).select("label", "no", covered.alias("covered"), F.size("items").alias("words"))
+    each = lambda e: F.aggregate(e["match_map"], F.lit(0), lambda a, s: a + s["p2"] - s["p1"] + 1)
+    covered, words = F.coalesce(F.aggregate(m, F.lit(0), lambda a, e: a + each(e)), F.lit(0)), F.size(phrase_words(F.col("items")))
+    wrong = F.raise_error(F.concat(F.lit("match maps name more words than there are in a phrase of "), "label")).cast("int")
+    return phrases(u).select("label", "no", F.when(covered <= words, covered).otherwise(wrong).alias("covered"), words.alias("words"))
 
 
 def integrity_errors(u: DataFrame) -> DataFrame:

@@ -117,7 +117,7 @@ def specificity(mapped: DataFrame, codes: DataFrame, keys: tuple[str, ...]) -> D
 
 
 def phrase_specificity(u: DataFrame, codes: DataFrame) -> DataFrame:
-    """(label, no, value): `label|text|confidence|specificity|words|characters` for each phrase of annotated utterances.
+    """(doc_id, utt_no, label, no, value): `label|text|confidence|specificity|words|characters` for each phrase of annotated utterances.
 
     Confidence is the first mapping's score, specificity the depth of the deepest code of any mapped concept, 0 without one; words
     are what blanks separate.
@@ -131,4 +131,4 @@ def phrase_specificity(u: DataFrame, codes: DataFrame) -> DataFrame:
     x = ph.join(by, same, "left")
     confidence = F.coalesce(-F.get("mappings", F.lit(0))["neg_score"], F.lit(0))
     words = F.size(F.filter(F.split("text", " "), lambda w: w != ""))
-    return x.select("label", "no", F.concat_ws("|", "label", "text", confidence, F.coalesce("specificity", F.lit(0)), words, F.length("text")).alias("value"))
+    return x.select(*KEYS, "no", F.concat_ws("|", "label", "text", confidence, F.coalesce("specificity", F.lit(0)), words, F.length("text")).alias("value"))

@@ -576,83 +576,83 @@ def a16_composite_phrase(spark, sf):
 
 @query(AN + "SELECT label || '|' || text AS value FROM u0")
 def r1_label_text(spark, sf):
-    return A.label_text(V.utterances(spark, sf))
+    return A.label_text(V.utterances(spark, sf)).select("value")
 
 
 @query(AN + "SELECT 'Processing ' || label || ': ' || text AS value FROM u0")
 def r2_heading(spark, sf):
-    return A.headed(V.utterances(spark, sf))
+    return A.headed(V.utterances(spark, sf)).select("value")
 
 
 @query(AN + """SELECT label || '|UTTERANCE|' || text AS value FROM u0 UNION ALL SELECT label || '|PHRASE|' || text FROM ph UNION ALL
 SELECT concat_ws('|', ca.label, mp.i, mp.n, -mp.neg_score, ca.cui, ca.w, ca.pn, '[' || ca.st || ']', '[' || (position(ca.w IN lower(ca.text)) - 1) || '/' || length(ca.w) || ']') FROM ca JOIN mp USING (doc_id, utt_no, no, k)""")
 def r3_mapping_summary(spark, sf):
-    return A.mapping_summary(V.utterances(spark, sf))
+    return A.mapping_summary(V.utterances(spark, sf)).select("value")
 
 
 @query(AN + "SELECT label || '|' || string_agg(pn, ' AND ' ORDER BY cn) AS value FROM ca GROUP BY doc_id, utt_no, label, no, k")
 def r3b_concepts_joined(spark, sf):
-    return A.concepts_joined(V.utterances(spark, sf))
+    return A.concepts_joined(V.utterances(spark, sf)).select("value")
 
 
 @query(AN + "SELECT concat_ws('|', w, w, utt, label, '') AS value FROM it WHERE category = 'not_in_lex'")
 def r4_not_in_lex(spark, sf):
-    return A.not_in_lexicon(V.utterances(spark, sf))
+    return A.not_in_lexicon(V.utterances(spark, sf)).select("value")
 
 
 @query(AN + "SELECT category || ':[' || w || ']' AS value FROM it")
 def r5_syntax(spark, sf):
-    return A.syntax(V.utterances(spark, sf))
+    return A.syntax(V.utterances(spark, sf)).select("value")
 
 
 @query(AN + "SELECT string_agg(category, '|' ORDER BY pos) || ':' || text AS value FROM it GROUP BY doc_id, utt_no, no, text")
 def r6_syntactic_pattern(spark, sf):
-    return A.syntactic_pattern(V.utterances(spark, sf), with_text=True)
+    return A.syntactic_pattern(V.utterances(spark, sf), with_text=True).select("value")
 
 
 @query(AN + ", t AS (SELECT doc_id, utt_no, no, string_agg(category, ',' ORDER BY pos) AS tags FROM it GROUP BY ALL) SELECT lower(pc.text) || '|[' || coalesce(tags, '') || ']' AS value FROM pc LEFT JOIN t USING (doc_id, utt_no, no) WHERE nc = 0")
 def r7_potential_stop_phrase(spark, sf):
-    return A.potential_stop_phrases(V.utterances(spark, sf))
+    return A.potential_stop_phrases(V.utterances(spark, sf)).select("value")
 
 
 @query(AN + "SELECT lower(text) AS value FROM ph")
 def r8_phrase(spark, sf):
-    return A.phrase_texts(V.utterances(spark, sf))
+    return A.phrase_texts(V.utterances(spark, sf)).select("value")
 
 
 @query(AN + "SELECT '[' || w || ']|[' || lex || ']|' || category || '([lexmatch([' || lex || ']),inputmatch([' || w || ']),tokens([' || w || '])])|' || text AS value FROM it WHERE w <> lex")
 def r10_match_diffs(spark, sf):
-    return A.match_differences(V.utterances(spark, sf))
+    return A.match_differences(V.utterances(spark, sf)).select("value")
 
 
-@query(AN + "SELECT label || '|' || no || '|' || nc AS value FROM pc")
+@query(AN + "SELECT CAST(nc AS VARCHAR) AS value FROM pc")
 def r11_candidate_count(spark, sf):
-    return A.candidate_counts(V.utterances(spark, sf))
+    return A.candidate_counts(V.utterances(spark, sf)).select("value")
 
 
 @query(AN + "SELECT concat_ws('|', pn, w, '[' || w || ']', label) AS value FROM ca")
 def r12_candidate_text(spark, sf):
-    return A.candidate_texts(V.utterances(spark, sf))
+    return A.candidate_texts(V.utterances(spark, sf)).select("value")
 
 
 @query(AN + "SELECT concat_ws('|', pn, w, '[' || w || ']', label) AS value FROM ca")
 def r13_mapping_text(spark, sf):
-    return A.mapping_texts(V.utterances(spark, sf))
+    return A.mapping_texts(V.utterances(spark, sf)).select("value")
 
 
 @query(AN + "SELECT concat_ws('|', pn, w, '[' || w || ']', ca.label) AS value FROM ca JOIN pc USING (doc_id, utt_no, no) WHERE nm = 1")
 def r14_unique_mapping_text(spark, sf):
-    return A.mapping_texts(V.utterances(spark, sf), unique=True)
+    return A.mapping_texts(V.utterances(spark, sf), unique=True).select("value")
 
 
-@query(AN + "SELECT label || '|' || no || '|' || nm AS value FROM pc")
+@query(AN + "SELECT CAST(nm AS VARCHAR) AS value FROM pc")
 def r15_mapping_count(spark, sf):
-    return A.mapping_counts(V.utterances(spark, sf))
+    return A.mapping_counts(V.utterances(spark, sf)).select("value")
 
 
 @query(AN + "SELECT label || '|' || text AS value FROM pc WHERE nc > 0 AND nm = 0")
 def r16_odd_mapping(spark, sf):
-    return A.odd_mappings(V.utterances(spark, sf))
+    return A.odd_mappings(V.utterances(spark, sf)).select("value")
 
 
 NAMES = {"dsyn": "Disease or Syndrome", "fndg": "Finding"}
@@ -664,11 +664,11 @@ EVAL = f"lpad(CAST(-neg AS VARCHAR), 6, ' ') || ' ' || cui || ':' || CASE WHEN w
 cl AS (SELECT doc_id, utt_no, no, count(*) AS n, string_agg(line, chr(10) ORDER BY cn) FILTER (cn <= 10) AS ls FROM e GROUP BY ALL),
 m1 AS (SELECT e.doc_id, e.utt_no, e.no, mp.i, 'Meta Mapping (' || (-mp.neg_score) || '):' || chr(10) || string_agg(line, chr(10) ORDER BY cn) AS b FROM e JOIN mp USING (doc_id, utt_no, no, k) GROUP BY e.doc_id, e.utt_no, e.no, mp.i, mp.neg_score),
 ml AS (SELECT doc_id, utt_no, no, string_agg(b, chr(10) ORDER BY i) AS bs FROM m1 GROUP BY ALL)
-SELECT ph.label, ph.no::INT AS no, concat_ws(chr(10), 'Phrase: "' || ph.text || '"', 'Meta Candidates (Total=' || cl.n || '; Excluded=0; Pruned=0; Remaining=' || cl.n || '):', ls,
+SELECT ph.label, ph.no::INT AS no, concat_ws(chr(10), chr(10) || 'Phrase: "' || ph.text || '"', 'Meta Candidates (Total=' || cl.n || '; Excluded=0; Pruned=0; Remaining=' || cl.n || '):', ls,
   CASE WHEN cl.n > 10 THEN '     [' || (cl.n - 10) || ' candidates were not printed]' END, coalesce(bs, 'Meta Mapping: <none>')) AS value
 FROM ph LEFT JOIN cl USING (doc_id, utt_no, no) LEFT JOIN ml USING (doc_id, utt_no, no)""")
 def r17_phrase_report(spark, sf):
-    return A.phrase_report(V.utterances(spark, sf), names=NAMES, truncate=True)
+    return A.phrase_report(V.utterances(spark, sf), names=NAMES, truncate=True).select("label", "no", "value")
 
 
 BLOCK = """string_agg(CASE WHEN st IS DISTINCT FROM before THEN chr(10) || {name} || ' (' || st || '):' || chr(10) ELSE '' END || '  ' || w || CASE WHEN w = pn THEN '' ELSE ' (' || pn || ')' END || chr(10), '' ORDER BY {order})""".replace("{name}", NAME.format("'<unknown>'"))
@@ -769,7 +769,7 @@ def s15_candidates(spark, sf):
 
 @query(AN + "SELECT concat_ws('|', pn, w, '[' || w || ']', label) AS value FROM ca")
 def s11_report_from_terms(spark, sf):
-    return A.candidate_texts(A2.parse_blocks(_blocks(spark, sf)))
+    return A.candidate_texts(A2.parse_blocks(_blocks(spark, sf))).select("value")
 
 
 def queries() -> dict:

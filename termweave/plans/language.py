@@ -129,7 +129,7 @@ def a17_mapping_specificity(spark, sf):
        "FROM ph LEFT JOIN d USING (doc_id, utt_no, no) LEFT JOIN mp ON mp.doc_id = ph.doc_id AND mp.utt_no = ph.utt_no AND mp.no = ph.no AND mp.i = 1")
 def r20_phrase_specificity(spark, sf):
     u = V.utterances(spark, sf)
-    return TR.phrase_specificity(u, _codes(u))
+    return TR.phrase_specificity(u, _codes(u)).select("label", "no", "value")
 
 
 @query(f"{AN}, {CODES}, c AS (SELECT DISTINCT code FROM codes), p AS (SELECT code, array_to_string(string_split(code, '.')[1:n], '.') AS up, n FROM (SELECT code, unnest(range(1, len(string_split(code, '.')))) AS n FROM c)), "

@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from ..operators.annotations import PHRASE
 
-TOKEN = re.compile(r"""\s*(?:(?P<quoted>'(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.|"")*")|(?P<number>-?\d+(?:\.\d+)?)|(?P<name>[^\W\d]\w*|[^\s\w\[\](),|'"]+)|(?P<mark>[\[\](),|]))""", re.DOTALL)
+#: Quoted text or a name, and whether a bracket touches it; a number; a mark; anything else.
+TOKEN = re.compile(r"""\s*(?:(?:('(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.|"")*")|(-?\d+(?:\.\d+)?)(?!\w)|([^\W\d]\w*|[^\s\w\[\](),|'"]+))(\()?|([\[\](),|])|(\S))""", re.DOTALL)
 HEADER = "struct<args:string,aas:string,neg_list:string>"
-PARSED = f"path string, seq long, starts boolean, ends boolean, header {HEADER}, label string, text string, pos struct<start:int,length:int>, phrases array<{PHRASE}>"
+PARSED = f"path string, piece long, seq long, doc long, utt long, starts boolean, ends boolean, header {HEADER}, label string, text string, pos struct<start:int,length:int>, phrases array<{PHRASE}>"
 
 
 class TermError(ValueError):
@@ -25,75 +26,80 @@ class TermError(ValueError):
 
 
 class Terms:
-    """Reads terms from a string: (name, [arguments]) for compounds, lists, str for atoms and strings, int or float for numbers."""
+    """Reads terms from a string: (name, [arguments]) for compounds, lists, str for atoms and strings, int or float for numbers.
 
-    def __init__(self, source: str):
-        self.source, self.at = source, 0
+    The string is cut into tokens once.  A name and the bracket of its arguments touch.
+    """
 
-    def peek(self):
-        m = TOKEN.match(self.source, self.at)
-        if m is None and self.source[self.at :].strip():
-            raise TermError(f"not a term: {self.source[self.at : self.at + 60]!r}")
-        return m
+    def __init__(self, source: str):
+        self.at, self.tokens = 0, TOKEN.findall(source)
 
-    def take(self):
-        m = self.peek()
-        if m is None:
-            raise TermError(f"input ends within a term: {self.source[-60:]!r}")
-        self.at = m.end()
-        return m
+    def near(self) -> str:
+        """What stands here, for an error."""
+        return repr("".join("".join(t) for t in self.tokens[self.at : self.at + 20])[:60]) if self.at < len(self.tokens) else "the end of input"
 
     def next(self):
         """The next term, None at the end of input."""
-        if self.peek() is None:
+        if self.at == len(self.tokens):
             return None
         term = self.value()
-        m = self.take()
-        if m["name"] != ".":
-            raise TermError(f"a term must end with a full stop, found {m[0].strip()!r} after {str(term)[:60]}")
+        if self.at == len(self.tokens):
+            raise TermError(f"input ends within a term: {str(term)[-60:]!r}")
+        if self.tokens[self.at][2] != ".":
+            raise TermError(f"a term must end with a full stop, found {self.near()} after {str(term)[:60]}")
+        self.at += 1
         return term
 
     def value(self):
-        left = self.primary()
-        while (m := self.peek()) is not None and m["name"] in ("/", ":", "-"):
-            self.take()
-            left = (m["name"], [left, self.primary()])
+        left, tokens = self.primary(), self.tokens
+        while self.at < len(tokens) and (op := tokens[self.at][2]) in ("/", ":", "-") and op:
+            self.at += 1
+            left = (op, [left, self.primary()])
         return left
 
     def primary(self):
-        m = self.take()
-        if m["quoted"]:
-            q = m["quoted"]
-            text = re.sub(r"\\(.)", r"\1", q[1:-1].replace(q[0] * 2, q[0]), flags=re.DOTALL)
-            return self.arguments(text) if q[0] == "'" else text
-        if m["number"]:
-            return float(m["number"]) if "." in m["number"] else int(m["number"])
-        if m["mark"] == "[":
+        if self.at == len(self.tokens):
+            raise TermError("input ends within a term")
+        quoted, number, name, bracket, mark, _ = self.tokens[self.at]
+        self.at += 1
+        if mark == "[":
             return self.items("]")
-        if m["mark"] == "(":
+        if name and name != ".":
+            return (name, self.items(")")) if bracket else name
+        if number:
+            if not bracket:
+                return float(number) if "." in number else int(number)
+        elif quoted:
+            q, text = quoted[0], quoted[1:-1]
+            if q in text:
+                text = text.replace(q * 2, q)
+            if "\\" in text:
+                text = re.sub(r"\\(.)", r"\1", text, flags=re.DOTALL)
+            if not bracket:
+                return text
+            if q == "'":
+                return (text, self.items(")"))
+        elif mark == "(":
             return self.items(")")[0]
-        if m["mark"] or m["name"] == ".":
-            raise TermError(f"not a term: {m[0].strip()!r} before {self.source[self.at : self.at + 60]!r}")
-        return self.arguments(m["name"])
-
-    def arguments(self, name: str):
-        if self.source.startswith("(", self.at):
-            self.at += 1
-            return (name, self.items(")"))
-        return name
+        self.at -= 1
+        raise TermError(f"not a term: {self.near()}")
 
     def items(self, close: str) -> list:
-        out = []
-        if (m := self.peek()) is not None and m["mark"] == close:
-            self.take()
+        out, tokens, n = [], self.tokens, len(self.tokens)
+        if self.at < n and tokens[self.at][4] == close:
+            self.at += 1
             return out
         while True:
             out.append(self.value())
-            m = self.take()
-            if m["mark"] == close:
+            if self.at == n:
+                raise TermError("input ends within a term")
+            mark = tokens[self.at][4]
+            if mark == close:
+                self.at += 1
                 return out
-            if m["mark"] not in (",", "|"):
-                raise TermError(f"expected , or {close}, found {m[0].strip()!r}")
+            if mark != "," and mark != "|":
+                raise TermError(f"expected , or {close}, found {self.near()}")
+            self.at += 1
 
 
 def expect(term, name: str, *arity: int):
@@ -152,6 +158,8 @@ def parse_block(value: str) -> dict | None:
         aas, neg = expect(terms.next(), "aas", 1), expect(terms.next(), "neg_list", 1)
         out |= {"starts": True, "header": {"args": show(args), "aas": show(aas[0]), "neg_list": show(neg[0])}}
         term = terms.next()
+        while term == "EOT":
+            term = terms.next()
         if term is None:
             return out | {"label": None, "text": None, "pos": None, "phrases": None}
     label, text, pos, _ = expect(term, "utterance", 4)
@@ -169,13 +177,48 @@ def parse_block(value: str) -> dict | None:
     return out
 
 
-def parse_blocks(blocks: DataFrame) -> DataFrame:
-    """blocks: (path, seq, value), a row an utterance with what comes before it.  Adds doc_no and utt_no to the columns of PARSED, and doc_id, the label up to its first full stop.
+#: What shows that a block begins a document, and that it holds an utterance, before it is parsed.
+STARTS = r"^\s*(?:'?EOT'?\s*[.]\s*)*'?args'?[(]"
+SAID = r"(?m)^\s*'?utterance'?[(]"
+#: Pieces of files whose document numbers are broadcast; beyond it they are joined.
+BROADCAST_PIECES = 200_000
+
+
+def _numbers_before(blocks: DataFrame) -> DataFrame:
+    """(path, piece, earlier, docs, utts): documents of the paths before this one in order, those of a path begun before a piece, and
+    utterances since the last of them began.  What stands before a path's first header is a document too.
 
-    Terms are parsed on the executors; documents are numbered over seq, which moves no annotation.  A malformed term fails the
-    query with TermError and the place.  Blocks with nothing but an end of document go.
+    blocks lie in pieces, in order within each; a piece gives one row, and only those rows are put in order by path.
     """
 
+    def tally(batches):
+        import pyarrow as pa
+
+        seen: dict = {}
+        for b in batches:
+            for path, piece, starts, said in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                docs, utts, lead = seen.get((path, piece), (0, 0, 0))
+                seen[path, piece] = (docs + starts, (0 if starts else utts) + said, lead + (said if docs + starts == 0 else 0))
+        columns = list(zip(*[(*k, *c) for k, c in seen.items()], strict=True)) or [()] * 5
+        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), *[pa.array(c, pa.int64()) for c in columns[1:]]], names=["path", "piece", "n", "tail", "lead"])
+
+    starts, said = F.regexp_like("value", F.lit(STARTS)).cast("int"), F.regexp_like("value", F.lit(SAID)).cast("int")
+    x = blocks.select("path", "piece", starts.alias("starts"), said.alias("said")).mapInArrow(tally, "path string, piece long, n long, tail long, lead long")
+    before = Window.partitionBy("path").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    x = x.withColumn("docs", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    # Utterances since the last piece in which a document begins, and those of all pieces after it.
+    group = Window.partitionBy("path", "from").orderBy("piece").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    x = x.withColumn("from", F.max(F.when(F.col("n") > 0, F.col("piece"))).over(before.rowsBetween(Window.unboundedPreceding, Window.currentRow))).withColumn("sofar", F.sum("tail").over(group))
+    w = Window.partitionBy("path").orderBy("piece")
+    x = x.select("path", "piece", "docs", "n", F.when(F.col("docs") == 0, F.col("lead")).alias("lead"), F.coalesce(F.lag("sofar").over(w), F.lit(0)).alias("utts"))
+    files = x.groupBy("path").agg((F.max("lead") > 0).cast("long").alias("lead"), F.sum("n").alias("n"))
+    order = Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1)  # a row a file
+    files = files.select(F.col("path").alias("f"), (F.coalesce(F.sum(F.col("n") + F.col("lead")).over(order), F.lit(0)) + F.col("lead")).alias("earlier"))
+    return x.join(files, F.col("path") == F.col("f")).select("path", "piece", "earlier", "docs", "utts")
+
+
+def _parsed(blocks: DataFrame) -> DataFrame:
+    """blocks (path, piece, seq, value), in order within their pieces, parsed where they lie: each once."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     schema = to_arrow_schema(blocks.sparkSession.createDataFrame([], PARSED).schema)
@@ -183,28 +226,62 @@ def parse_blocks(blocks: DataFrame) -> DataFrame:
     def parse(batches):
         import pyarrow as pa
 
+        at, doc, utt = None, 0, 0
         for b in batches:
-            rows = []
-            for path, seq, value in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                try:
-                    one = parse_block(value)
-                except (TermError, ValueError, TypeError, IndexError, KeyError) as e:
-                    raise TermError(f"{path}, block {seq}: {e}") from e
-                if one:
-                    rows.append({"path": path, "seq": seq, **one})
-            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+            for i in range(0, b.num_rows, 256):
+                rows = []
+                for path, piece, seq, value, starts, said in zip(*(c.to_pylist() for c in b.slice(i, 256).columns), strict=True):
+                    if (path, piece) != at:
+                        at, doc, utt = (path, piece), 0, 0
+                    try:
+                        one = parse_block(value)
+                        if bool(one and one["starts"]) != bool(starts) or bool(one and one["label"] is not None) != bool(said):
+                            raise TermError("a term of another name begins a line of a quoted text, or lacks its line")
+                    except (TermError, ValueError, TypeError, IndexError, KeyError) as e:
+                        raise TermError(f"{path}, block {seq}: {e}") from e
+                    if starts:
+                        doc, utt = doc + 1, 0
+                    utt += said
+                    if one:
+                        rows.append({"path": path, "piece": piece, "seq": seq, "doc": doc, "utt": utt, **one})
+                yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+    return blocks.select("path", "piece", "seq", "value", F.regexp_like("value", F.lit(STARTS)).cast("int").alias("starts"), F.regexp_like("value", F.lit(SAID)).cast("int").alias("said")).mapInArrow(parse, PARSED)
+
+
+def _numbered(blocks: DataFrame) -> DataFrame:
+    from ..operators.steps import written
+
+    before = written(_numbers_before(blocks)).select(F.col("path").alias("p"), F.col("piece").alias("c"), "earlier", "docs", "utts")
+    x = _parsed(blocks).join(F.broadcast(before) if before.count() <= BROADCAST_PIECES else before, (F.col("path") == F.col("p")) & (F.col("piece") == F.col("c")))
+    utt = F.col("utt") + F.when(F.col("doc") == 0, F.col("utts")).otherwise(F.lit(0))
+    return x.withColumn("doc_no", F.col("docs") + F.col("doc")).withColumn("doc_ord", F.col("earlier") + F.col("doc_no")).withColumn("utt_no", utt).withColumn("doc_id", F.substring_index("label", ".", 1)).drop("p", "c", "piece", "earlier", "docs", "utts", "doc", "utt", "ends")
+
+
+def parse_blocks(blocks: DataFrame, partitions: int | None = None) -> DataFrame:
+    """blocks: (path, seq, value), a row an utterance with what comes before it.  Adds to the columns of PARSED: doc_no and utt_no within the path, doc_ord, a document's number over all paths in order, and doc_id, the label up to its first full stop.
+
+    Blocks are sorted in ranges of (path, seq) and written once; documents are numbered by a row for each range, so a long file is
+    in no task as a whole, and every block is parsed once, on the executors.  A malformed term fails the query with TermError and the
+    place.  Blocks with nothing but an end of document go.
+    """
+    from ..operators.steps import written
+
+    n = partitions or int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    x = blocks.select("path", "seq", "value").repartitionByRange(n, "path", "seq").sortWithinPartitions("path", "seq")
+    return _numbered(written(x.select("path", F.spark_partition_id().cast("long").alias("piece"), "seq", "value")))
 
-    x = blocks.select("path", "seq", "value").mapInArrow(parse, PARSED)
-    slim = x.select(F.col("path").alias("p"), F.col("seq").alias("s"), "starts", F.col("label").isNotNull().alias("said"))
-    slim = slim.withColumn("doc_no", F.sum(F.col("starts").cast("int")).over(Window.partitionBy("p").orderBy("s")))
-    slim = slim.withColumn("utt_no", F.sum(F.col("said").cast("int")).over(Window.partitionBy("p", "doc_no").orderBy("s"))).drop("starts", "said")
-    return x.join(slim, (F.col("path") == F.col("p")) & (F.col("seq") == F.col("s"))).drop("p", "s", "ends").withColumn("doc_id", F.substring_index("label", ".", 1))
 
+def read_annotated(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """parse_blocks over files: a file is cut at the ends of utterances where Spark splits it, and nothing is sorted or shuffled.
 
-def read_annotated(spark: SparkSession, path: str) -> DataFrame:
-    """parse_blocks over files: a file is cut at the ends of utterances, so one large file is read by many tasks."""
-    x = spark.read.option("lineSep", "\n'EOU'.\n").text(path).select(F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("seq"), "value")
-    return parse_blocks(x.where(F.trim(F.regexp_replace("value", r"\s+", " ")) != ""))
+    doc_no counts the documents of a file, doc_ord those of all files in the order of their paths.  A path given twice is read once.
+    """
+    path = list(dict.fromkeys([path] if isinstance(path, str) else path))
+    x = spark.read.option("lineSep", "\n'EOU'.\n").text(path)
+    # Ids grow along a file and its splits; a split is a piece.
+    x = x.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("piece"), F.monotonically_increasing_id().alias("seq"), "value")
+    return _numbered(x.where(F.trim(F.regexp_replace("value", r"\s+", " ")) != ""))
 
 
 def _atom(x: Column) -> Column:
@@ -233,6 +310,16 @@ def item_text(i: Column, atom=lambda w: w) -> Column:
     return F.concat(i["category"], F.lit("(["), F.concat_ws(",", words("lexmatch"), words("inputmatch"), part("tag", i["tag"]), part("tokens", _list(i["tokens"], atom))), F.lit("])"))
 
 
+def items_text(items: Column) -> Column:
+    """A phrase's items as a list of terms."""
+    return _list(items, lambda i: item_text(i, _atom))
+
+
+def evs_text(cands: Column) -> Column:
+    """Candidates as a list of terms."""
+    return _list(cands, _ev)
+
+
 def term_lines(u: DataFrame) -> DataFrame:
     """(doc_id, utt_no, value): each utterance as its lines of terms, header terms before a document's first one; what parse_blocks reads."""
     first = F.col("utt_no") == F.min("utt_no").over(Window.partitionBy("doc_id"))

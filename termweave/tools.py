@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from .operators import annotations as A
 from .operators import profiles as P
 from .operators import termfilter as TF
+from .operators import terminput as TI
+from .operators import trees as TR
 from .operators import variants as VA
 from .operators import wordindex as W
 from .functions import text as T
@@ -92,55 +94,78 @@ REPORTS = {
     "label_text_field_dump": A.label_text, "mapping_summary_dump": A.mapping_summary, "not_in_lex_dump": A.not_in_lexicon, "syntax_dump": A.syntax, "syntactic_pattern_dump": A.syntactic_pattern, "potential_stopphrase_dump": A.potential_stop_phrases,
     "phrase_dump": A.phrase_texts, "inputmatch_lexmatch_dump": A.match_differences, "candidate_count_dump": A.candidate_counts, "candidate_text_dump": A.candidate_texts, "mapping_text_dump": A.mapping_texts, "mapping_count_dump": A.mapping_counts, "odd_mapping_dump": A.odd_mappings,
 }
+LAST = (1 << 63) - 1
 
 
 def print_annotated(
     spark: SparkSession, infile: str, outfile: str | None = None, report: str = "default", format: str = "text", stop_phrase_file: str | None = None, alnum_filter: bool = False, filter_out_01: bool = False, null_only: bool = False, non_null_only: bool = False,
-    threshold: int | None = None, truncate_output: bool = False, show_cuis: bool = False, show_preferred_names_only: bool = False, semantic_types: bool = False, with_text: bool = False, first_mappings_only: bool = False, candidates: bool = True, mappings: bool = True, one_file: bool = False,
+    threshold: int | None = None, truncate_output: bool = False, show_cuis: bool = False, show_preferred_names_only: bool = False, semantic_types: bool = False, with_text: bool = False, first_mappings_only: bool = False, simple_syntax: bool = True, syntax: bool = False, candidates: bool = True, mappings: bool = True, one_file: bool = False,
+    whole_input_union: bool = False, code_file: str | None = None, concept_file: str | None = None,
 ) -> None:
     """A file of annotation terms to a report; XML and JSON take its place where asked for.
 
-    report: an option of REPORTS, unique_mapping_text_dump, prepositional_phrase_dump, organize_semantic_types, documents (`PMID n: id`
-    lines), or default: a heading and the phrases of each utterance.
+    report: an option of REPORTS, unique_mapping_text_dump, prepositional_phrase_dump, organize_semantic_types, non_monotonic_mapping_dump,
+    phrase_specificity_dump (code_file: lines cui|code), filter_for_meta or filter_for_meta_with_sy_id (concept_file: lines cui|name),
+    documents (`PMID n: id` lines), or default: a heading and the phrases of each utterance.  infile may name several files, by commas,
+    folders or patterns: documents are numbered on over them in the order of their paths.  An empty line follows each utterance, save
+    in the reports label_text_field_dump and documents.  whole_input_union has organize_semantic_types gather over all documents.
     """
-    u = read_annotated(spark, infile)
     outfile = outfile or f"{infile}.out"
+    u = read_annotated(spark, infile.split(","))
     u = A.alnum_only(u) if alnum_filter else u
     u = A.drop_trivial(u) if filter_out_01 else u
     u = A.with_null(u) if null_only else u
     u = A.with_candidates(u) if non_null_only else u
-    # Sorted once; what follows keeps the order of rows, save where it is sorted again.
-    u = u.where("label is not null").withColumn("doc_id", F.col("doc_no")).orderBy("path", "doc_no", "utt_no")
-    if format == "json":
-        return _write(A.to_json(u), outfile, "doc_id", one_file=one_file)
-    if format == "xml":
-        body = A.to_xml(u).select(F.struct("doc_id", "utt_no").alias("ord"), "value")
-        line = lambda text: spark.range(1).select(F.lit(0).alias("ord"), F.lit(text).alias("value"))
-        return _write_sections(outfile, line(A.XML_HEADER), body, line(A.XML_FOOTER), end=False, one_file=one_file)
-    if report == "documents":
-        x = u.select("doc_no", F.concat(F.lit("PMID "), "doc_no", F.lit(": "), F.substring_index("label", ".", 1)).alias("value")).distinct()
-        return _write(x, outfile, "doc_no", one_file=one_file)
+    # A document is known by its number over all files; sorted once, what follows keeps the order of rows.
+    u = u.where("label is not null").withColumn("id", F.col("doc_id")).withColumn("doc_id", F.col("doc_ord")).orderBy("doc_id", "utt_no").persist()
+    try:
+        if format == "json":
+            return _write(A.to_json(u), outfile, "doc_id", one_file=one_file)
+        if format == "xml":
+            body = A.to_xml(u).select(F.struct("doc_id", "utt_no").alias("ord"), "value")
+            line = lambda text: spark.range(1).select(F.lit(0).alias("ord"), F.lit(text).alias("value"))
+            return _write_sections(outfile, line(A.XML_HEADER), body, line(A.XML_FOOTER), end=False, one_file=one_file)
+        if report == "documents":
+            x = u.select("doc_id", F.concat(F.lit("PMID "), "doc_id", F.lit(": "), "id").alias("value")).dropDuplicates(["doc_id"])
+            return _write(x, outfile, "doc_id", one_file=one_file)
+        x = _report_lines(spark, u, report, stop_phrase_file, threshold, truncate_output, show_cuis, show_preferred_names_only, semantic_types, with_text, first_mappings_only, simple_syntax, syntax, candidates, mappings, whole_input_union, code_file, concept_file)
+        if report != "label_text_field_dump":
+            x = x.unionByName(u.select("doc_id", "utt_no", F.lit(LAST).alias("at"), F.lit("").alias("value")))
+        return _write(x, outfile, "doc_id", "utt_no", "at", one_file=one_file)
+    finally:
+        u.unpersist()
+
+
+def _report_lines(spark, u, report, stop_phrase_file, threshold, truncate, show_cuis, preferred_only, semantic_types, with_text, first_only, simple_syntax, syntax, candidates, mappings, whole_input_union, code_file, concept_file) -> DataFrame:
+    """(doc_id, utt_no, at, value): a report's lines, by their places within utterances."""
+    placed = lambda x, at=None: x.select("doc_id", "utt_no", (F.monotonically_increasing_id() if at is None else at).alias("at"), "value")
+    long = lambda c: F.col(c).cast("long")
+    cut = lambda path, *names: spark.read.text(path).select(F.split("value", "[|]", 2).alias("f")).select(*[F.get("f", F.lit(i)).alias(n) for i, n in enumerate(names)])
     if report == "prepositional_phrase_dump":
-        return _write(A.composite_phrases(u), outfile, "doc_id", "utt_no", "island", one_file=one_file)
+        return placed(A.composite_phrases(u), long("island"))
     if report == "organize_semantic_types":
-        x = A.organized_types(u, first_only=first_mappings_only).select("doc_id", "utt_no", F.concat("value", "combined").alias("value"))
-        return _write(x, outfile, "doc_id", "utt_no", one_file=one_file)
+        x = A.organized_types(u, first_only=first_only, over="all" if whole_input_union else "doc_id")
+        return placed(x.withColumn("value", F.concat("value", "combined")), F.lit(0).cast("long"))
+    if report == "non_monotonic_mapping_dump":
+        return placed(A.non_monotonic(u), long("no"))
+    if report == "phrase_specificity_dump":
+        return placed(TR.phrase_specificity(u, cut(code_file, "cui", "code")), long("no"))
+    if report in ("filter_for_meta", "filter_for_meta_with_sy_id"):
+        stop = R.read_stop_phrases(spark, stop_phrase_file) if stop_phrase_file else None
+        return placed(TI.filtered_for_input(u, cut(concept_file, "cui", "name"), report == "filter_for_meta_with_sy_id", threshold, stop), long("no"))
     if report == "unique_mapping_text_dump":
-        return _write(A.mapping_texts(u, unique=True), outfile, one_file=one_file)
+        return placed(A.mapping_texts(u, unique=True))
     if report == "syntactic_pattern_dump":
-        return _write(A.syntactic_pattern(u, with_text), outfile, one_file=one_file)
+        return placed(A.syntactic_pattern(u, with_text))
     if report == "mapping_summary_dump":
-        return _write(A.mapping_summary(u, first_mappings_only), outfile, one_file=one_file)
+        return placed(A.mapping_summary(u, first_only))
     if report in REPORTS:
-        return _write(REPORTS[report](u), outfile, one_file=one_file)
+        return placed(REPORTS[report](u))
     if report != "default":
         raise ValueError(f"no report {report}")
     stop = R.read_stop_phrases(spark, stop_phrase_file) if stop_phrase_file else None
-    keys = u.select("label", "doc_no", "utt_no")
-    said = u.select("doc_no", "utt_no", F.lit(-1).alias("no"), F.concat(F.lit("Processing "), "label", F.lit(": "), "text").alias("value"))
-    blocks = A.phrase_report(u, candidates, mappings, show_cuis, show_preferred_names_only, semantic_types, None, threshold, truncate_output, stop).withColumnRenamed("label", "l")
-    x = blocks.join(keys, F.col("l") == F.col("label")).select("doc_no", "utt_no", "no", "value")
-    return _write(said.unionByName(x), outfile, "doc_no", "utt_no", "no", one_file=one_file)
+    blocks = A.phrase_report(u, candidates, mappings, show_cuis, preferred_only, semantic_types, None, threshold, truncate, stop, simple_syntax, syntax)
+    return placed(A.headed(u), F.lit(-1).cast("long")).unionByName(placed(blocks, long("no")))
 
 
 def index_vectors(spark: SparkSession, source: str, folder: str) -> None:

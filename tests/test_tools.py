@@ -1,11 +1,13 @@
 """Whole files of the tools, in order, and the reader of annotation terms."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
 from termweave import tools
 from termweave.operators import annotations as A
-from termweave.sources.annotated import TermError, Terms, parse_block, read_annotated, term_lines
+from termweave.sources.annotated import TermError, Terms, parse_block, parse_blocks, read_annotated, term_lines
 
 TERMS = [
     "C0000001|ENG|P|L1|PF|S1|Y|A1||||SRC1|PT|1|Cancer, Lung|0|N||",
@@ -160,7 +162,14 @@ def report(spark, annotated, tmp_path, **how):
 
 
 def test_reports(spark, annotated, tmp_path):
-    get = lambda **how: report(spark, annotated, tmp_path, **how)
+    get = lambda **how: [line for line in report(spark, annotated, tmp_path, **how) if line]
+    whole = lambda **how: report(spark, annotated, tmp_path, **how)
+    # An empty line follows each utterance.
+    assert whole(report="phrase_dump") == ["lung cancer", "in man.", "", "more", "", "last", ""]
+    assert whole(report="candidate_count_dump") == ["2", "0", "", "0", "", "0", ""] and whole(report="mapping_count_dump") == ["3", "0", "", "0", "", "0", ""]
+    assert whole(report="not_in_lex_dump") == ["man|man|lung cancer (a\\b) \"q\" in man|7001.ti.1|", "", "", ""]
+    assert whole(candidates=False, mappings=False, syntax=True)[:6] == ['Processing 7001.ti.1: lung cancer (a\\b) "q" in man', "", 'Phrase: "lung cancer"', "", "msu", "[mod([lexmatch(['lung']),inputmatch(['Lung']),tag(noun),tokens(['lung'])]),head([inputmatch(['cancer']),tokens(['cancer'])])]"]
+    assert whole(candidates=False, mappings=False, simple_syntax=False) == ['Processing 7001.ti.1: lung cancer (a\\b) "q" in man', "", "Processing 7001.ab.1: more", "", "Processing 7002.ti.1: last", ""]
     said = 'lung cancer (a\\b) "q" in man'
     assert get(report="documents") == ["PMID 1: 7001", "PMID 2: 7002"]
     assert get(report="label_text_field_dump") == [f"7001.ti.1|{said}", "7001.ab.1|more", "7002.ti.1|last"]
@@ -178,7 +187,7 @@ def test_reports(spark, annotated, tmp_path):
         'Phrase: "in man."', "Meta Mapping: <none>", "Processing 7001.ab.1: more", "Processing 7002.ti.1: last", 'Phrase: "last"', "Meta Mapping: <none>",
     ]
     assert get(show_preferred_names_only=True, candidates=False, non_null_only=True)[2:4] == ["Meta Mapping (1000):", "  1000 Malignant tumour, it's"]
-    assert get(report="organize_semantic_types", first_mappings_only=True)[:6] == ["", "<unknown> (neop):", "  Lung Cancer (Malignant tumour, it's)", "", "<unknown> (dsyn):", "  Lung Cancer (Malignant tumour, it's)"]
+    assert whole(report="organize_semantic_types", first_mappings_only=True)[:6] == ["", "<unknown> (neop):", "  Lung Cancer (Malignant tumour, it's)", "", "<unknown> (dsyn):", "  Lung Cancer (Malignant tumour, it's)"]
     xml = get(format="xml")
     assert xml[:2] == A.XML_HEADER.split("\n") and xml[-1] == A.XML_FOOTER and len(xml) == 6 and xml[2].startswith("<utterance><label>7001.ti.1</label>")
     assert len(get(format="json")) == 2
@@ -186,6 +195,64 @@ def test_reports(spark, annotated, tmp_path):
         get(report="other")
 
 
+SAMPLE = {
+    **{r: {} for r in tools.REPORTS}, "default": {}, "unique_mapping_text_dump": {}, "prepositional_phrase_dump": {}, "organize_semantic_types": {}, "non_monotonic_mapping_dump": {},
+    "phrase_specificity_dump": {"code_file": "codes"}, "filter_for_meta": {"concept_file": "names"}, "filter_for_meta_with_sy_id": {"concept_file": "names"},
+}
+
+
+@pytest.mark.parametrize("name", sorted(SAMPLE))
+def test_reports_over_two_files(spark, annotated, tmp_path, name):
+    (tmp_path / "codes").write_text("C1|C04.588\nC1|C04.588.33\n")
+    (tmp_path / "names").write_text("C9|Lung cancers\nC1|a name | with a bar\n")
+    how = {"report": name, **{k: str(tmp_path / v) for k, v in SAMPLE[name].items()}}
+    one = report(spark, annotated, tmp_path, **how)
+    (tmp_path / "more").mkdir()
+    for f in ("a", "b"):
+        (tmp_path / "more" / f).write_text(ANNOTATED)
+    assert one and report(spark, str(tmp_path / "more"), tmp_path, **how) == one * 2
+    assert report(spark, f"{annotated},{annotated}", tmp_path, **how) == one
+
+
+def test_documents_of_several_files(spark, annotated, tmp_path):
+    headless = "utterance('9.ti.1',\"x\",0/1,[]).\nphrase(x,[head([tokens([x])])],0/1,[]).\ncandidates(0,0,0,0,[]).\nmappings([]).\n'EOU'.\n"
+    (tmp_path / "in").mkdir()
+    for f, t in (("a", ANNOTATED), ("b", headless + ANNOTATED), ("c", "args(x,[]).\naas([]).\nneg_list([]).\n'EOT'.\n"), ("d", ANNOTATED)):
+        (tmp_path / "in" / f).write_text(t)
+    folder = str(tmp_path / "in")
+    assert report(spark, folder, tmp_path, report="documents") == ["PMID 1: 7001", "PMID 2: 7002", "PMID 3: 9", "PMID 4: 7001", "PMID 5: 7002", "PMID 7: 7001", "PMID 8: 7002"]
+    values = report(spark, folder, tmp_path, format="json")
+    assert [json.loads(v)["doc_id"] for v in values] == [1, 2, 3, 4, 5, 7, 8] and [len(json.loads(v)["utterances"]) for v in values] == [2, 1, 1, 2, 1, 2, 1]
+    xml = report(spark, folder, tmp_path, format="xml")
+    assert sum(x.startswith("<utterance>") for x in xml) == 10
+    union = report(spark, folder, tmp_path, report="organize_semantic_types", whole_input_union=True)
+    assert union.count("  Lung Cancer (Malignant tumour, it's)") == 3 * 6 + 10 * 2  # each utterance's own, and two types in every union
+    own = report(spark, folder, tmp_path, report="organize_semantic_types")
+    assert own.count("  Lung Cancer (Malignant tumour, it's)") == 3 * 6 + 6 * 2
+
+
+def test_pieces_of_a_long_file(spark, tmp_path):
+    with_many = ANNOTATED.replace("'EOT'.\n", "") * 40
+    (tmp_path / "long").write_text(with_many)
+    want = [(r.doc_no, r.utt_no, r.label) for r in read_annotated(spark, str(tmp_path / "long")).orderBy("doc_no", "utt_no").collect()]
+    assert want == [x for d in range(40) for x in ((2 * d + 1, 1, "7001.ti.1"), (2 * d + 1, 2, "7001.ab.1"), (2 * d + 2, 1, "7002.ti.1"))]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        frame = read_annotated(spark, str(tmp_path / "long"))
+        assert frame.rdd.getNumPartitions() > 8
+        assert [(r.doc_no, r.utt_no, r.label) for r in frame.orderBy("doc_no", "utt_no").collect()] == want
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    blocks = spark.createDataFrame([(p, i, b) for p in ("x", "y") for i, b in enumerate(with_many.split("\n'EOU'.\n")[:-1])], "path string, seq long, value string")
+    for n in (1, 7):
+        got = parse_blocks(blocks, n)
+        assert sorted((r.doc_no, r.utt_no, r.label) for r in got.where("path = 'y'").collect()) == want
+        assert [r.doc_ord for r in got.select("doc_ord").distinct().orderBy("doc_ord").collect()] == list(range(1, 161))
+        assert parse_blocks(blocks, n)._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
 def test_types_and_index(spark, tmp_path):
     vec = lambda n: " ".join(str(n if i == 3 else -n if i == 5 else 0) for i in range(129))
     (tmp_path / "vectors").write_text(f"PAIN {vec(9)}\nCHEST {vec(20000)}\nPAIN {vec(50000)}\n")
