@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +14,10 @@ from ..operators import termfilter as TF
 from ..operators import trees as TR
 from ..operators import variants as VA
 from . import views as V
-from .catalog import AN, LONGER, PREPS, _longer, query
+from ..operators.steps import checkpoint_root, written
+from ..sources import annotated as A2
+from ..sources import term_source as TS
+from .catalog import AN, LONGER, PREPS, SAID, _longer, query
 
 # Tagging
 
@@ -137,3 +142,30 @@ def r20_phrase_specificity(spark, sf):
 def a17_nearest_code(spark, sf):
     codes = _codes(V.utterances(spark, sf))
     return TR.nearest_node(codes, "code", codes.select(F.col("code").alias("node")))
+
+
+# Files of terms as a data source
+
+
+def _stored(spark, sf) -> str:
+    """The annotated conversations written as files of terms, a document in one of them."""
+    TS.register(spark)
+    folder = f"{checkpoint_root(spark)}/terms-{uuid.uuid4().hex}"
+    TS.documents(A2.term_lines(V.utterances(spark, sf).where(F.size("phrases") > 0))).write.format("annotated_terms").mode("overwrite").save(folder)
+    return folder
+
+
+@query(SAID + ", p AS (SELECT doc_id, utt_no, no, string_agg(cui || ':' || w || '@' || (position(w IN lower(text)) - 1) || '/' || length(w), ' ' ORDER BY cn) AS cs FROM ca GROUP BY ALL) "
+       "SELECT said.label, said.text, ph.no::INT AS no, ph.text AS phrase, coalesce(cs, '') AS cands FROM said JOIN ph USING (doc_id, utt_no) LEFT JOIN p USING (doc_id, utt_no, no)")
+def s14_stored_phrases(spark, sf):
+    u = spark.read.format("annotated_terms").load(_stored(spark, sf))
+    cand = lambda e: F.concat(e["cui"], F.lit(":"), e["meta_term"], F.lit("@"), F.array_join(F.transform(e["pos"], lambda s: F.concat_ws("/", s["start"], s["length"])), ","))
+    x = u.select("label", "text", F.explode("phrases").alias("p"))
+    # Written before it is returned: the files are not read again.
+    return written(x.select("label", "text", "p.no", F.col("p.text").alias("phrase"), F.array_join(F.transform("p.cands", cand), " ").alias("cands")))
+
+
+@query(SAID + "SELECT label, utt_no = min(utt_no) OVER (PARTITION BY doc_id) AS starts, CASE WHEN utt_no = min(utt_no) OVER (PARTITION BY doc_id) THEN '[termweave,[]]' END AS args FROM said")
+def s12_stored_headers(spark, sf):
+    u = spark.read.format("annotated_terms").schema(f"label string, starts boolean, header {A2.HEADER}").load(_stored(spark, sf))
+    return written(u.select("label", "starts", "header.args"))

@@ -141,11 +141,13 @@ def _item(x) -> dict:
     return {"category": x[0], "tag": show(found["tag"]) if "tag" in found else None, **{k: _words(found.get(k, [])) for k in ("inputmatch", "lexmatch", "tokens")}}
 
 
-def parse_block(value: str) -> dict | None:
+def parse_block(value: str, whole: bool = True) -> dict | None:
     """One utterance with the header terms before it; backslashes of the utterance's own line stand for themselves.
 
-    None where nothing is left but an end of document.  Anything else that is not as it must be raises TermError.
+    Unless `whole`, what follows the utterance's own line is not read, and phrases are null.  None where nothing is left but an end of document.  Anything else that is not as it must be raises TermError.
     """
+    if not whole and (cut := re.search(r"(?m)^phrase\(", value)):
+        value = value[: cut.start()]
     value = re.sub(r"(?m)^(utterance\(.*)$", lambda m: m[0].replace("\\", "\\\\"), value)
     terms, out = Terms(value), {"starts": False, "ends": False, "header": None}
     term = terms.next()
@@ -164,6 +166,8 @@ def parse_block(value: str) -> dict | None:
             return out | {"label": None, "text": None, "pos": None, "phrases": None}
     label, text, pos, _ = expect(term, "utterance", 4)
     out |= {"label": show(label), "text": text, "pos": _span(pos), "phrases": []}
+    if not whole:
+        return out | {"phrases": None}
     while (term := terms.next()) is not None and term != "EOU":
         phrase, syntax, span, _ = expect(term, "phrase", 4)
         total, excluded, pruned, remaining, evs = expect(terms.next(), "candidates", 5)
