@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -56,12 +56,12 @@ def tagged_lines(filtered: DataFrame) -> DataFrame:
     return filtered.select(F.when(s == "y", F.concat(F.lit("y|"), F.col("out_line"))).otherwise(F.concat_ws("|", s, F.col("line"), types_text(F.col("nm_types")), F.col("nmstr"))).alias("value"))
 
 
-def ordered_tagged_lines(filtered: DataFrame) -> DataFrame:
-    """(ord, value): tagged_lines with what orders them in a text file: by run, exclusions by status, duplicate and syntax, then what is kept."""
+def ordered_tagged_lines(filtered: DataFrame, *keep: str) -> DataFrame:
+    """(ord, value), and the columns to keep: tagged_lines with what orders them in a text file: by run, exclusions by status, duplicate and syntax, then what is kept."""
     rank = F.when(F.col("final_status") == "ntss", 0).when(F.col("final_status") == "nnorm", 1).when(F.col("final_status") == "nsynt", 2).otherwise(3)
     x = filtered.withColumn("ord", F.struct(F.col("run_id"), rank.alias("rank"), "nmstr", "cui", "sab", "lui", "sui", "aui", "out_line"))
     s = F.col("final_status")
-    return x.select("ord", F.when(s == "y", F.concat(F.lit("y|"), F.col("out_line"))).otherwise(F.concat_ws("|", s, F.col("line"), types_text(F.col("nm_types")), F.col("nmstr"))).alias("value"))
+    return x.select("ord", *keep, F.when(s == "y", F.concat(F.lit("y|"), F.col("out_line"))).otherwise(F.concat_ws("|", s, F.col("line"), types_text(F.col("nm_types")), F.col("nmstr"))).alias("value"))
 
 
 def normalization_counts(filtered: DataFrame) -> DataFrame:
@@ -87,6 +87,45 @@ def counter_lines(filtered: DataFrame) -> DataFrame:
     return n.select("ord", "value").unionByName(s.select((F.col("at") + 1001).alias("ord"), "value"))
 
 
+STEPS = ("nos", "uninv", "parenth", "case", "hyphen", "poss")
+
+
+class ObservedLines:
+    """The lines of counter_lines from what was observed while filtered rows were written."""
+
+    def __init__(self, observation):
+        self.observation = observation
+
+    def terms(self) -> int:
+        return self.observation.get["terms"]
+
+    def __call__(self) -> list[str]:
+        seen = self.observation.get
+        lists = {f"[{','.join(s for j, s in enumerate(STEPS) if i >> j & 1)}]": seen[f"c{i}"] for i in range(1 << len(STEPS)) if seen[f"c{i}"]}
+        single = {s: sum(seen[f"c{i}"] for i in range(1 << len(STEPS)) if i >> j & 1) for j, s in enumerate(STEPS)}
+        icn = [f"icn|{n}|{t}" for t, n in sorted(lists.items(), reverse=True)]
+        ibn = [f"ibn|{n}|{t}" for t, n in sorted(single.items(), reverse=True) if n]
+        return icn + ibn + [f"{kind}|{seen[c]}|{c}" for kind, c in (("it", "p"), ("it", "s"), ("is", "pref"), ("is", "synt"))]
+
+
+def observed_lines(filtered: DataFrame) -> tuple[DataFrame, ObservedLines]:
+    """(value): ordered_tagged_lines in order, and what gives the counter lines once they have been written: no second pass.
+
+    Steps of normalization come in one order, so a list of them is one of 64 numbers, each counted as rows go by.  Rows are counted
+    after they are sorted, as sorting reads what comes before it twice.
+    """
+    observation = Observation("counters")
+    at = sum((F.when(F.array_contains("nm_types", s), 1 << j).otherwise(0) for j, s in enumerate(STEPS)), F.lit(0))
+    x = filtered.select("*", at.alias("__steps"))
+    x = ordered_tagged_lines(x, "status", "ts", "restored", "__steps").orderBy("ord")
+    one = lambda c: F.count_if(c)
+    gone = ~F.col("restored")
+    counts = [one((F.col("status") == "nnorm") & (F.col("__steps") == i)).alias(f"c{i}") for i in range(1 << len(STEPS))]
+    status = [one((F.col("status") == "ntss") & (F.col("ts") == t) & gone).alias(t) for t in ("p", "s")]
+    x = x.observe(observation, F.count(F.lit(1)).alias("terms"), *counts, *status, one(F.col("restored")).alias("pref"), one((F.col("status") == "nsynt") & gone).alias("synt"))
+    return x.select("value"), ObservedLines(observation)
+
+
 def preferred_counts(prepared: DataFrame) -> DataFrame:
     """(cui, before, after): preferred rows of a concept's runs, and those left when equal lines and equal strings of a source count once."""
     x = prepared.where("pref")

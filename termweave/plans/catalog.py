@@ -773,7 +773,7 @@ def s11_report_from_terms(spark, sf):
 
 
 def queries() -> dict:
-    from . import language  # noqa: F401  registers its own
+    from . import extensions, language  # noqa: F401  they register their own
 
     return dict(QUERIES)
 

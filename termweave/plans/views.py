@@ -162,3 +162,32 @@ mp AS (SELECT *, row_number() OVER (PARTITION BY doc_id, utt_no, no ORDER BY k)
 pc AS (SELECT p.doc_id, p.utt_no, p.label, p.utt, p.no, p.text, p.ws, coalesce(c.n, 0) AS nc, coalesce(c.m, 0) AS nm FROM pw p
   LEFT JOIN (SELECT doc_id, utt_no, no, count(*) AS n, count(DISTINCT k) AS m FROM ca GROUP BY ALL) c ON p.doc_id = c.doc_id AND p.utt_no = c.utt_no AND p.no = c.no)
 """.replace("{preps}", ", ".join(f"'{p}'" for p in PREPOSITIONS)).replace("{sem}", "[" + ", ".join(f"'{s}'" for s in SEM5) + "]")
+
+
+def paired(u: DataFrame) -> DataFrame:
+    """The annotated conversations with other candidates: neighbouring words, in their order or the other, so that match maps have two
+    words or two spans; some phrases have no mapping, and some mappings are worse than the best candidate."""
+    sem = ", ".join(f"'{s}'" for s in SEM5)
+    w = lambda i: f"get(ws, {i})"
+    fwd = f"length({w('i')}) % 2 = 0"
+    ev = f"""named_struct('neg_value', cast(-(600 + 10 * length({w('i - 1')}) + length({w('i')})) AS int), 'cui', concat('P', lpad(cast(ascii({w('i - 1')}) * 100 + length({w('i')}) AS string), 7, '0')),
+      'meta_term', if({fwd}, concat_ws(' ', {w('i - 1')}, {w('i')}), concat_ws(' ', {w('i')}, {w('i - 1')})), 'preferred_name', {w('i - 1')}, 'meta_words', if({fwd}, array({w('i - 1')}, {w('i')}), array({w('i')}, {w('i - 1')})),
+      'sem_types', array(get(array({sem}), length({w('i - 1')}) % 5)), 'match_map', if({fwd}, array(named_struct('p1', i, 'p2', i + 1, 'm1', 1, 'm2', 2, 'lex', 0)), array(named_struct('p1', i, 'p2', i, 'm1', 2, 'm2', 2, 'lex', 0), named_struct('p1', i + 1, 'p2', i + 1, 'm1', 1, 'm2', 1, 'lex', 0))),
+      'involves_head', 'no', 'is_overmatch', 'no', 'sources', array('SRC'), 'pos', array(named_struct('start', i - 1, 'length', 2)), 'status', 0, 'negated', 0)"""
+    at = f"filter(sequence(1, size(ws) - 1), i -> length({w('i - 1')}) % 2 = 0)"
+    pairs = f"if(size(ws) > 1, transform(array_sort(transform({at}, i -> struct({ev}.neg_value AS n, i AS i, {ev} AS e))), s -> struct(s.i AS i, s.e AS e)), cast(array() AS array<struct<i:int,e:{A.EV}>>))"
+    x = u.select("doc_id", "utt_no", "label", "text", F.explode_outer("phrases").alias("p")).select("*", F.expr("flatten(transform(p.items, i -> i.tokens))").alias("ws"))
+    x = x.withColumn("c", F.expr(pairs)).withColumn("odd", F.expr("transform(filter(c, s -> s.i % 2 = 1), s -> s.e)"))
+    mapping = f"if(size(odd) > 0 AND length(p.text) % 3 <> 0, array(named_struct('neg_score', array_max(transform(odd, e -> e.neg_value)), 'evs', odd)), cast(array() AS array<struct<neg_score:int,evs:array<{A.EV}>>>))"
+    phrase = f"named_struct('no', p.no, 'text', p.text, 'items', p.items, 'counts', named_struct('total', size(c), 'excluded', 0, 'pruned', 0, 'remaining', size(c)), 'cands', transform(c, s -> s.e), 'mappings', {mapping}, 'pos', p.pos)"
+    x = x.withColumn("q", F.expr(f"if(p IS NOT NULL, {phrase}, NULL)"))
+    g = x.groupBy("doc_id", "utt_no", "label", "text").agg(F.expr("array_sort(collect_list(if(q IS NOT NULL, struct(q.no AS k, q AS q), NULL)), (a, b) -> a.k - b.k)").alias("ps"))
+    return g.select("doc_id", "utt_no", "label", "text", F.expr(f"cast(transform(ps, s -> s.q) AS array<{A.PHRASE}>)").alias("phrases"))
+
+
+PAIRED_SQL = """
+q0 AS (SELECT a.doc_id, a.utt_no, a.label, a.utt, a.no, a.text, a.pos AS i, a.w AS w1, b.w AS w2, length(b.w) % 2 = 0 AS fwd, ({sem})[length(a.w) % 5 + 1] AS st FROM it0 a JOIN it0 b ON a.doc_id = b.doc_id AND a.utt_no = b.utt_no AND a.no = b.no AND b.pos = a.pos + 1 WHERE length(a.w) % 2 = 0),
+q1 AS (SELECT *, CASE WHEN fwd THEN w1 || ' ' || w2 ELSE w2 || ' ' || w1 END AS term, -(600 + 10 * length(w1) + length(w2)) AS neg, 'P' || lpad(CAST(ascii(w1) * 100 + length(w2) AS VARCHAR), 7, '0') AS cui FROM q0),
+qc AS (SELECT *, row_number() OVER (PARTITION BY doc_id, utt_no, no ORDER BY neg, i) AS cn FROM q1),
+qm AS (SELECT doc_id, utt_no, no, max(neg) AS score, count(*) AS n, count(*) FILTER (NOT fwd) AS inv FROM qc WHERE i % 2 = 1 AND length(text) % 3 <> 0 GROUP BY ALL)
+""".replace("{sem}", "[" + ", ".join(f"'{s}'" for s in SEM5) + "]")

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from .operators import annotations as A
 from .operators import profiles as P
+from .operators import saved
+from .operators import tagger as TG
 from .operators import termfilter as TF
 from .operators import terminput as TI
 from .operators import trees as TR
@@ -47,23 +49,63 @@ def _write_sections(path: str, *parts: DataFrame, end: bool, one_file: bool) ->
     _write(_sections(*parts, end=end), path, "section", *[f"ord{j}" for j in range(len(parts))], one_file=one_file)
 
 
-def filter_terms(spark: SparkSession, infile: str, outfile: str, strict_filtering: bool = False, dump_syntax_only: bool = False, end_of_processing: bool = False, assume_sorted: bool = False, one_file: bool = False) -> None:
-    """A term table to tagged lines and counters; or, with dump_syntax_only, to the syntax of its terms."""
-    prepared = TF.prepare(R.read_terms(spark, infile), assume_sorted)
-    if dump_syntax_only:
-        _write_sections(outfile, TF.syntax_dump(prepared, "line_no").withColumnRenamed("line_no", "ord"), end=end_of_processing, one_file=one_file)
-        return
-    kept = TF.filter_terms(prepared, TF.is_simple(TF.chunks(T.words(F.col("nmstr")))) if strict_filtering else None).persist()
-    _write_sections(outfile, TF.ordered_tagged_lines(kept), TF.counter_lines(kept), end=end_of_processing, one_file=one_file)
-    kept.unpersist()
+def _append_lines(spark: SparkSession, path: str, lines: list[str]) -> None:
+    """A few lines as one more file of a folder of text, after all that are there."""
+    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = [s.getPath().getName() for s in fs.listStatus(spark._jvm.org.apache.hadoop.fs.Path(path))]
+    n = 1 + max((int(p.split("-")[1]) for p in parts if p.startswith("part-")), default=-1)
+    # The number of a file is that of its partition, and only the last partition has rows.
+    x = spark.range(0, n + 1, 1, n + 1).where(F.col("id") == n).select(F.explode(F.lit(lines)).alias("value"))
+    x.write.mode("append").text(path)
 
 
-def glean_terms(spark: SparkSession, infile: str, filterfile: str, wordoutfile: str, suioutfile: str, cuioutfile: str, first_term_is_concept: bool = True, generate_words: bool = True, generate_strings: bool = True, generate_cuis: bool = True, one_file: bool = False) -> None:
-    """A filtered term table to its words (without strings that open and end as a listed pair), strings and concepts, in the order of its lines."""
+def filter_terms(spark: SparkSession, infile: str, outfile: str, strict_filtering: bool = False, dump_syntax_only: bool = False, end_of_processing: bool = False, assume_sorted: bool = False, tagger: str | None = None, one_file: bool = False) -> None:
+    """A term table to tagged lines and counters; or, with dump_syntax_only, to the syntax of its terms.
+
+    tagger: the folder of a saved tagger, by whose tags terms are cut into phrases; without it phrases are cut before prepositions.
+    Lines are written and counted by one pass: counters are observed as rows go by, printed, and added as a last file.  one_file
+    sorts and writes in one task.
+    """
+    prepared, simple = TF.prepare(R.read_terms(spark, infile), assume_sorted), None
+    if tagger:
+        x = prepared.withColumn("w", T.words(F.col("nmstr")))
+        prepared = TG.tag(x, TG.read_model(spark, tagger), "w").withColumn("ph", TG.tagged_chunks(F.col("w"), F.col("tags")))
+    if dump_syntax_only:
+        x = TF.tagged_syntax_dump(prepared, "line_no") if tagger else TF.syntax_dump(prepared, "line_no")
+        _write_sections(outfile, x.withColumnRenamed("line_no", "ord"), end=end_of_processing, one_file=one_file)
+        return
+    if strict_filtering:
+        simple = TG.is_simple_tagged(F.col("ph")) if tagger else TF.is_simple(TF.chunks(T.words(F.col("nmstr"))))
+    observed, lines = TF.observed_lines(TF.filter_terms(prepared, simple))
+    if one_file:
+        mark = [END_MARK] if end_of_processing else []
+        began = f"{outfile}/_lines"
+        _write(observed, began)
+        counters = lines()
+        whole = spark.read.text(began).select(F.lit(0).alias("part"), F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("at"), "value")
+        last = spark.range(1).select(F.lit(1).alias("part"), F.lit("").alias("file"), F.posexplode(F.lit([*counters, *mark])).alias("at", "value"))
+        made = whole.unionByName(last).orderBy("part", "file", "at").select("value").coalesce(1)
+        made.write.mode("overwrite").text(f"{outfile}.one")
+        fs = spark._jvm.org.apache.hadoop.fs.Path(outfile).getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(outfile), True)
+        fs.rename(spark._jvm.org.apache.hadoop.fs.Path(f"{outfile}.one"), spark._jvm.org.apache.hadoop.fs.Path(outfile))
+    else:
+        _write(observed, outfile)
+        counters = lines()
+        _append_lines(spark, outfile, [*counters, *([END_MARK] if end_of_processing else [])])
+    print("\n".join([f"{lines.terms()} terms", *counters]))
+
+
+def glean_terms(spark: SparkSession, infile: str, filterfile: str, wordoutfile: str, suioutfile: str, cuioutfile: str, first_term_is_concept: bool = True, generate_words: bool = True, generate_strings: bool = True, generate_cuis: bool = True, pair_folder: str | None = None, one_file: bool = False) -> None:
+    """A filtered term table to its words (without strings that open and end as a listed pair), strings and concepts, in the order of its lines.
+
+    pair_folder keeps the table of pairs, which is read again while the lines of filterfile stay the same.
+    """
+    pairs = saved.reuse(spark.read.text(filterfile), pair_folder, lambda x: R.parse_pairs(x).distinct()) if pair_folder else R.read_pairs(spark, filterfile)
     flagged = W.concept_flags(R.read_terms(spark, infile), first_term_is_concept)
     bar = lambda x, *c: x.select("*", F.concat_ws("|", *c).alias("value"))
     if generate_words:
-        _write(bar(W.words(flagged, R.read_pairs(spark, filterfile), "line_no"), "i", "n", "word", "sui", "cui"), wordoutfile, "line_no", "i", one_file=one_file)
+        _write(bar(W.words(flagged, pairs, "line_no"), "i", "n", "word", "sui", "cui"), wordoutfile, "line_no", "i", one_file=one_file)
     if generate_strings:
         _write(bar(W.strings(flagged, "line_no"), "sui", "norm_string", "string"), suioutfile, "line_no", one_file=one_file)
     # The dummy concept comes first, and also where no concepts are asked for.
@@ -72,13 +114,14 @@ def glean_terms(spark: SparkSession, infile: str, filterfile: str, wordoutfile:
     _write(dummy.unionByName(named) if generate_cuis else dummy, cuioutfile, "line_no", one_file=one_file)
 
 
-def variants(spark: SparkSession, infile: str, lexicon: str, edges: str, outfile: str | None = None, end_of_processing: bool = False, one_file: bool = False) -> None:
-    """Terms, one a line, to their variants.  lexicon: lines form|category; edges: lines base|category|word|category|kind|distance."""
+def variants(spark: SparkSession, infile: str, lexicon: str, edges: str, outfile: str | None = None, depth: int | None = None, end_of_processing: bool = False, one_file: bool = False) -> None:
+    """Terms, one a line, to their variants: all that edges lead to, or those over at most depth edges.  lexicon: lines form|category; edges: lines base|category|word|category|kind|distance."""
     cut = lambda path, names: spark.read.text(path).select(F.split("value", "[|]", -1).alias("f")).select(*[F.get("f", F.lit(i)).alias(n) for i, n in enumerate(names)])
     e = cut(edges, ("base", "base_cat", "word", "cat", "kind", "distance")).withColumn("distance", F.col("distance").cast("int"))
     terms = R.read_term_list(spark, infile)
     first = terms.groupBy("term").agg(F.min("line_no").alias("line_no"))
-    x = VA.variant_lines(VA.variant_rows(VA.expand(VA.categories(terms, cut(lexicon, ("form", "cat"))), e)))
+    known = VA.categories(terms, cut(lexicon, ("form", "cat")))
+    x = VA.variant_lines(VA.variant_rows(VA.closure(known, e) if depth is None else VA.expand(known, e, depth)))
     x = x.join(first.withColumnRenamed("term", "t"), F.col("term") == F.col("t")).select(F.struct("line_no", "word", "value").alias("ord"), "value")
     _write_sections(outfile or f"{infile}.out", x, end=end_of_processing, one_file=one_file)
 
