@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,15 +35,62 @@ def allowed(tf: DataFrame, allow: DataFrame, stop: DataFrame) -> DataFrame:
     return tf.join(allow.select(F.col("word").alias("term")).distinct(), "term", "left_semi").join(stop.select(F.col("word").alias("term")).distinct(), "term", "left_anti")
 
 
-def profile_sums(tf: DataFrame, vectors: DataFrame) -> DataFrame:
-    """(doc_id, n, sums array<bigint>): occurrences with a vector, and sums over them.
+def profile_sums(tf: DataFrame, vectors: DataFrame, docs_per_block: int = 50_000) -> DataFrame:
+    """(doc_id, n, sums array<bigint>): occurrences with a vector, and sums over them; documents without any have no row.
 
-    Occurrences are counted before vectors join; sums are one aggregate a position, partial before the shuffle.
+    A product of two matrices in blocks of documents.  A term and the documents of a block that have it are one row, so a vector
+    travels once for each term and block, not for each document; a very frequent term is as many rows as there are blocks, each with
+    a bounded list.  A block's rows meet in one task, which adds them up as they come: it holds the sums of its documents and a batch.
+    Null components count as zero; vectors must all be as long as there are types.
     """
-    x = tf.join(vectors.select("term", "vec"), "term")
-    sums = [F.sum(F.col("tf") * F.col("vec")[i]).alias(f"s{i}") for i in range(len(SEMANTIC_TYPES))]
-    g = x.groupBy("doc_id").agg(F.sum("tf").alias("n"), *sums)
-    return g.select("doc_id", "n", F.array(*[f"s{i}" for i in range(len(SEMANTIC_TYPES))]).alias("sums"))
+    spark, k = tf.sparkSession, len(SEMANTIC_TYPES)
+    found = tf.agg(F.approx_count_distinct("doc_id")).first()[0]
+    blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-found // docs_per_block))
+    kind = tf.schema["doc_id"].dataType.simpleString()
+    # Dealt by term once: what follows groups and joins without another shuffle of the counts.
+    by_term = tf.select(F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).alias("b"), "term", "doc_id", "tf").repartition("term")
+    x = by_term.groupBy("term", "b").agg(F.collect_list(F.struct("doc_id", F.col("tf").cast("bigint").alias("tf"))).alias("docs"))
+    x = x.join(vectors.select("term", F.col("vec").cast("array<int>").alias("vec")), "term").select("b", "vec", "docs").repartition(blocks, "b").sortWithinPartitions("b")
+
+    def add_up(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        def result(ids, sums):
+            n = len(ids)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * k, pa.int32()), pa.array(sums[:n, :k].ravel()))
+            return pa.RecordBatch.from_arrays([pa.array(list(ids), id_type), pa.array(sums[:n, k]), lists], names=["doc_id", "n", "sums"])
+
+        block, ids, sums, id_type = None, {}, np.zeros((0, k + 1), np.int64), None
+        for batch in batches:
+            of = batch.column(0).to_numpy()
+            for part in np.split(np.arange(batch.num_rows), np.flatnonzero(np.diff(of)) + 1):
+                if not len(part):
+                    continue
+                if of[part[0]] != block:
+                    if ids:
+                        yield result(ids, sums)
+                    block, ids, sums = of[part[0]], {}, np.zeros((256, k + 1), np.int64)
+                rows = batch.slice(int(part[0]), len(part))
+                vec, docs = rows.column(1), rows.column(2)
+                v = np.ones((len(part), k + 1), np.int64)  # the last column counts
+                v[:, :k] = vec.flatten().fill_null(0).to_numpy(zero_copy_only=False).reshape(-1, k)
+                flat, term = docs.flatten(), np.repeat(np.arange(len(part)), docs.value_lengths().to_numpy())
+                code = flat.field(0).dictionary_encode()
+                id_type = code.type.value_type
+                place = np.array([ids.setdefault(i, len(ids)) for i in code.dictionary.to_pylist()], np.int64)
+                if len(ids) > len(sums):
+                    sums = np.concatenate((sums, np.zeros((max(len(sums), len(ids) - len(sums)), k + 1), np.int64)))
+                row, times = place[code.indices.to_numpy()], flat.field(1).to_numpy()
+                order = np.argsort(row, kind="stable")
+                for i in range(0, len(order), 8192):
+                    some = order[i : i + 8192]
+                    at, starts = np.unique(row[some], return_index=True)
+                    sums[at] += np.add.reduceat(v[term[some]] * times[some, None], starts, axis=0)
+        if ids:
+            yield result(ids, sums)
+
+    return x.mapInArrow(add_up, f"doc_id {kind}, n long, sums array<bigint>")
 
 
 def truncated_mean(total: Column, n: Column) -> Column:
@@ -94,3 +144,7 @@ def scores_by_type(prof: DataFrame) -> DataFrame:
 def display_lines(top: DataFrame) -> DataFrame:
     """(doc_id, rank, value): `type|score` lines, best first within a document."""
     return top.select("doc_id", "rank", F.concat_ws("|", "semtype", "score").alias("value"))
+
+
+# The function travels with the query, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .steps import written
+
 #: Order values to a block; a block is sorted in one task, and one summary row a block in another.
 BLOCK = 1 << 17
 
@@ -28,7 +30,7 @@ def with_runs(df: DataFrame, key: str, order: str, block: int = BLOCK) -> DataFr
 
 def ranked(df: DataFrame, order: str, name: str = "line_no") -> DataFrame:
     """df with the number of each row, from 1, in a global order: rows are sorted in ranges, and a range's rows are numbered after those of all ranges before it."""
-    x = df.orderBy(order).withColumn("__r", F.spark_partition_id()).withColumn("__i", F.monotonically_increasing_id()).persist()
+    x = written(df.orderBy(order).withColumn("__r", F.spark_partition_id()).withColumn("__i", F.monotonically_increasing_id()))
     before = x.groupBy("__r").agg(F.count("*").alias("__n"), F.min("__i").alias("__first"))
     before = before.select(F.col("__r").alias("__q"), "__first", (F.sum("__n").over(Window.orderBy("__r")) - F.col("__n")).alias("__before"))
     return x.join(F.broadcast(before), F.col("__r") == F.col("__q")).withColumn(name, F.col("__before") + F.col("__i") - F.col("__first") + 1).drop("__r", "__i", "__q", "__first", "__before")

@@ -13,6 +13,7 @@ from ..operators import termfilter as TF
 from ..operators import variants as VA
 from ..operators import wordindex as W
 from ..operators.runs import ranked, with_runs
+from ..operators.steps import written
 from ..sources import annotated as A2
 from ..sources import readers as R
 from . import views as V
@@ -295,8 +296,8 @@ def k7_string_lines(spark, sf):
 
 
 def _tf(spark, sf):
-    """Term frequencies of the English documents, kept: the allow list, the vectors and the sums all read them."""
-    return P.term_frequencies(V.english(spark, sf)).persist()
+    """Term frequencies of the English documents, written once: the allow list, the vectors and the sums all read them."""
+    return written(P.term_frequencies(V.english(spark, sf)))
 
 
 def _profiles(spark, sf):
