@@ -178,3 +178,41 @@ def r20_filter_for_meta(spark, sf):
 def r20_filter_for_meta_with_sy_id(spark, sf):
     u = _paired(spark, sf)
     return TI.filtered_for_input(u, _names(u), with_sy_id=True, threshold=640).select("label", "no", "value")
+
+
+# Contents of what is written and read again
+
+CONTENTS = SQL["s14_sql_utterances"]
+
+
+def _contents(u: DataFrame) -> DataFrame:
+    """Each phrase of utterances with its items and candidates as text."""
+    x = u.select("doc_id", "utt_no", "label", "text", F.explode("phrases").alias("p"))
+    items = F.array_join(F.transform("p.items", lambda i: F.concat_ws(":", i["category"], i["tokens"][0])), " ")
+    return x.select("doc_id", "utt_no", "label", "text", "p.no", F.col("p.text").alias("phrase"), items.alias("items"), F.array_join("p.cands.meta_term", " ").alias("cands"))
+
+
+@query(CONTENTS)
+def k14_json_contents(spark, sf):
+    schema = f"doc_id bigint, utterances array<struct<utt_no:bigint,label:string,text:string,phrases:array<{A.PHRASE}>>>"
+    x = A.to_json(V.utterances(spark, sf)).select("doc_id", F.explode(F.from_json("value", schema)["utterances"]).alias("u"))
+    return _contents(x.select("doc_id", "u.*"))
+
+
+@query(CONTENTS)
+def s13_segment_contents(spark, sf):
+    return _contents(A.from_sequence(A.flat_sequence(V.utterances(spark, sf))))
+
+
+@query(AN + """, c AS (SELECT doc_id, utt_no, no, string_agg(w, ' ' ORDER BY cn) AS cs FROM ca GROUP BY ALL), m AS (SELECT doc_id, utt_no, no, string_agg(neg_score, ' ' ORDER BY i) AS ms FROM mp GROUP BY ALL)
+SELECT doc_id, utt_no, 0 AS seq, 'utterance' AS kind, label || '|' || text AS said FROM u0 UNION ALL SELECT doc_id, utt_no, (1 + 3 * no)::INT, 'phrase', text FROM ph
+UNION ALL SELECT doc_id, utt_no, (2 + 3 * no)::INT, 'candidates', coalesce(cs, '') FROM ph LEFT JOIN c USING (doc_id, utt_no, no) UNION ALL SELECT doc_id, utt_no, (3 + 3 * no)::INT, 'mappings', coalesce(ms, '') FROM ph LEFT JOIN m USING (doc_id, utt_no, no)
+UNION ALL SELECT doc_id, utt_no, (1 + 3 * len(ps))::INT, 'EOU', '' FROM u0""")
+def k15_sequence_contents(spark, sf):
+    x = A.flat_sequence(V.utterances(spark, sf))
+    get = lambda path: F.get_json_object("value", path)
+    terms = F.array_join(F.from_json("value", f"cands array<{A.EV}>")["cands"]["meta_term"], " ")
+    scores = F.array_join(F.from_json("value", "mappings array<struct<neg_score:int>>")["mappings"]["neg_score"].cast("array<string>"), " ")
+    kind = F.col("kind")
+    said = F.when(kind == "utterance", F.concat_ws("|", get("$.label"), get("$.text"))).when(kind == "phrase", get("$.text")).when(kind == "candidates", terms).when(kind == "mappings", scores).otherwise("")
+    return x.select("doc_id", "utt_no", "seq", "kind", said.alias("said"))

@@ -27,7 +27,7 @@ END_MARK = "<<< EOT >>>"
 
 
 def _write(x: DataFrame, path: str, *order: str, one_file: bool = False) -> None:
-    """The value column as text in the order of the columns given, or as x is ordered."""
+    """The value column as text in the order of the columns given, or as x is ordered; one_file has one task write all of it."""
     x = (x.orderBy(*order) if order else x).select("value")
     (x.coalesce(1) if one_file else x).write.mode("overwrite").text(path)
 
