@@ -165,7 +165,7 @@ def near_duplicate_vectors(frame: DataFrame, threshold: float = 0.95, id_col: st
     block against block: a task holds two blocks, and returns counts and edges enough for the components, never all pairs.
     Vectors that are null, zero, or hold null or non-finite components link with nothing; so does a row with a null id, which is
     kept.  Rows that share an id but not a vector have each its own links and are one node of the components.  Empty tables give
-    none.  Other columns are not read.
+    none.  Other columns are not read.  Components that need more than 40 rounds raise an error.
     """
     spark = frame.sparkSession
     item = "<f4" if dict(frame.dtypes)[vec_col] == "array<float>" else "<f8"  # so vectors move as they are stored

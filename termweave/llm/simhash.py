@@ -177,6 +177,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Documents link if their fingerprints differ in at most radius bits; component_id is the smallest doc_id that links reach.
     Repeated rows give repeated rows.  A null doc_id keeps its fingerprint and gets a null component_id unless others share its
     fingerprint; it joins nothing.  An empty table gives none.  Other columns, whatever their names, are not read.
+    Components that need more than 40 rounds raise an error.
     """
     prints = durable(fingerprints(docs, id_col, text_col, words))
     classes = durable(prints.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("node")))

@@ -62,7 +62,7 @@ def judge(pages: DataFrame, rules: DataFrame, otherwise: str = OTHERWISE, id_col
     A rule fits its host and all subdomains if the path starts with the rule's; the longest rule wins, of two as long the one
     with the longer host.  Of repeated rules the least verdict counts (allow before block).  A null url, or one without ://, has
     an empty host and path, and no rule; as has a path that is empty, for rules whose path is not.  Repeated pages give repeated
-    rows; html and other columns are not read.
+    rows, an empty table none; urls of any length are judged whole; html and other columns are not read.
     """
     r = rules.where(F.col("rule").isNotNull()).groupBy("rule").agg(F.min("verdict").alias("verdict"))
     r = r.select("rule", "verdict", F.translate(F.substring_index("rule", "/", 1), _UPPER, _LOWER).alias("rhost")).withColumn("rpath", F.expr("substring(rule, length(substring_index(rule, '/', 1)) + 1)"))
