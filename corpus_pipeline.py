@@ -11,12 +11,12 @@ from termweave.llm.common import remove, shared_dir, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier chain does not call toxic; null and empty texts have no words and stay, repeated rows stay or go together."""
+    """Documents that the classifier chain does not call toxic; null and empty texts have no words and stay, repeated rows stay or go together, long texts are judged whole, and columns of any names are kept."""
     return toxicity.keep_clean(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose quality score reaches the threshold; null and empty texts share one score, repeated rows stay or go together."""
+    """Documents whose quality score reaches the threshold; null and empty texts share one score, repeated rows stay or go together, long texts are judged whole, and columns of any names are kept."""
     return pu_quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
