@@ -119,7 +119,10 @@ class Written(WriterCommitMessage):
 
 
 class Writer(DataSourceArrowWriter):
-    """A file for each partition with rows, first in a folder of the job's own; the driver moves them into place when all are whole."""
+    """A file for each partition with rows, first in a folder of the job's own; the driver moves them into place when all are whole.
+
+    A job that fails takes its folder away; what tasks write that were still running then lies in a hidden folder, which no reader sees.
+    """
 
     def __init__(self, options, overwrite: bool):
         self.path, self.overwrite, self.job = options["path"], overwrite, f"_job-{uuid.uuid4().hex}"
