@@ -105,7 +105,7 @@ def test_no_extra_blank_is_left(spark):
 
 
 def test_imports(spark):
-    text = ":- use_module(skr(one(x)),[\n    a/1,  % first\n    b_c/2\n    ]).\n:- use_module(lib(two), [a/1, d/0]).\n:- use_module(library(lists),[e/1]).\nf/3,\n:- use_module(lib(two),[]).\n"
+    text = ":- use_module(area(one(x)),[\n    a/1,  % first\n    b_c/2\n    ]).\n:- use_module(lib(two), [a/1, d/0]).\n:- use_module(library(lists),[e/1]).\nf/3,\n:- use_module(lib(two),[]).\n"
     df = spark.createDataFrame([("p", i, v) for i, v in enumerate(text.split("\n"))], "path string, line_no int, value string")
     assert sorted(map(tuple, R.import_list(df).collect())) == [("a", 1, "lib(two)"), ("d", 0, "lib(two)")]
 
