@@ -17,6 +17,8 @@ FIT_SAMPLE, CELL_ROWS, MOST_CELLS, BLOCK_ROWS, GUEST_ROWS = 20_000, 4_096, 2_048
 BLOCK_BYTES = 64 << 20
 #: Cosines that a task holds at once, and directions that are compared first.
 MOST_COSINES, NARROW = 2_000_000, 16
+#: By more than this no two ways to take a cosine of unit vectors differ.
+ROUNDING = 1e-12
 
 
 def spherical_kmeans(x, k: int, rounds: int = 8):
@@ -44,7 +46,8 @@ def linked(x, left, right, threshold: float, frame, tile: int | None = None):
     """Yields (a, b): index arrays of pairs of rows of left and right (numbers of rows of the unit vectors x) whose cosine is at least the threshold.
 
     Pairs that are too far apart along a few directions are dropped first, exactly; of what remains, cosines in double precision
-    are taken pair by pair, or by one product where much remains.
+    are taken pair by pair, or by one product where much remains.  Products within rounding errors of the threshold are taken
+    again pair by pair, so that which way a pair went does not matter.
     """
     import numpy as np
 
@@ -56,8 +59,13 @@ def linked(x, left, right, threshold: float, frame, tile: int | None = None):
         part = left[i : i + step]
         near = square[part][:, None] + square[right][None] - 2 * (y[part] @ y[right].T) <= apart
         if np.count_nonzero(near) > near.size // 16:
-            a, b = np.nonzero(x[part] @ x[right].T >= threshold)
-            yield part[a], right[b]
+            c = x[part] @ x[right].T
+            a, b = np.nonzero(c >= threshold - ROUNDING)
+            close = np.nonzero(c[a, b] < threshold + ROUNDING)[0]
+            keep = np.ones(len(a), bool)
+            a, b = part[a], right[b]
+            keep[close] = np.einsum("ij,ij->i", x[a[close]], x[b[close]]) >= threshold
+            yield a[keep], b[keep]
             continue
         a, b = np.nonzero(near)
         a, b = part[a], right[b]
