@@ -83,7 +83,7 @@ def similar_forest(sets, similarity: float = SIMILARITY):
 
 
 def _signed(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, cls, fp, keys, bytes) for docs (doc_id, text_key, text): cls is a hash of the shingles' set, fp the SimHash, keys those of its bands."""
+    """(doc_id, text_key, h1, h2, fp, keys, bytes) for docs (doc_id, text_key, text): h1 and h2 are a hash of 128 bits of the shingles' set, fp the SimHash, keys those of its bands."""
 
     def sign(batches):
         import numpy as np
@@ -95,17 +95,19 @@ def _signed(docs: DataFrame) -> DataFrame:
         rng = np.random.default_rng(11)
         multiply, add = (rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2))
         for b in slices(batches):
-            cls, fp, keys = [], [], []
+            h1, h2, fp, keys = [], [], [], []
             for t in b.column(2):
                 h = shingle_hashes(t.as_py(), WORDS)
                 own = np.unique(h)
-                cls.append(xxhash.xxh64_intdigest(own.tobytes(), 5))
+                whole = xxhash.xxh3_128_intdigest(own.tobytes(), 5)
+                h1.append(whole >> 64)
+                h2.append(whole & 0xFFFFFFFFFFFFFFFF)
                 fp.append(fingerprint_of(h))
                 keys.append(np.array(_band_keys(own, multiply, add), np.uint64).view(np.int64))
             size = pa.array([len(t.as_py() or "") for t in b.column(2)], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[pa.array(np.array(c, np.uint64).view(np.int64)) for c in (cls, fp)], pa.array(keys, pa.list_(pa.int64())), size], names=["doc_id", "text_key", "cls", "fp", "keys", "bytes"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[pa.array(np.array(c, np.uint64).view(np.int64)) for c in (h1, h2, fp)], pa.array(keys, pa.list_(pa.int64())), size], names=["doc_id", "text_key", "h1", "h2", "fp", "keys", "bytes"])
 
-    return docs.mapInArrow(sign, "doc_id long, text_key long, cls long, fp long, keys array<long>, bytes long")
+    return docs.mapInArrow(sign, "doc_id long, text_key long, h1 long, h2 long, fp long, keys array<long>, bytes long")
 
 
 def _verify(t):
@@ -168,7 +170,8 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     id_, key = F.col(id_col).cast("long"), F.xxhash64(F.col(text_col).cast("string"))
     texts = docs.select(id_.alias("doc_id"), key.alias("text_key"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null")
     rows = durable(_signed(texts))
-    classes = durable(rows.groupBy("cls").agg(F.min(F.struct("doc_id", "text_key")).alias("rep"), F.first("keys").alias("keys"), F.min("fp").alias("fp"), F.max("bytes").alias("bytes")))
+    # Texts of one set of shingles are a class; its number holds as long as the written table does.
+    classes = durable(rows.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "text_key")).alias("rep"), F.first("keys").alias("keys"), F.min("fp").alias("fp"), F.max("bytes").alias("bytes")).withColumn("cls", F.monotonically_increasing_id()))
     # Fingerprints, each by its least class: equal ones are proposed, and those that the trees find within the radius.
     prints = durable(classes.groupBy("fp").agg(F.min("cls").alias("node")))
     near = link_fingerprints(prints, RADIUS).unionByName(classes.select("cls", "fp").join(prints.withColumnRenamed("fp", "f"), F.col("fp") == F.col("f")).where("cls <> node").select(F.col("cls").alias("a"), F.col("node").alias("b")))
@@ -184,7 +187,7 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     maybe = F.broadcast(maybe) if maybe.count() <= BROADCAST_ROWS else maybe
     held = texts.join(maybe, (F.col("doc_id") == F.col("d")) & (F.col("text_key") == F.col("k"))).dropDuplicates(["doc_id", "text_key"]).select("component", "cls", "degree", "text")
     parts = connected_components(_links(durable(held), durable(sizes)))
-    named = classes.select("cls", "rep").join(parts, F.col("cls") == F.col("node"), "left").select("cls", "rep", F.coalesce("component", "cls").alias("c"))
+    named = classes.select("h1", "h2", "cls", "rep").join(parts, F.col("cls") == F.col("node"), "left").select("h1", "h2", "rep", F.coalesce("component", "cls").alias("c"))
     firsts = named.groupBy(F.col("c").alias("fc")).agg(F.min("rep").alias("first"))
-    named = named.join(firsts, F.col("c") == F.col("fc")).select(F.col("cls").alias("ncls"), "first")
-    return keep_firsts(docs, rows.select("doc_id", "text_key", "cls").join(named, F.col("cls") == F.col("ncls")).select("doc_id", "text_key", "first"), id_col, text_col)
+    named = named.join(firsts, F.col("c") == F.col("fc")).select(F.col("h1").alias("n1"), F.col("h2").alias("n2"), "first")
+    return keep_firsts(docs, rows.select("doc_id", "text_key", "h1", "h2").join(named, (F.col("h1") == F.col("n1")) & (F.col("h2") == F.col("n2"))).select("doc_id", "text_key", "first"), id_col, text_col)
