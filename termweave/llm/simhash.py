@@ -8,8 +8,12 @@ from pyspark.sql import functions as F
 from .common import durable, fresh, slices
 from .components import connected_components, star_edges
 
-#: Fingerprints from which the shards' tree is grown, and distinct fingerprints that a shard gets on average.
-TREE_SAMPLE, SHARD_ROWS = 20_000, 40_000
+#: Fingerprints from which the shards' tree is grown, at least and for each shard.
+TREE_SAMPLE, SHARD_SAMPLE = 20_000, 64
+#: Distinct fingerprints that live in a shard, and that a task looks up there, on average and at most: sixteen bytes each.
+SHARD_ROWS = 1_000_000
+#: Fewer fingerprints than so many shards hold are dealt into shards of so many, that tasks have something to share.
+SHARDS, SMALL_SHARD = 32, 2_048
 #: Rows of sixteen bytes that a join broadcasts at most.
 BROADCAST_ROWS = 1_000_000
 
@@ -105,6 +109,22 @@ def _route(tree, fps, radius: int):
     return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.empty(0, int),) * 3
 
 
+def _deal(leaf, home, fps, parts):
+    """(row, cell, probe): the cells that routed fingerprints go to.
+
+    A shard's probes are dealt into parts by a hash, each with a copy of the shard's members: a cell is a part of a shard.  Members
+    are rows at home; a row is a probe in one cell only.
+    """
+    import numpy as np
+
+    own = ((fps * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % parts[leaf]
+    times = np.where(home, parts[leaf], 1)
+    row = np.repeat(np.arange(len(leaf)), times)
+    part = np.where(home[row], np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times), own[row])
+    first = np.cumsum(parts) - parts
+    return row, (first[leaf][row] + part).astype(np.int32), part == own[row]
+
+
 def _pairs_within(members, probes, radius: int, leaf: int = 256):
     """Yields (member index, probe index) arrays of pairs within the radius, by a vantage-point tree over the members."""
     import numpy as np
@@ -136,39 +156,57 @@ def _pairs_within(members, probes, radius: int, leaf: int = 256):
 def link_fingerprints(prints: DataFrame, radius: int = 2) -> DataFrame:
     """Edges (a long, b long) between nodes whose fingerprints differ in at most radius bits; prints: (node long, fp long), one row for each distinct fp.
 
-    The edges are a spanning forest of each shard's links, so their number stays below the number of replicas; components over
+    The edges are a spanning forest of each cell's links, so their number stays below the number of replicas; components over
     them are those over all links.  Distinct fingerprints within a radius of one are bounded in number, so copies cannot make a
-    group large.  Every fingerprint goes to the shard where it lives, and to those that its ball of the radius meets.
+    group large.  Every fingerprint goes to the shard where it lives, and to those that its ball of the radius meets.  Shards
+    are as large as a task holds, since replicas grow with their number; what is looked up in a shard is dealt over tasks.
     """
-    spark = prints.sparkSession
-    n = prints.count()
-    sample = [r.fp for r in prints.orderBy(F.xxhash64("fp")).limit(TREE_SAMPLE).select("fp").collect()]
     import numpy as np
 
-    tree = spark.sparkContext.broadcast(grow_tree(np.array(sample, "<i8").view("<u8"), max(1, -(-n // SHARD_ROWS)), radius))
+    spark = prints.sparkSession
+    n = prints.count()
+    shards = max(1, -(-n // SHARD_ROWS), min(SHARDS, -(-n // SMALL_SHARD)))
+    sample = [r.fp for r in prints.orderBy(F.xxhash64("fp")).limit(max(TREE_SAMPLE, SHARD_SAMPLE * shards)).select("fp").collect()]
+    sample = np.array(sample, "<i8").view("<u8")
+    tree = grow_tree(sample, shards, radius)
+    # Rows that each shard gets, from those that it gets of the sample.
+    rows = np.bincount(_route(tree, sample, radius)[1].astype(np.int64), minlength=1) * (n / max(1, len(sample)))
+    parts = np.maximum(1, np.ceil(rows / SHARD_ROWS)).astype(np.int64)
+    held = spark.sparkContext.broadcast((tree, parts))
 
     def route(batches):
         import pyarrow as pa
 
+        tree, parts = held.value
         for b in batches:
             fps = b.column(1).to_numpy(zero_copy_only=False).view("<u8")
-            at, leaf, home = _route(tree.value, fps, radius)
-            yield pa.RecordBatch.from_arrays([pa.array(leaf, pa.int32()), pa.array(home, pa.bool_()), b.column(0).take(pa.array(at)), b.column(1).take(pa.array(at))], names=["shard", "home", "node", "fp"])
+            at, leaf, home = _route(tree, fps, radius)
+            row, cell, probe = _deal(leaf, home, fps[at], parts)
+            take = pa.array(at[row])
+            yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), pa.array(home[row], pa.bool_()), pa.array(probe, pa.bool_()), b.column(0).take(take), b.column(1).take(take)], names=["cell", "home", "probe", "node", "fp"])
 
     def search(t):
         import pyarrow as pa
 
-        home = t.column("home").to_numpy(zero_copy_only=False).astype(bool)
+        home, probe = (np.nonzero(t.column(c).to_numpy(zero_copy_only=False).astype(bool))[0] for c in ("home", "probe"))
         fps = t.column("fp").to_numpy().view("<u8")
         nodes = t.column("node").to_numpy()
-        members = np.nonzero(home)[0]
-        label = np.arange(len(fps))
-        for m, p in _pairs_within(fps[members], fps, radius):
-            star_edges(members[m], p, label)
+        label, found = np.arange(len(fps)), []
+        for m, p in _pairs_within(fps[home], fps[probe], radius):
+            a, b = home[m], probe[p]
+            found.append((a[a != b], b[a != b]))
+            if sum(len(a) for a, _ in found) > len(fps):  # joined in batches: each costs a pass over the labels
+                star_edges(*map(np.concatenate, zip(*found, strict=True)), label)
+                found = []
+        if found:
+            star_edges(*map(np.concatenate, zip(*found, strict=True)), label)
         more = np.nonzero(label != np.arange(len(fps)))[0]
         return pa.table({"a": pa.array(nodes[more], pa.int64()), "b": pa.array(nodes[label[more]], pa.int64())})
 
-    return prints.select("node", "fp").mapInArrow(route, "shard int, home boolean, node long, fp long").groupBy("shard").applyInArrow(search, "a long, b long")
+    cells = int(parts.sum())
+    dealt = prints.select("node", "fp").mapInArrow(route, "cell int, home boolean, probe boolean, node long, fp long")
+    # So many partitions: adaptive execution would put cells, of few bytes but much work, into few tasks.
+    return dealt.repartition(max(cells, min(2 * cells, 128)), "cell").groupBy("cell").applyInArrow(search, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 2) -> DataFrame:

@@ -75,8 +75,11 @@ def test_simhash(spark, docs, none):
     assert kept.columns == docs.columns and sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(d) for d in {r.component_id for r in got})
 
 
-def test_simhash_pairs(spark, monkeypatch):
-    monkeypatch.setattr(simhash, "SHARD_ROWS", 60)
+@pytest.mark.parametrize("shard, small", [(60, 2_048), (1_000_000, 30), (1_000_000, 2_048), (100_000, 1)])
+def test_simhash_pairs(spark, monkeypatch, shard, small):
+    """Many shards whose probes are dealt into parts, shards that are small, one shard; equal to all pairs."""
+    monkeypatch.setattr(simhash, "SHARD_ROWS", shard)
+    monkeypatch.setattr(simhash, "SMALL_SHARD", small)
     rng = np.random.default_rng(3)
     fps = set(rng.integers(0, 1 << 63, 300).tolist())
     for f in list(fps)[:150]:
@@ -93,6 +96,19 @@ def test_simhash_pairs(spark, monkeypatch):
     assert [got.get(i, i) for i in range(len(x))] == label.tolist()
 
 
+def test_each_probe_meets_each_member_of_its_shard_once():
+    rng = np.random.default_rng(4)
+    leaf, home = rng.integers(0, 3, 500), rng.random(500) < 0.4
+    parts = np.array([1, 4, 7])
+    row, cell, probe = simhash._deal(leaf, home, rng.integers(0, 1 << 63, 500).astype(np.uint64), parts)
+    first = np.cumsum(parts) - parts
+    assert sorted(row[probe]) == list(range(500)) and set(cell[leaf[row] == 2]) == set(range(5, 12))
+    for k in range(3):
+        for c in range(first[k], first[k] + parts[k]):
+            assert set(row[(cell == c) & home[row]]) == set(np.nonzero(home & (leaf == k))[0])
+    assert not (~home[row] & ~probe).any() and len(set(zip(row, cell))) == len(row)
+
+
 def ids_of(text):
     return encoder(tokenizer_path())(text) + np.array([1], "<u4").tobytes()
 
